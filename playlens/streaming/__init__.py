@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload this library rebuilds is batch only: it reads finished play
+logs and catalogs, and no part of it reads a stream, uses event time,
+watermarks or state.  Nothing is added here so that the package does not
+grow operators the workload does not have.
+"""

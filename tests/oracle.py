@@ -1,0 +1,105 @@
+"""Run registered queries against their DuckDB oracles (as the driver does).
+
+Usage: python -m tests.oracle [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+from playlens.sources.tables import TABLES, table_path
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = table_path(sf_dir, t)
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v, digits):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return float(f"{v:.{digits}g}") if digits else v
+    if hasattr(v, "tolist"):
+        v = v.tolist()
+    if isinstance(v, list):
+        return tuple(_norm(x, digits) for x in v)
+    if hasattr(v, "item"):
+        return v.item()
+    return v
+
+
+def _rows(records, cols, digits):
+    out = [tuple(_norm(r[c], digits) for c in cols) for r in records]
+    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
+
+
+def compare(spark, con, name, fn, sql, sf_dir, digits=None):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    spark_rows = [r.asDict(recursive=True) for r in sdf.collect()]
+    spark_cols = sorted(sdf.columns)
+    t1 = time.time()
+    rel = con.sql(sql)
+    duck_cols = sorted(rel.columns)
+    duck_rows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+    t2 = time.time()
+    res = {
+        "name": name,
+        "spark_rows": len(spark_rows),
+        "oracle_rows": len(duck_rows),
+        "cols_match": spark_cols == duck_cols,
+        "spark_sec": round(t1 - t0, 2),
+        "oracle_sec": round(t2 - t1, 2),
+    }
+    if res["cols_match"]:
+        res["exact"] = _rows(spark_rows, spark_cols, None) == _rows(duck_rows, duck_cols, None)
+        res["close"] = res["exact"] or _rows(spark_rows, spark_cols, digits or 12) == _rows(duck_rows, duck_cols, digits or 12)
+    else:
+        res["spark_cols"], res["oracle_cols"] = spark_cols, duck_cols
+    return res
+
+
+def main(argv):
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    import __spark_entry__ as E
+    from playlens.session import build_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:]
+    spark = build_session()
+    con = duck(sf_dir)
+    qs, os_ = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if names and name not in names:
+            continue
+        if name not in os_:
+            t0 = time.time()
+            n = fn(spark, sf_dir).count()
+            print({"name": name, "rows_only": n, "sec": round(time.time() - t0, 2)}, flush=True)
+            continue
+        try:
+            r = compare(spark, con, name, fn, os_[name], sf_dir)
+        except Exception as e:  # report and continue
+            r = {"name": name, "error": repr(e)[:400]}
+        ok = r.get("exact") or r.get("close")
+        bad += 0 if ok and r["spark_rows"] == r["oracle_rows"] else 1
+        print(r, flush=True)
+    print("mismatches:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
