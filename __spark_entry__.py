@@ -16,11 +16,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.operators.ids import build_item_ids, rekey, unmatched
+from playlens.operators.ids import build_item_ids, unmatched
+from playlens.operators.metrics import ranking_metrics
 from playlens.operators.ratings import minmax_score, play_share
-from playlens.operators.split import split_per_user, split_rows
+from playlens.operators.recommend import top_k_per_group
+from playlens.operators.split import side, split_rows
 from playlens.plans import prepare as P
+from playlens.plans.evaluate import labels_of
 from playlens.sources import fixtures as FX
+from playlens.sources.sinks import preview
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 SEED = 52
@@ -129,6 +133,74 @@ def q_train_70pct(spark, d):
     return labelled.where(F.col("dataset") == "train").drop("dataset")
 
 
+def _split80(spark, d):
+    return P.labelled_split(_scores(spark, d, 100.0), 0.8, seed=SEED)
+
+
+def q_user_counts(spark, d):
+    return _scores(spark, d, 100.0).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_ground_truth(spark, d):
+    return labels_of(side(_split80(spark, d), "validation"))
+
+
+def q_distinct_users(spark, d):
+    return _scores(spark, d, 100.0).select("user_id").distinct()
+
+
+def q_distinct_items(spark, d):
+    return _scores(spark, d, 100.0).select("track_new_id").distinct()
+
+
+def _score_order():
+    return [F.col("user_id").asc(), F.col("normalized_ranking").desc(), F.col("track_new_id").asc()]
+
+
+def q_sorted_scores(spark, d):
+    return _scores(spark, d, 100.0).orderBy(*_score_order())
+
+
+def q_scores_preview(spark, d):
+    return preview(_scores(spark, d, 100.0).orderBy(*_score_order()), 20)
+
+
+K = 100
+
+
+def _score_lists(spark, d, k=K):
+    """Each user's items ranked by their own score: a deterministic top-k list."""
+    return top_k_per_group(
+        _scores(spark, d, 100.0), "user_id", [F.col("normalized_ranking").desc(), F.col("track_new_id").asc()], k
+    )
+
+
+def q_topk_scores(spark, d):
+    return _score_lists(spark, d).select("user_id", "pos", "track_new_id", "normalized_ranking")
+
+
+def _list_metrics(spark, d, k):
+    labels = labels_of(side(_split80(spark, d), "validation"))
+    m = ranking_metrics(_score_lists(spark, d, K), labels, k)
+    return m.select("users", *[F.round(c, 12).alias(c) for c in ("map", "map_at_k", "ndcg_at_k")])
+
+
+def q_map_all(spark, d):
+    return _list_metrics(spark, d, K).select("users", "map")
+
+
+def q_map_at_k(spark, d):
+    return _list_metrics(spark, d, K).select("users", "map_at_k")
+
+
+def q_ndcg_at_k(spark, d):
+    return _list_metrics(spark, d, K).select("users", "ndcg_at_k")
+
+
+def q_ranking_metrics_at_10(spark, d):
+    return _list_metrics(spark, d, 10)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plays_f1": q_plays_f1,
     "plays_f2": q_plays_f2,
@@ -149,6 +221,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_raw_share": q_split_raw_share,
     "split_rows_80": q_split_rows_80,
     "train_70pct": q_train_70pct,
+    "user_counts": q_user_counts,
+    "ground_truth": q_ground_truth,
+    "distinct_users": q_distinct_users,
+    "distinct_items": q_distinct_items,
+    "sorted_scores": q_sorted_scores,
+    "scores_preview": q_scores_preview,
+    "topk_scores": q_topk_scores,
+    "map_all": q_map_all,
+    "map_at_k": q_map_at_k,
+    "ndcg_at_k": q_ndcg_at_k,
+    "ranking_metrics_at_10": q_ranking_metrics_at_10,
 }
 
 
@@ -281,6 +364,58 @@ FROM plays"""
         + _split_sql("scored", 0.7, _SCORE_COLS)
         + ") s WHERE dataset = 'train'"
     )
+    scored100 = _with(*_prep(), _CTE_SHARES, _cte_scored(100.0))
+    o["user_counts"] = scored100 + "SELECT user_id, count(*) AS n_rows FROM scored GROUP BY user_id"
+    split80 = "split AS (" + _split_sql("scored", 0.8, _SCORE_COLS) + ")"
+    o["ground_truth"] = (
+        _with(*_prep(), _CTE_SHARES, _cte_scored(100.0), split80)
+        + "SELECT DISTINCT user_id, track_new_id FROM split WHERE dataset = 'validation'"
+    )
+    o["distinct_users"] = scored100 + "SELECT DISTINCT user_id FROM scored"
+    o["distinct_items"] = scored100 + "SELECT DISTINCT track_new_id FROM scored"
+    o["sorted_scores"] = scored100 + "SELECT * FROM scored ORDER BY user_id, normalized_ranking DESC, track_new_id"
+    o["scores_preview"] = (
+        scored100 + "SELECT * FROM scored ORDER BY user_id, normalized_ranking DESC, track_new_id LIMIT 20"
+    )
+    lists = f"""lists AS (
+    SELECT user_id, track_new_id, normalized_ranking,
+           row_number() OVER (PARTITION BY user_id ORDER BY normalized_ranking DESC, track_new_id) AS pos
+    FROM scored QUALIFY pos <= {K})"""
+    o["topk_scores"] = (
+        _with(*_prep(), _CTE_SHARES, _cte_scored(100.0), lists)
+        + "SELECT user_id, CAST(pos AS INTEGER) AS pos, track_new_id, normalized_ranking FROM lists"
+    )
+
+    def metrics_sql(k: int, cols: str) -> str:
+        return _with(*_prep(), _CTE_SHARES, _cte_scored(100.0), split80, lists) + f""", labels AS (
+    SELECT DISTINCT user_id, track_new_id FROM split WHERE dataset = 'validation'),
+n_labels AS (SELECT user_id, count(*) AS n FROM labels GROUP BY user_id),
+hits AS (
+    SELECT p.user_id, p.pos, CASE WHEN l.user_id IS NULL THEN 0 ELSE 1 END AS hit
+    FROM lists p LEFT JOIN labels l ON p.user_id = l.user_id AND p.track_new_id = l.track_new_id),
+terms AS (
+    SELECT user_id, pos, hit,
+           sum(hit) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far
+    FROM hits),
+per_user AS (
+    SELECT t.user_id, n.n,
+           sum(hit * so_far / pos) AS ps,
+           sum(CASE WHEN pos <= {k} THEN hit * so_far / pos ELSE 0 END) AS ps_k,
+           sum(CASE WHEN pos <= {k} THEN hit / ln(pos + 1) ELSE 0 END) AS dcg
+    FROM terms t JOIN n_labels n ON t.user_id = n.user_id GROUP BY t.user_id, n.n),
+scored_users AS (
+    SELECT ps / n AS ap, ps_k / least(n, {k}) AS ap_k,
+           dcg / (SELECT sum(1 / ln(j + 1)) FROM range(1, least(n, {k}) + 1) r(j)) AS ndcg
+    FROM per_user),
+m AS (
+    SELECT count(*) AS users, round(avg(ap), 12) AS map, round(avg(ap_k), 12) AS map_at_k,
+           round(avg(ndcg), 12) AS ndcg_at_k FROM scored_users)
+SELECT {cols} FROM m"""
+
+    o["map_all"] = metrics_sql(K, "users, map")
+    o["map_at_k"] = metrics_sql(K, "users, map_at_k")
+    o["ndcg_at_k"] = metrics_sql(K, "users, ndcg_at_k")
+    o["ranking_metrics_at_10"] = metrics_sql(10, "users, map, map_at_k, ndcg_at_k")
     return o
 
 
