@@ -22,7 +22,11 @@ from playlens.operators.ratings import minmax_score, play_share
 from playlens.operators.recommend import top_k_per_group
 from playlens.operators.split import side, split_rows
 from playlens.plans import prepare as P
-from playlens.plans.evaluate import labels_of
+from playlens.operators.metrics import rmse
+from playlens.operators.model import fit_als, predict
+from playlens.operators.recommend import recommend_items, recommend_users, recommendation_ids
+from playlens.plans.evaluate import evaluate_model, labels_of
+from playlens.plans.search import best_points, grid_search
 from playlens.sources import fixtures as FX
 from playlens.sources.sinks import preview
 
@@ -201,6 +205,87 @@ def q_ranking_metrics_at_10(spark, d):
     return _list_metrics(spark, d, 10)
 
 
+# ALS runs: the workload's timed configuration (rank 100, 5 iterations,
+# regParam 1.0) on the x100 scores split 80/20, and its rank-250 run on
+# the positive-only 70/30 sets.  Seeds are fixed; each fitted model is
+# reused by the queries of one session and data directory.
+ALS_PARAMS = dict(rank=100, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
+ALS_PARAMS_250 = dict(rank=250, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
+_MODELS: dict = {}
+
+
+def _sets(spark, d, variant="x100"):
+    labelled = P.prepare(_catalog(spark, d, "f2"), FX.plays_f2(spark, d), variant, seed=SEED)
+    return side(labelled, "train"), side(labelled, "validation")
+
+
+def _model(spark, d, variant="x100", params=None):
+    params = params or ALS_PARAMS
+    key = (spark.sparkContext.applicationId, d, variant, tuple(sorted(params.items())))
+    if key not in _MODELS:
+        train, _ = _sets(spark, d, variant)
+        _MODELS[key] = fit_als(train, **params)
+    return _MODELS[key]
+
+
+def q_als_predict(spark, d):
+    _, validation = _sets(spark, d)
+    return predict(_model(spark, d), validation.select("user_id", "track_new_id", "normalized_ranking"))
+
+
+def q_als_topk_items(spark, d):
+    return recommend_items(_model(spark, d), K)
+
+
+def q_als_topk_users(spark, d):
+    return recommend_users(_model(spark, d), K)
+
+
+def q_als_topk_items_subset(spark, d):
+    _, validation = _sets(spark, d)
+    return recommend_items(_model(spark, d), K, validation.select("user_id").distinct())
+
+
+def q_als_topk_users_subset(spark, d):
+    _, validation = _sets(spark, d)
+    return recommend_users(_model(spark, d), K, validation.select("track_new_id").distinct())
+
+
+def q_als_recommended_ids(spark, d):
+    return recommendation_ids(_model(spark, d), K)
+
+
+def q_als_rmse(spark, d):
+    _, validation = _sets(spark, d)
+    return rmse(predict(_model(spark, d), validation.select("user_id", "track_new_id", "normalized_ranking")))
+
+
+def q_als_metrics(spark, d):
+    _, validation = _sets(spark, d)
+    return evaluate_model(_model(spark, d), validation, K)
+
+
+def q_als_metrics_rank250(spark, d):
+    _, validation = _sets(spark, d, "positive_70")
+    return evaluate_model(_model(spark, d, "positive_70", ALS_PARAMS_250), validation, K)
+
+
+def _grid(spark, d):
+    key = (spark.sparkContext.applicationId, d, "grid")
+    if key not in _MODELS:
+        train, validation = _sets(spark, d)
+        _MODELS[key] = grid_search(train, validation, k=K, max_iter=5, seed=SEED).cache()
+    return _MODELS[key]
+
+
+def q_grid_results(spark, d):
+    return _grid(spark, d).drop("fit_sec")
+
+
+def q_grid_best(spark, d):
+    return best_points(_grid(spark, d).drop("fit_sec"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plays_f1": q_plays_f1,
     "plays_f2": q_plays_f2,
@@ -232,6 +317,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_at_k": q_map_at_k,
     "ndcg_at_k": q_ndcg_at_k,
     "ranking_metrics_at_10": q_ranking_metrics_at_10,
+    "als_predict": q_als_predict,
+    "als_topk_items": q_als_topk_items,
+    "als_topk_users": q_als_topk_users,
+    "als_topk_items_subset": q_als_topk_items_subset,
+    "als_topk_users_subset": q_als_topk_users_subset,
+    "als_recommended_ids": q_als_recommended_ids,
+    "als_rmse": q_als_rmse,
+    "als_metrics": q_als_metrics,
+    "als_metrics_rank250": q_als_metrics_rank250,
+    "grid_results": q_grid_results,
+    "grid_best": q_grid_best,
 }
 
 

@@ -77,16 +77,18 @@ def minmax_score(
     """
     if zeros not in ZERO_MODES:
         raise ValueError(f"zeros must be one of {ZERO_MODES}")
-    t = _with_totals(plays, user_col, item_col)
+    # NULL users only form their own group, so they can go before the
+    # aggregation.  The other NULL conditions are folded into the score
+    # (a CASE the optimizer does not push below the join), so both sides
+    # of the pairs/totals join keep one identical subtree and the scan,
+    # re-key join and pair aggregation run once (exchange reuse).
+    t = _with_totals(plays.where(F.col(user_col).isNotNull()), user_col, item_col)
     ranking = safe_ratio("count_pop", "count_total")
     lo = safe_ratio("min_pop", "count_total")
     hi = safe_ratio("max_pop", "count_total")
-    score = F.try_divide(ranking - lo, hi - lo) * F.lit(float(scale))
+    score = F.when(F.col(item_col).isNotNull(), F.try_divide(ranking - lo, hi - lo) * F.lit(float(scale)))
     scored = t.select(user_col, item_col, ranking.alias("ranking"), score.alias(score_col)).where(
-        F.col(user_col).isNotNull()
-        & F.col(item_col).isNotNull()
-        & F.col("ranking").isNotNull()
-        & F.col(score_col).isNotNull()
+        F.col(score_col).isNotNull()
     )
     if zeros == "drop_before":
         scored = scored.where(F.col(score_col) > 0)
