@@ -17,14 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.operators.ids import build_item_ids, unmatched
-from playlens.operators.metrics import ranking_metrics
+from playlens.operators.metrics import ranking_metrics, rmse
+from playlens.operators.model import fit_als, predict
 from playlens.operators.ratings import minmax_score, play_share
-from playlens.operators.recommend import top_k_per_group
+from playlens.operators.recommend import recommend_items, recommend_users, recommendation_ids, top_k_per_group
 from playlens.operators.split import side, split_rows
 from playlens.plans import prepare as P
-from playlens.operators.metrics import rmse
-from playlens.operators.model import fit_als, predict
-from playlens.operators.recommend import recommend_items, recommend_users, recommendation_ids
 from playlens.plans.evaluate import evaluate_model, labels_of
 from playlens.plans.search import best_points, grid_search
 from playlens.sources import fixtures as FX

@@ -1,0 +1,52 @@
+"""Item id dictionary: dense, gap-free, alias-merging, equal to dense_rank."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from playlens.operators.ids import build_item_ids, dense_ids, rekey
+from playlens.sources import fixtures as FX
+
+
+def test_ids_equal_dense_rank(spark, sf_small):
+    tracks = FX.catalog(spark, sf_small, "f2")
+    ours = build_item_ids(tracks, num_partitions=5)
+    w = Window.orderBy(F.col("unique_id").asc_nulls_first())
+    ref = tracks.withColumn("unique_id", F.coalesce("recording_mbid", "recording_msid")).withColumn(
+        "rk", F.dense_rank().over(w)
+    )
+    joined = ours.join(ref, "recording_msid")
+    assert joined.count() == tracks.count()
+    assert joined.where(F.col("track_new_id") != F.col("rk")).count() == 0
+
+
+def test_ids_dense_and_alias_merge(spark, sf_small):
+    ids = build_item_ids(FX.catalog(spark, sf_small, "f2"), num_partitions=3)
+    n_keys = ids.select("unique_id").distinct().count()
+    lo, hi, n_ids = ids.agg(F.min("track_new_id"), F.max("track_new_id"), F.countDistinct("track_new_id")).first()
+    assert (lo, hi, n_ids) == (1, n_keys, n_keys)
+    # equal mbid <=> equal id
+    per_mbid = ids.where(F.col("recording_mbid").isNotNull()).groupBy("recording_mbid").agg(
+        F.countDistinct("track_new_id").alias("n")
+    )
+    assert per_mbid.where("n != 1").count() == 0
+
+
+def test_null_key_ranks_first(spark):
+    keys = spark.createDataFrame([("b",), (None,), ("a",), ("b",), ("c",)], "k string")
+    got = {r.k: r.id for r in dense_ids(keys, "k", "id", num_partitions=2).collect()}
+    assert got == {None: 1, "a": 2, "b": 3, "c": 4}
+
+
+def test_ids_independent_of_partitioning(spark, sf_small):
+    tracks = FX.catalog(spark, sf_small, "f1")
+    a = {r.recording_msid: r.track_new_id for r in build_item_ids(tracks, num_partitions=1).collect()}
+    b = {r.recording_msid: r.track_new_id for r in build_item_ids(tracks.repartition(7), num_partitions=13).collect()}
+    assert a == b
+
+
+def test_rekey_keeps_unmatched(spark, sf_small):
+    plays = FX.plays_f2(spark, sf_small)
+    rk = rekey(plays, build_item_ids(FX.catalog(spark, sf_small, "f2")))
+    assert rk.count() == plays.count()
+    assert rk.where(F.col("track_new_id").isNull()).count() > 0
+    assert dict(rk.dtypes)["user_id"] == "int"
