@@ -33,12 +33,16 @@ def make_als(
     user_col: str = "user_id",
     item_col: str = "track_new_id",
     rating_col: str = "normalized_ranking",
-    num_user_blocks: int = 10,
-    num_item_blocks: int = 10,
+    num_user_blocks: int | None = None,
+    num_item_blocks: int | None = None,
     checkpoint_interval: int = 10,
     cold_start: str = "drop",
 ) -> ALS:
-    """An ALS estimator; ``rank`` must be a positive whole number."""
+    """An ALS estimator; ``rank`` must be a positive whole number.
+
+    Block counts default to MLlib's 10; ``fit_als`` replaces an unset
+    count with the session's default parallelism (one block per core).
+    """
     if int(rank) != rank or rank < 1:
         raise ValueError(f"rank must be a positive integer, got {rank!r}")
     return ALS(
@@ -51,8 +55,8 @@ def make_als(
         userCol=user_col,
         itemCol=item_col,
         ratingCol=rating_col,
-        numUserBlocks=num_user_blocks,
-        numItemBlocks=num_item_blocks,
+        numUserBlocks=num_user_blocks or 10,
+        numItemBlocks=num_item_blocks or 10,
         checkpointInterval=checkpoint_interval,
         coldStartStrategy=cold_start,
     )
@@ -61,7 +65,13 @@ def make_als(
 def fit_als(train: DataFrame, **params) -> ALSModel:
     """Fit ALS on ``train``; checkpoints (every ``checkpoint_interval``
     iterations) go to the session's shared checkpoint folder."""
-    ensure_checkpoint_dir(train.sparkSession)
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    cores = spark.sparkContext.defaultParallelism
+    params.setdefault("num_user_blocks", None)
+    params.setdefault("num_item_blocks", None)
+    params["num_user_blocks"] = params["num_user_blocks"] or cores
+    params["num_item_blocks"] = params["num_item_blocks"] or cores
     als = make_als(**params)
     return als.fit(als_input(train, als.getUserCol(), als.getItemCol(), als.getRatingCol()))
 

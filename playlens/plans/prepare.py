@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from playlens.operators.ids import build_item_ids, rekey
 from playlens.operators.ratings import minmax_score, play_share
 from playlens.operators.split import DEFAULT_SEED, split_per_user
+from playlens.sources.sinks import write_split, write_table
 
 
 def rekeyed_plays(tracks: DataFrame, interactions: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -81,3 +82,30 @@ def prepare(
     v = VARIANTS[variant]
     scored = scores(tracks, interactions, scale=v["scale"], zeros=v["zeros"])
     return labelled_split(scored, v["fraction"], zeros=v["zeros"], seed=seed)
+
+
+def run_preparation(
+    tracks: DataFrame,
+    interactions: DataFrame,
+    out_dir: str,
+    variant: str = "x100",
+    seed: int = DEFAULT_SEED,
+    mode: str = "errorifexists",
+) -> dict[str, str]:
+    """Write the score table and the labelled split of one variant.
+
+    The split is one write partitioned by ``dataset`` (train and validation
+    can never overlap or miss rows).  For score variants the score table
+    is written first and the split is computed from the written table, so
+    the chain runs once and the written table cuts the lineage.
+    """
+    paths = {"split": f"{out_dir}/split"}
+    if variant == "raw_share":
+        write_split(raw_share_split(tracks, interactions, seed=seed), paths["split"], mode=mode)
+        return paths
+    v = VARIANTS[variant]
+    scored = scores(tracks, interactions, scale=v["scale"], zeros=v["zeros"])
+    paths["scores"] = write_table(scored, f"{out_dir}/scores", mode=mode)
+    scored = tracks.sparkSession.read.parquet(paths["scores"])
+    write_split(labelled_split(scored, v["fraction"], zeros=v["zeros"], seed=seed), paths["split"], mode=mode)
+    return paths

@@ -14,8 +14,9 @@ ORACLE_NAMES = sorted(E.oracle_sql())
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["user_id", "track_new_id", "ranking", "normalized_ranking", "dataset"]
-    assert df.count() > 0
+    assert df.columns == ["users", "map", "map_at_k", "ndcg_at_k", "rmse"]
+    row = df.first()
+    assert row.users > 0 and 0.0 <= row.map <= 1.0 and 0.0 <= row.ndcg_at_k <= 1.0
 
 
 def test_every_oracle_has_a_query():
@@ -35,6 +36,18 @@ def test_oracle(spark, con, sf_small, name):
     assert r["exact"], r
 
 
+def test_run_preparation_writes_scores_and_split(spark, sf_small):
+    from playlens.plans.prepare import run_preparation
+    from playlens.sources import fixtures as FX
+
+    out = tempfile.mkdtemp(prefix="playlens-test-")
+    paths = run_preparation(FX.catalog(spark, sf_small), FX.plays_f2(spark, sf_small), out, "x100", 52)
+    scores = spark.read.parquet(paths["scores"])
+    split = spark.read.parquet(paths["split"])
+    assert scores.count() == split.count()
+    assert split.select("user_id", "track_new_id").subtract(scores.select("user_id", "track_new_id")).count() == 0
+
+
 def test_split_round_trip(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="playlens-test-"), "split")
     df = spark.createDataFrame(
