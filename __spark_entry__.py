@@ -210,6 +210,7 @@ def q_ranking_metrics_at_10(spark, d):
 ALS_PARAMS = dict(rank=100, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
 ALS_PARAMS_250 = dict(rank=250, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
 _MODELS: dict = {}
+GRID_PARALLELISM = 4  # distinct models fitted concurrently (scheduling only; results are the same)
 
 
 def _sets(spark, d, variant="x100"):
@@ -272,7 +273,7 @@ def _grid(spark, d):
     key = (spark.sparkContext.applicationId, d, "grid")
     if key not in _MODELS:
         train, validation = _sets(spark, d)
-        _MODELS[key] = grid_search(train, validation, k=K, max_iter=5, seed=SEED).cache()
+        _MODELS[key] = grid_search(train, validation, k=K, max_iter=5, seed=SEED, parallelism=GRID_PARALLELISM).cache()
     return _MODELS[key]
 
 

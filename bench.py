@@ -82,7 +82,7 @@ def main() -> None:
     extra = {}
     if os.environ.get("BENCH_GRID") == "1":
         t0 = time.perf_counter()
-        res = grid_search(train, validation, k=100, max_iter=5, seed=SEED)
+        res = grid_search(train, validation, k=100, max_iter=5, seed=SEED, parallelism=4)
         n_models = res.select("model_index").distinct().count()
         times["grid_model"] = round((time.perf_counter() - t0) / n_models, 3)
         best = res.orderBy(F.col("ndcg_at_k").desc(), "grid_index").first()
