@@ -4,7 +4,7 @@ cold rows dropped, subset top-k equal to full top-k restricted, grid choice."""
 import pytest
 from pyspark.sql import functions as F
 
-from playlens.operators.model import fit_als, make_als, predict
+from playlens.operators.model import fit_als, make_als, predict, predict_mllib
 from playlens.operators.recommend import recommend_items, recommend_users, top_k_per_group
 from playlens.operators.tuning import best_by, distinct_models, param_grid
 from playlens.operators.split import side
@@ -49,9 +49,19 @@ def test_prediction_is_dot_product(sets, model):
         assert r.prediction == pytest.approx(dot, rel=1e-4, abs=1e-4)
 
 
+def test_predict_equals_mllib_transform(sets, model):
+    key = ["user_id", "track_new_id"]
+    ours = {tuple(r[k] for k in key): r.prediction for r in predict(model, sets[1]).collect()}
+    ref = {tuple(r[k] for k in key): r.prediction for r in predict_mllib(model, sets[1]).collect()}
+    assert ours.keys() == ref.keys() and ours
+    for k in ours:
+        assert ours[k] == pytest.approx(ref[k], rel=1e-5, abs=1e-5)
+
+
 def test_cold_rows_dropped(spark, model):
     pairs = spark.createDataFrame([(-1, 1, 1.0), (1, -5, 1.0)], "user_id int, track_new_id int, normalized_ranking double")
     assert predict(model, pairs).count() == 0
+    assert predict_mllib(model, pairs).count() == 0
 
 
 def test_subset_topk_equals_full_restricted(sets, model):
