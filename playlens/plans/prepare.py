@@ -7,6 +7,7 @@ the score scale, the zero handling and the split fraction:
 variant            scale  zeros            fraction
 =================  =====  ===============  ========
 ``x100``           100    kept             0.8
+``x1``             1      kept             0.8
 ``x10``            10     dropped after    0.8
 ``raw_share``      --     dropped after    0.8
 ``positive_70``    100    dropped before   0.7
@@ -68,6 +69,7 @@ def raw_share_split(
 
 VARIANTS = {
     "x100": dict(scale=100.0, zeros="keep", fraction=0.8),
+    "x1": dict(scale=1.0, zeros="keep", fraction=0.8),
     "x10": dict(scale=10.0, zeros="drop_after", fraction=0.8),
     "positive_70": dict(scale=100.0, zeros="drop_before", fraction=0.7),
 }
