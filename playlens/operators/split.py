@@ -8,11 +8,21 @@ are disjoint and complete by construction (one labelled table, written
 once).
 
 Ranking rows inside a user with one window would put all of a heavy
-user's rows into one task.  Instead every user's hash range is cut into
-``ceil(n / rows_per_bucket)`` contiguous buckets; a small per-(user,
-bucket) count table gives each bucket's offset, and row numbers are only
-taken inside a bucket.  A bucket holds about ``rows_per_bucket`` rows
-whatever the size of the user.
+user's rows into one task.  Instead:
+
+* per-user sizes ``n`` and their total ``N`` (a scalar subquery);
+* a user is *heavy* when ``n > R`` with ``R = max(rows_per_bucket,
+  N / max_heavy)``.  Fewer than ``max_heavy`` users can be heavy, so the
+  heavy table has a proven size bound and is broadcast;
+* a heavy user's hash range is cut into ``ceil(n / R)`` contiguous buckets
+  (at most ``R`` rows each); every other user is one bucket of at most ``R``
+  rows.  Bucket offsets are needed for heavy users only: at most
+  ``2 * max_heavy`` rows, broadcast as well;
+* one shuffle of the rows by ``(user, bucket)``; ``row_number`` and the
+  bucket count run inside each bucket.
+
+So the rows are shuffled once, and no task ranks more than ``R`` rows,
+however the rows are spread over users.
 
 ``split_rows`` is the row-level split (``randomSplit``'s job), stable under
 repartitioning: each row's side follows from the hash of its columns.
@@ -27,6 +37,7 @@ from playlens.functions.columns import HASH_SPACE, hash_bucket, hash_key, hash_p
 
 DEFAULT_SEED = 52
 ROWS_PER_BUCKET = 1_000_000
+MAX_HEAVY = 100_000
 
 
 def split_per_user(
@@ -37,6 +48,7 @@ def split_per_user(
     item_col: str = "track_new_id",
     label_col: str = "dataset",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    max_heavy: int = MAX_HEAVY,
 ) -> DataFrame:
     """``df`` plus ``label_col`` in {train, validation}; rows with a NULL user are dropped."""
     if not 0.0 <= fraction <= 1.0:
@@ -45,27 +57,39 @@ def split_per_user(
     keyed = df.where(F.col(user_col).isNotNull()).withColumn("_key", hash_key(seed, user_col, item_col))
 
     sizes = keyed.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn(
-        "_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(int(rows_per_bucket)))).cast("int")
+    total = sizes.agg(F.sum("_n").alias("_total")).scalar()
+    bucket_rows = F.greatest(F.lit(int(rows_per_bucket)), F.ceil(total / F.lit(int(max_heavy))))
+    # Fewer than max_heavy users can hold more than N / max_heavy rows each.
+    heavy = sizes.where(F.col("_n") > bucket_rows).select(
+        F.col(user_col),
+        F.col("_n").alias("_heavy_n"),
+        F.ceil(F.col("_n") / bucket_rows).cast("int").alias("_nb"),
     )
-    bucketed = keyed.join(sizes, user_col).withColumn("_bucket", hash_bucket("_key", F.col("_nb")))
-
-    # At most ceil(n / rows_per_bucket) rows per user in this table.
-    bucket_sizes = bucketed.groupBy(user_col, "_bucket").agg(F.count(F.lit(1)).alias("_bn"))
-    earlier = Window.partitionBy(user_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucket_sizes.select(
-        user_col, "_bucket", F.coalesce(F.sum("_bn").over(earlier), F.lit(0)).alias("_offset")
+    rows = keyed.join(F.broadcast(heavy), user_col, "left").withColumn(
+        "_ub",
+        F.struct(
+            F.col(user_col).alias("u"),
+            hash_bucket("_key", F.coalesce(F.col("_nb"), F.lit(1))).alias("b"),
+        ),
     )
 
-    in_bucket = Window.partitionBy(user_col, "_bucket").orderBy("_key", item_col)
-    position = F.col("_offset") + F.row_number().over(in_bucket)
-    return (
-        bucketed.join(offsets, [user_col, "_bucket"])
-        .withColumn(
-            label_col,
-            F.when(position <= truncated_share("_n", fraction), F.lit("train")).otherwise(F.lit("validation")),
-        )
-        .select(*cols, label_col)
+    # Offsets of the buckets of heavy users: at most 2 * max_heavy rows.
+    heavy_buckets = rows.where(F.col("_nb").isNotNull()).groupBy("_ub").agg(F.count(F.lit(1)).alias("_bn"))
+    earlier = Window.partitionBy(F.col("_ub.u")).orderBy(F.col("_ub.b")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = heavy_buckets.select("_ub", F.coalesce(F.sum("_bn").over(earlier), F.lit(0)).alias("_offset"))
+
+    in_bucket = Window.partitionBy("_ub").orderBy("_key", item_col)
+    whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = rows.join(F.broadcast(offsets), "_ub", "left").select(
+        *cols,
+        (F.coalesce(F.col("_offset"), F.lit(0)) + F.row_number().over(in_bucket)).alias("_pos"),
+        F.coalesce(F.col("_heavy_n"), F.count(F.lit(1)).over(whole_bucket)).alias("_n"),
+    )
+    return ranked.select(
+        *cols,
+        F.when(F.col("_pos") <= truncated_share("_n", fraction), F.lit("train"))
+        .otherwise(F.lit("validation"))
+        .alias(label_col),
     )
 
 
