@@ -26,6 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from playlens.operators.ratings import minmax_score  # noqa: E402
 from playlens.operators.split import split_per_user  # noqa: E402
 from playlens.session import build_session  # noqa: E402
 
@@ -40,6 +41,18 @@ def hot_plays(spark, d):
     )
 
 
+def hot_pairs(spark, d):
+    """Like ``hot_plays`` but the hot user's item is the order key: that user
+    then owns many distinct (user, item) pairs, the input of the score join."""
+    p = hot_plays(spark, d)
+    return p.select(
+        "user_id",
+        F.when(F.col("user_id") == 0, F.col("l_orderkey").cast("int")).otherwise(F.col("track_new_id")).alias(
+            "track_new_id"
+        ),
+    )
+
+
 def stage_report(ev_dir):
     tasks, names = {}, {}
     for f in glob.glob(os.path.join(ev_dir, "*", "events_*")):
@@ -81,11 +94,16 @@ def main(argv):
     labelled = split_per_user(plays, 0.7, seed=52, rows_per_bucket=per_bucket)
     labelled.write.format("noop").mode("overwrite").save()
     hot_train = labelled.where("user_id = 0 and dataset = 'train'").count()
+    spark.sparkContext.setJobGroup("scores", "min-max scores with a hot user")
+    scored = minmax_score(hot_pairs(spark, sf), 100.0)
+    scored.write.format("noop").mode("overwrite").save()
+    n_pairs = scored.count()
+    n_hot_pairs = scored.where("user_id = 0").count()
     spark.stop()
 
     tasks, names = stage_report(ev)
     print(f"plays {n}, hot user {n_hot} ({n_hot / n:.1%}), hot train rows {hot_train} (= int(0.7 * {n_hot}))")
-    print(f"rows_per_bucket {per_bucket}")
+    print(f"rows_per_bucket {per_bucket}; score run: {n_pairs} scored pairs, hot user {n_hot_pairs}")
     print("stage  tasks  max-task-records  all-records  max/all   name")
     for sid in sorted(tasks):
         recs = tasks[sid]
