@@ -110,6 +110,18 @@ def q_minmax_x100_f1(spark, d):
     return _scores(spark, d, 100.0, fx="f1")
 
 
+def q_rekeyed_plays_f1(spark, d):
+    return _rekeyed(spark, d, "f1")
+
+
+def q_play_share_f1(spark, d):
+    return play_share(_rekeyed(spark, d, "f1"))
+
+
+def q_split_ordered_80_f1(spark, d):
+    return P.labelled_split(_scores(spark, d, 100.0, fx="f1"), 0.8, seed=SEED)
+
+
 def q_split_ordered_80(spark, d):
     return P.labelled_split(_scores(spark, d, 100.0), 0.8, seed=SEED)
 
@@ -312,6 +324,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minmax_positive": q_minmax_positive,
     "minmax_x100_f1": q_minmax_x100_f1,
     "split_ordered_80": q_split_ordered_80,
+    "rekeyed_plays_f1": q_rekeyed_plays_f1,
+    "play_share_f1": q_play_share_f1,
+    "split_ordered_80_f1": q_split_ordered_80_f1,
     "split_hash_70": q_split_hash_70,
     "split_zero_after": q_split_zero_after,
     "split_raw_share": q_split_raw_share,
@@ -443,6 +458,14 @@ def _oracles() -> dict[str, str]:
     o["minmax_positive"] = _with(*_prep(), _CTE_SHARES, _cte_scored(100.0, positive=True)) + "SELECT * FROM scored"
     o["minmax_x100_f1"] = _with(*_prep("f1"), _CTE_SHARES, _cte_scored(100.0)) + "SELECT * FROM scored"
     o["split_ordered_80"] = _with(*_prep(), _CTE_SHARES, _cte_scored(100.0)) + _split_sql("scored", 0.8, _SCORE_COLS)
+    o["rekeyed_plays_f1"] = _with(*_prep("f1")) + "SELECT * FROM rekeyed"
+    o["play_share_f1"] = (
+        _with(*_prep("f1"), _CTE_SHARES)
+        + "SELECT user_id, track_new_id, count_pop, count_total, count_pop / nullif(count_total, 0) AS ranking FROM shares"
+    )
+    o["split_ordered_80_f1"] = _with(*_prep("f1"), _CTE_SHARES, _cte_scored(100.0)) + _split_sql(
+        "scored", 0.8, _SCORE_COLS
+    )
     o["split_hash_70"] = _with(*_prep(), _CTE_SHARES, _cte_scored(100.0, positive=True)) + _split_sql(
         "scored", 0.7, _SCORE_COLS
     )
