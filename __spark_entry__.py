@@ -222,7 +222,20 @@ def q_ranking_metrics_at_10(spark, d):
 ALS_PARAMS = dict(rank=100, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
 ALS_PARAMS_250 = dict(rank=250, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
 _MODELS: dict = {}
-GRID_PARALLELISM = 4  # distinct models fitted concurrently (scheduling only; results are the same)
+_GIB = 1 << 30
+
+
+def _grid_parallelism(spark) -> int:
+    """Distinct models fitted concurrently (scheduling only; results are the same).
+
+    Broadcasts of every concurrent fit are built on the driver, so
+    concurrency is only used when the driver has room for it.
+    """
+    conf = spark.sparkContext.getConf()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": _GIB, "t": 1 << 40}
+    raw = conf.get("spark.driver.memory", "1g").strip().lower().rstrip("b")
+    size = float(raw[:-1]) * units[raw[-1]] if raw and raw[-1] in units else float(raw or 0)
+    return 4 if size >= 8 * _GIB else 1
 
 
 def _sets(spark, d, variant="x100"):
@@ -288,7 +301,7 @@ def _grid(spark, d, variant="x100", max_iter=5):
     if key not in _MODELS:
         train, validation = _sets(spark, d, variant)
         _MODELS[key] = grid_search(
-            train, validation, k=K, max_iter=max_iter, seed=SEED, parallelism=GRID_PARALLELISM
+            train, validation, k=K, max_iter=max_iter, seed=SEED, parallelism=_grid_parallelism(spark)
         ).cache()
     return _MODELS[key]
 
