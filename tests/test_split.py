@@ -81,3 +81,9 @@ def test_subsample_is_subset(scored):
     sub = subsample_per_user(scored, 0.7)
     assert sub.subtract(scored).count() == 0
     assert sub.count() < scored.count()
+
+
+def test_empty_input_splits_to_nothing(spark):
+    df = spark.createDataFrame([], "user_id int, track_new_id int, normalized_ranking double")
+    out = split_per_user(df, 0.8)
+    assert out.count() == 0 and out.columns == df.columns + ["dataset"]
