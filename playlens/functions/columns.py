@@ -39,13 +39,15 @@ def hash_prefix32(key: str | Column) -> Column:
 
 
 def hash_bucket(key: str | Column, buckets: int | Column) -> Column:
-    """Range bucket of a hash key: ``floor(prefix32 * buckets / 2^32)``.
+    """Range bucket of a hash key: ``(prefix32 * buckets) >> 32``, in [0, buckets).
 
-    Buckets are contiguous ranges of the key order, so bucket ``b`` holds
-    only keys smaller than every key in bucket ``b + 1``.
+    Integer arithmetic (the product stays below 2^63 for any int bucket
+    count), so the result is exact.  Buckets are contiguous ranges of the
+    key order: bucket ``b`` holds only keys smaller than every key in
+    bucket ``b + 1``.
     """
     b = buckets if isinstance(buckets, Column) else F.lit(int(buckets))
-    return F.floor(hash_prefix32(key) * b.cast("bigint") / F.lit(HASH_SPACE)).cast("int")
+    return F.shiftright(hash_prefix32(key) * b.cast("bigint"), 32).cast("int")
 
 
 def checked_int(c: str | Column, what: str) -> Column:
