@@ -39,3 +39,14 @@ def test_pair_aggregation_runs_once(spark, sf_small):
 def test_no_python_udf_in_preparation(spark, sf_small):
     plan = _explain(E.q_split_ordered_80(spark, sf_small))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+def test_no_cross_products_or_python_udfs(spark, sf_small):
+    """Every oracle-checked query plans without all-pairs joins or Python UDFs."""
+    for name in sorted(E.oracle_sql()):
+        plan = _explain(E.queries()[name](spark, sf_small))
+        bad = [op for op in FORBIDDEN if op in plan]
+        assert not bad, (name, bad)
