@@ -576,9 +576,32 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_als_metrics(spark, FLAGSHIP_DIR)
 
 
+def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and oracle SQL of the training-data operators, where that subpackage is installed."""
+    found, sql = {}, {}
+    try:
+        from playlens.llm import queries as operators
+    except ModuleNotFoundError as e:
+        if e.name != "playlens.llm":
+            raise
+        return found, sql
+    found |= operators.QUERIES
+    sql |= operators.ORACLE_SQL
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline":
+            raise
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    return _oracles() | _llm()[1]
