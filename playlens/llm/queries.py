@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from playlens.llm.common import table
 from playlens.llm.line_dedup import line_dedup
+from playlens.llm.simhash import hex_fingerprint, simhash_groups
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return groups.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id", "keeper")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +23,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
