@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.common import table
+from playlens.llm.licenses import license_scan
 from playlens.llm.line_dedup import line_dedup
 from playlens.llm.simhash import hex_fingerprint, simhash_groups
 
@@ -17,6 +18,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id", "keeper")
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.drop("text")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -24,6 +30,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_license_scans": op7_license_scans,
     "op10_line_dedup": op10_line_dedup,
 }
 
