@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from playlens.llm.common import table
 from playlens.llm.licenses import license_scan
 from playlens.llm.line_dedup import line_dedup
+from playlens.llm.quality_rules import quality_rules
 from playlens.llm.simhash import hex_fingerprint, simhash_groups
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality_rules(table(spark, sf_dir, "documents"), trusted).drop("text_key")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id", "keeper")
@@ -29,6 +35,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_license_scans": op7_license_scans,
     "op10_line_dedup": op10_line_dedup,
