@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playlens.llm.common import table
 from playlens.llm.licenses import license_scan
 from playlens.llm.line_dedup import line_dedup
+from playlens.llm.quality_classifier import quality_scores
 from playlens.llm.quality_rules import quality_rules
 from playlens.llm.simhash import hex_fingerprint, simhash_groups
 
@@ -19,6 +20,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), trusted).drop("text_key")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    out = quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id", "keeper")
@@ -36,6 +43,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_quality_classifier": op2_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_license_scans": op7_license_scans,
     "op10_line_dedup": op10_line_dedup,
