@@ -13,6 +13,7 @@ from playlens.llm.line_dedup import line_dedup
 from playlens.llm.quality_classifier import quality_scores
 from playlens.llm.quality_rules import quality_rules
 from playlens.llm.simhash import hex_fingerprint, simhash_groups
+from playlens.llm.url_filters import url_filter
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +41,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.drop("url")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_license_scans": op7_license_scans,
+    "op9_url_filters": op9_url_filters,
     "op10_line_dedup": op10_line_dedup,
 }
 
