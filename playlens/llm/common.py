@@ -12,7 +12,7 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["WHITE", "cut_lineage", "digest128", "free_names", "lower_ascii", "split_lines", "split_words", "table"]
+__all__ = ["WHITE", "cut_lineage", "digest128", "free_names", "lower_ascii", "one_row_each", "row_items", "split_lines", "split_words", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,3 +52,22 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
             name = "_" + name
         names.append(name)
     return names
+
+
+def row_items(docs: DataFrame, extra: dict[str, Column], text_col: str, id_col: str) -> DataFrame:
+    """(``id``, ``text_key``, *extra*, ``copy``): a narrow row for every row of ``docs``.
+
+    Rows that repeat an id and a text get the numbers 1, 2, ... as ``copy``;
+    they are counted by partial aggregates, so any number of copies is fine.
+    """
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), key.alias("text_key"), *[c.alias(n) for n, c in extra.items()])
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+
+
+def one_row_each(df: DataFrame, *keys: Column) -> DataFrame:
+    """One row of ``df`` for each value of ``keys``: the one whose columns hash lowest."""
+    every = [F.col(c) for c in df.columns]
+    named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*named).agg(F.min_by(F.struct(*every), F.xxhash64(*every)).alias("_doc")).select("_doc.*")

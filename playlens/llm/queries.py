@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from playlens.llm.common import table
 from playlens.llm.licenses import license_scan
 from playlens.llm.line_dedup import line_dedup
+from playlens.llm.mixing import mix_plan
+from playlens.llm.packing import pack
 from playlens.llm.quality_classifier import quality_scores
 from playlens.llm.quality_rules import quality_rules
 from playlens.llm.simhash import hex_fingerprint, simhash_groups
@@ -27,11 +29,29 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix_plan(table(spark, sf_dir, "documents"), max_repeats=2.0)
+    return plan.select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("src") != "null", F.expr("substr(src, 2)")).alias("source"),
+        F.col("tokens").alias("n_tokens"),
+        "epoch",
+        "block",
+        "position",
+        "weight",
+        "exponent",
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id", "keeper")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.drop("text")
@@ -49,7 +69,9 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
+    "op4_temperature_mixing": op4_temperature_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_license_scans": op7_license_scans,
     "op9_url_filters": op9_url_filters,
     "op10_line_dedup": op10_line_dedup,

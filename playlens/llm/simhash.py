@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import cut_lineage, free_names
+from playlens.llm.common import cut_lineage, free_names, one_row_each
 from playlens.llm.components import connected_components
 
 SEED = 42
@@ -169,12 +169,7 @@ def keep_one(docs: DataFrame, groups: DataFrame, text_col: str = "text", id_col:
     keepers = groups.where("keeper").select(F.col(id_col).alias(kid), F.col("text_key").alias(kkey)).distinct()
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     kept = docs.join(keepers, F.col(id_col).eqNullSafe(F.col(kid)) & (key == F.col(kkey)), "left_semi")
-    whole = F.struct(*[F.col(c) for c in docs.columns])
-    return (
-        kept.groupBy(F.col(id_col).alias("_gid"), key.alias("_gkey"))
-        .agg(F.min_by(whole, F.xxhash64(*[F.col(c) for c in docs.columns])).alias("_doc"))
-        .select("_doc.*")
-    )
+    return one_row_each(kept, F.col(id_col), key)
 
 
 def hex_fingerprint(fp: Column) -> Column:
