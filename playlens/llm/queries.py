@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.common import table
+from playlens.llm.embedding_dedup import embedding_near_dups
 from playlens.llm.licenses import license_scan
 from playlens.llm.line_dedup import line_dedup
 from playlens.llm.mixing import mix_plan
@@ -61,6 +62,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dups(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
     return out.drop("url")
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_license_scans": op7_license_scans,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_line_dedup": op10_line_dedup,
 }
