@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlens.llm.chat import link_messages
 from playlens.llm.common import table
 from playlens.llm.embedding_dedup import embedding_near_dups
 from playlens.llm.licenses import license_scan
@@ -30,6 +31,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_messages(table(spark, sf_dir, "conversations"))
+
+
 def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"), max_repeats=2.0)
     return plan.select(
@@ -74,6 +79,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
