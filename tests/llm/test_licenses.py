@@ -1,0 +1,94 @@
+import re
+
+import pytest
+
+from playlens.llm.licenses import BASE_PHRASES, NOTICE_PHRASES, Scanner, evaluate, license_scan, postfix
+from playlens.llm.queries import QUERIES
+from tests.llm.helpers import SF, clashing, docs, lower, real_docs, rows_of
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute(text):
+    w = WORDS.findall(lower(text))
+    places = [(i, label) for p, label in BASE_PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+    at = [i for i, _ in places]
+    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def test_query_equals_brute_force(spark):
+    texts = {r["doc_id"]: r["text"] for r in real_docs(spark).collect()}
+    got = QUERIES["op7_license_scans"](spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute(texts[r["doc_id"]])
+        assert set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Under the MIT License. under-the\nMIT license; CC BY-NC 4.0, Apache License, Version 2.0",
+        "under the mit license under the mit license",
+        "thunder the mit license under the mit licenses cc by ncé",
+        "\x00cc\x7fby\x01nc",
+        "cc by cc by nc by nc",
+    ],
+)
+def test_places(text):
+    assert Scanner(BASE_PHRASES, NOTICE_PHRASES).scan(text.encode())[:5] == brute(text)
+
+
+@pytest.mark.parametrize(
+    "line,rpn",
+    [
+        ("mit", "mit"),
+        ("mit or apache-2.0 and gpl-2.0", "mit apache-2.0 gpl-2.0 and or"),
+        ("(mit or isc) and zlib", "mit isc or zlib and"),
+        ("gpl-2.0 with classpath-exception-2.0 or mit", "gpl-2.0 classpath-exception-2.0 with mit or"),
+        ("mit and isc and zlib", "mit isc and zlib and"),
+        ("mit or", "mit"),
+        ("mit isc", "mit"),
+        ("((mit)", "mit"),
+        ("mit) or isc", "mit"),
+        ("", ""),
+        (") mit", ""),
+        ("or mit", ""),
+        ("(" * 100 + "mit", ""),
+    ],
+)
+def test_shunting_yard(line, rpn):
+    assert " ".join(postfix(line)) == rpn
+
+
+def test_evaluation():
+    assert evaluate([]) is None
+    assert evaluate(postfix("mit or gpl-3.0-only")) == ({"mit", "gpl-3"}, 1.0)
+    assert evaluate(postfix("mit and gpl-3.0+")) == ({"mit", "gpl-3"}, 0.3)
+    assert evaluate(postfix("gpl-2.0 with classpath-exception-2.0"))[1] == pytest.approx(0.5)
+    assert evaluate(postfix("licenseref-own"))[0] == {"licenseref-own"}
+
+
+def test_tags():
+    scan = Scanner(BASE_PHRASES, NOTICE_PHRASES).scan
+    assert scan(b"// SPDX-License-Identifier: (MIT OR GPL-2.0-only)\ncode")[5:] == ("gpl-2,mit", 1.0)
+    assert scan(b"License: our own words")[5:] == ("", 0.0)
+    assert scan(b"License: MIT and more")[5:] == ("mit", 1.0)
+    assert scan(b"GNU General Public License, version 3. Licensed under CC BY-NC")[5:] == ("cc-by-nc,gpl-3", 0.1)
+
+
+def test_edges(spark):
+    long = "word " * 300_000 + "under the MIT license"
+    rows = [(1, None), (2, ""), (3, "..."), (None, "CC BY NC"), (4, long), (4, long)]
+    out = rows_of(license_scan(docs(spark, rows)), "doc_id", "n_words", "n_base", "first_word", "last_word", "labels", "score")
+    assert out == [
+        (1, 0, 0, None, None, "", 0.0),
+        (2, 0, 0, None, None, "", 0.0),
+        (3, 0, 0, None, None, "", 0.0),
+        (4, 300004, 1, 300000, 300000, "mit", 1.0),
+        (4, 300004, 1, 300000, 300000, "mit", 1.0),
+        (None, 3, 1, 0, 0, "cc-by-nc", 0.1),
+    ]
+    assert license_scan(docs(spark, [])).count() == 0
+    odd = clashing(docs(spark, rows), "_scan", "labels", "score", "n_words")
+    assert rows_of(license_scan(odd), "doc_id", "labels") == [(r[0], r[5]) for r in out]

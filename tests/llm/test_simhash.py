@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from playlens.llm import simhash
+from playlens.llm.components import connected_components
+from playlens.llm.queries import QUERIES
+from playlens.llm.simhash import close_pairs, fingerprint, keep_one, simhash_groups
+from tests.llm.helpers import SF, clashing, components, docs, lower, real_docs, rows_of, words
+
+
+def brute_fingerprint(text):
+    w = words(lower(text))
+    grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    counts = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g.encode(), 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(grams))
+
+
+def test_query_equals_brute_force(spark):
+    texts = {r["doc_id"]: r["text"] for r in real_docs(spark).collect()}
+    ids = sorted(texts)
+    fps = [brute_fingerprint(texts[i]) for i in ids]
+    root = components(len(ids), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 2)
+    want = {i: (f"{f:016x}", ids[r]) for i, f, r in zip(ids, fps, root)}
+    got = QUERIES["op5_simhash_near_dedup"](spark, SF).collect()
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == want and len(got) == len(ids)
+    assert len(set(root)) < len(ids)
+
+
+@pytest.mark.parametrize("text", ["", " \n", "one", "Two words", "a b c", "x " * 400, "é ü ß Ä b c d e f", "a\x0bb\x0cc\x1cd e"])
+def test_fingerprint(text):
+    assert fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def test_long_texts_are_read_in_chunks(monkeypatch):
+    draw = random.Random(1)
+    text = " ".join("".join(draw.choices("abcdefgh", k=draw.randint(1, 9))) for _ in range(5000))
+    whole = fingerprint(text.encode())
+    monkeypatch.setattr(simhash, "CHUNK", 37)
+    assert fingerprint(text.encode()) == whole == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 64])
+def test_pairs_and_midpoints_give_the_same_components(spark, limit):
+    draw = random.Random(2)
+    seeds = [draw.getrandbits(64) for _ in range(20)]
+    values = set()
+    for s in seeds:
+        for _ in range(12):
+            values.add(s ^ sum(1 << b for b in draw.sample(range(64), draw.choice([0, 1, 2, 3, 5]))))
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    edges = close_pairs(spark.createDataFrame([(v,) for v in values], "fp long"), bucket_limit=limit)
+    bits = np.array(values, dtype=np.int64).view(np.uint64)
+    for r in edges.collect():
+        assert ((r["u"] ^ r["v"]) & ((1 << 64) - 1)).bit_count() <= 2
+    root = components(len(values), lambda i, j: int(bits[i] ^ bits[j]).bit_count() <= 2)
+    got = {r["node"]: r["root"] for r in connected_components(edges).collect()}
+    assert [got.get(v, v) for v in values] == [values[r] for r in root]
+
+
+def test_chain_components(spark):
+    n = 200
+    edges = spark.createDataFrame([((i * 37) % n, ((i + 1) * 37) % n) for i in range(n - 1)], "u long, v long")
+    got = connected_components(edges).collect()
+    assert len(got) == n and {r["root"] for r in got} == {0}
+    assert connected_components(edges.where("u < 0")).count() == 0
+
+
+def test_edges(spark):
+    rows = [(5, None), (9, ""), (3, " \t\n"), (None, ""), (7, "same text in here"), (None, "same text in here")]
+    rows += [(8, "Same TEXT in  here"), (8, "same text in here"), (20, "other words entirely apart"), (None, "lone text without any id")]
+    out = rows_of(simhash_groups(docs(spark, rows)), "doc_id", "component_id")
+    assert out == sorted(
+        [(5, 3), (9, 3), (3, 3), (None, 3), (7, 7), (None, 7), (8, 7), (8, 7), (20, 20), (None, None)],
+        key=lambda r: tuple((x is None, str(x)) for x in r),
+    )
+    assert simhash_groups(docs(spark, [])).count() == 0
+    odd = clashing(docs(spark, rows), "fp", "text_key", "id", "root", "first", "component_id", "keeper")
+    assert rows_of(simhash_groups(odd), "doc_id", "component_id") == out
+
+
+def test_keep_one(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (4, "x y z w"), (None, None), (None, "")]
+    d = clashing(docs(spark, rows), "_kid", "_kkey", "_k0", "_doc")
+    kept = keep_one(d, simhash_groups(d))
+    assert kept.columns == d.columns
+    assert [r[0] for r in rows_of(kept, "doc_id")] == [1, 4, None]
+    assert kept.where(F.col("doc_id").isNull()).count() == 1
+
+
+def test_rejects_odd_distances(spark):
+    with pytest.raises(ValueError):
+        close_pairs(spark.createDataFrame([(1,)], "fp long"), max_bits=1)
