@@ -51,7 +51,8 @@ def bucket_counts(
 ) -> DataFrame:
     """(``bucket``, ``n_raw``, ``n_target``): n-grams of all documents and of those whose id is in ``trusted``."""
     hashed = docs.select(F.col(id_col).alias("id"), _buckets(word_hashes(split_words(F.col(text_col))), buckets).alias("uni"))
-    ids = trusted.select(F.col(id_col).alias("tid")).where("tid IS NOT NULL").distinct()
+    # Merged at every size: the ids grow with the corpus, so they are never broadcast.
+    ids = trusted.select(F.col(id_col).alias("tid")).where("tid IS NOT NULL").distinct().hint("merge")
     marked = hashed.join(ids, hashed["id"] == ids["tid"], "left").select(
         F.col("tid").isNotNull().cast("long").alias("target"), F.explode(_ngrams(F.col("uni"), buckets)).alias("b")
     )
