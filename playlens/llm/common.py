@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["WHITE", "cut_lineage", "digest128", "free_names", "lower_ascii", "one_row_each", "row_items", "split_lines", "split_words", "table"]
+__all__ = ["WHITE", "cut_lineage", "digest128", "free_names", "let", "lower_ascii", "one_row_each", "row_items", "split_lines", "split_words", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,15 @@ def digest128(c: Column) -> list[Column]:
     return [F.xxhash64(c), F.xxhash64(F.lit(0x9E3779B97F4A7C15 - 2**64), c)]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, even where lambdas inside use it for every element.
+
+    A plain column would not do: pushing a filter down can put the column's
+    own expression in its place.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """Column names like ``wanted`` that no column of ``df`` has (helpers beside a caller's columns)."""
     taken, names = {c.lower() for c in df.columns}, []

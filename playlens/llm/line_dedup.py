@@ -13,10 +13,10 @@ its verdict back is an equi-join that adaptive execution can split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import WHITE, digest128, free_names, lower_ascii, split_lines
+from playlens.llm.common import WHITE, cut_lineage, digest128, free_names, let, lower_ascii, split_lines
 
 
 def dropped_lines(
@@ -42,8 +42,10 @@ def dropped_lines(
         .where(F.col("_docs") >= min_docs)
         .drop("_docs")
     )
+    # Read back from the checkpoint, the keys have no partitioning yet: both sides of the join are
+    # exchanged for it, which lets adaptive execution split a line with a third of all rows.
     return (
-        lines.join(shared, ["_h1", "_h2"])
+        lines.join(cut_lineage(shared), ["_h1", "_h2"])
         .where(~F.col("_id").eqNullSafe(F.col("_keeper")))
         .groupBy("_id", "_row")
         .agg(F.collect_set("_pos").alias("_drop"))
@@ -66,18 +68,21 @@ def line_dedup(
     places.  Other columns pass through; input columns named ``n_lines`` or
     ``n_dropped`` are replaced.  An empty table gives an empty result.
     """
-    tkey, fid, row, drop, lines = free_names(docs, "_tkey", "_fid", "_row", "_drop", "_lines")
+    tkey, fid, row, drop = free_names(docs, "_tkey", "_fid", "_row", "_drop")
     drops = dropped_lines(docs, text_col, id_col, min_chars, min_docs).toDF(fid, row, drop)
     base = docs.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))).withColumn(tkey, F.xxhash64(text_col))
     joined = base.join(drops, F.col(id_col).eqNullSafe(F.col(fid)) & (F.col(tkey) == F.col(row)), "left")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))
-    kept = F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n")
-    n_lines, untouched = F.size(lines).cast("long"), F.col(drop).isNull()
-    out = joined.withColumn(lines, split_lines(F.col(text_col))).withColumns(
+
+    def without(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))
+        return F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n")
+
+    lines, untouched = split_lines(F.col(text_col)), F.col(drop).isNull()
+    out = joined.withColumns(
         {
-            text_col: F.when(untouched, F.col(text_col)).otherwise(kept),
-            "n_lines": n_lines,
+            text_col: F.when(untouched, F.col(text_col)).otherwise(let(lines, without)),
+            "n_lines": F.size(lines).cast("long"),
             "n_dropped": F.when(untouched, 0).otherwise(F.size(drop)).cast("long"),
         }
     )
-    return out.drop(tkey, fid, row, drop, lines)
+    return out.drop(tkey, fid, row, drop)
