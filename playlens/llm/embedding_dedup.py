@@ -137,7 +137,7 @@ def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def embedding_links(
     nodes: DataFrame, cosine: float = 0.9, equal: int = 2, max_bits: int = 16, chunk: int = 256
 ) -> tuple[DataFrame, DataFrame]:
-    """Links between ``nodes`` (``node``, ``n``, ``code``, ``emb``): (``node``, ``links``) and edges (``u``, ``v``).
+    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``code``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
 
     ``links`` counts the copies of the linked nodes.
     """
@@ -145,13 +145,13 @@ def embedding_links(
         F.struct(F.lit(t).alias("t"), F.col("code").bitwiseAND(F.lit(mask)).alias("k"))
         for t, (mask, _, _) in enumerate(_tables(equal))
     ]
-    rows = nodes.select("node", "code", F.inline(F.array(*keys)))
+    rows = nodes.select("node", "h1", "code", F.inline(F.array(*keys)))
     sizes = rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = rows.join(sizes, ["t", "k"]).withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
     met = met.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     met = met.select(
-        "t", "k", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "node", "code"
+        "t", "k", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "node", "h1", "code"
     )
 
     def with_candidate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,7 +159,7 @@ def embedding_links(
             hit = np.zeros(len(group), dtype=bool)
             for a, b in _candidates(group, equal, max_bits):
                 hit[a] = hit[b] = True
-            yield group.loc[hit, [*_GROUP, "chunk", "node", "code"]]
+            yield group.loc[hit, [*_GROUP, "chunk", "node", "h1", "code"]]
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_groups(batches):
@@ -182,7 +182,7 @@ def embedding_links(
 
     parted = met.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
     members = parted.mapInPandas(with_candidate, parted.schema.simpleString()[7:-1].replace(":", " "))
-    fetched = members.join(nodes.select("node", "n", "emb"), "node").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
+    fetched = members.join(nodes.select("node", "h1", "n", "emb"), ["node", "h1"]).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
     found = cut_lineage(fetched.mapInPandas(verified, "node long, root long, links long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     return links, found.select(F.col("node").alias("u"), F.col("root").alias("v"))

@@ -97,7 +97,7 @@ def quality_rules(
     id_col: str = "doc_id",
     buckets: int = MAX_BUCKETS,
     smoothing: float = 1.0,
-    threshold: float = -0.06,
+    threshold: float = -0.1,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``text_key``, base counts, ``base_failed``, ``score``, ``kept``.
 
@@ -148,6 +148,8 @@ def quality_rules(
         .groupBy(*facts)
         .agg(F.sum("micro").alias("sum"), F.count(F.lit(1)).alias("n"))
     )
+    # The narrow result is written once: a caller's filter must not be pushed into the chain of arrays above.
+    scored = cut_lineage(scored)
     score = F.coalesce(F.col("sum") / (F.col("n") * MICRO), F.lit(0.0))
     per_row = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

@@ -1,0 +1,74 @@
+
+from playlens.llm.chat import chat_blocks, link_messages
+from playlens.llm.queries import QUERIES
+from tests.llm.helpers import SF, clashing, rows_of
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+TALK = [
+    (1, 0, "a", "Hello there my friends.\n\nWhat is the plan for today?"),
+    (1, 1, "b", "> What is the plan for today?\nWe go swimming in the lake."),
+    (1, 2, "c", "I have no idea at all."),
+    (1, 3, "d", "On Monday b wrote:\n> > What is the plan for today?\n> We go swimming in\n>  the LAKE.\nGreat, count me in please."),
+    (1, 4, "e", ">>> What is the plan for today?\n>> we go swimming in the lake.\n> Great, count me in please.\nMe too, of course."),
+    (1, 5, "f", "> nobody wrote this line\nok"),
+    (1, 6, "g", "> Great, count me in please.\nGreat indeed."),
+    (2, 0, "x", "What is the plan for today?"),
+]
+
+
+def talk(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_links_levels_and_threads(spark):
+    out = {(r["conv_id"], r["turn"]): r for r in link_messages(talk(spark, TALK)).collect()}
+    get = lambda *cols: [tuple(out[1, t][c] for c in cols) for t in range(7)]
+    assert get("reply_to") == [(None,), (0,), (1,), (1,), (3,), (4,), (3,)]
+    assert get("thread", "seq") == [(0, 0), (0, 1), (0, 2), (3, 0), (3, 1), (3, 2), (6, 0)]
+    assert get("n_quotes", "n_linked") == [(0, 0), (1, 1), (0, 0), (2, 2), (3, 3), (1, 0), (1, 1)]
+    assert out[1, 3]["content"] == "Great, count me in please." and out[1, 5]["content"] == "ok"
+    assert (out[2, 0]["position"], out[2, 0]["reply_to"]) == (0, None)
+
+
+def test_threads_continue_over_several_runs(spark):
+    rows = [(1, 0, "a", "First message of the talk."), (1, 1, "b", "> First message of the talk.\nSecond message here.")]
+    rows += [(1, 2, "c", "> First message of the talk.\nThird message here.")]
+    rows += [(1, 3, "d", "> Second message here.\nFourth message here."), (1, 4, "e", "> Fourth message here.\nFifth one.")]
+    rows += [(1, 5, "f", "> Third message here.\nSixth message.")]
+    out = {r["turn"]: (r["reply_to"], r["thread"], r["seq"]) for r in link_messages(talk(spark, rows)).collect()}
+    assert out == {0: (None, 0, 0), 1: (0, 0, 1), 2: (0, 2, 0), 3: (1, 0, 2), 4: (3, 0, 3), 5: (2, 2, 1)}
+
+
+def test_long_conversation(spark):
+    rows = [(1, t, "u", f"message number {t}") for t in range(3000)]
+    out = link_messages(talk(spark, rows)).select("turn", "position", "reply_to", "thread", "seq").collect()
+    assert all((r[1], r[2], r[3], r[4]) == (r[0], r[0] - 1 if r[0] else None, 0, r[0]) for r in out) and len(out) == 3000
+    blocks = chat_blocks(link_messages(talk(spark, rows))).collect()
+    assert sum(b["n_messages"] for b in blocks) == 3000 and max(b["n_messages"] for b in blocks) == 64
+
+
+def test_query_keeps_every_message(spark):
+    want = spark.read.parquet(f"{SF}/conversations.parquet")
+    got = QUERIES["op3_chat_formatting"](spark, SF)
+    assert rows_of(got, "conv_id", "turn", "role", "content") == rows_of(want, "conv_id", "turn", "role", "text")
+    assert got.where("reply_to >= position OR (reply_to IS NULL) <> (position = 0)").count() == 0
+
+
+def test_edges(spark):
+    rows = [(None, 0, None, None), (None, 0, None, None), (None, None, "x", ""), (3, None, "x", "late"), (3, 5, "y", "> late\n>\n> late"), (3, 5, "z", "w" * 500_000)]
+    out = link_messages(talk(spark, rows))
+    assert out.count() == 6
+    assert rows_of(out.where("conv_id IS NULL"), "position") == [(0,), (1,), (1,)]
+    assert rows_of(out.where("conv_id = 3"), "position") == [(0,), (1,), (2,)]
+    assert out.where("role = 'y'").first()["content"] == ""
+    assert link_messages(talk(spark, [])).count() == 0
+    odd = clashing(talk(spark, rows + TALK), "conv", "position", "tkey", "level", "head", "start", "up", "pos", "line", "text_id")
+    cols = ["conv_id", "turn", "reply_to", "thread", "seq"]
+    assert rows_of(link_messages(odd), *cols) == rows_of(link_messages(talk(spark, rows + TALK)), *cols)
+
+
+def test_blocks(spark):
+    blocks = {(r["conv_id"], r["thread"]): r["chat"] for r in chat_blocks(link_messages(talk(spark, TALK))).collect()}
+    assert blocks[1, 3] == "<|d|>\nGreat, count me in please.\n<|e|>\nMe too, of course.\n<|f|>\nok"
+    assert all(">" not in c.replace("<|", "").replace("|>", "") for c in blocks.values())

@@ -1,0 +1,99 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from playlens.llm import quality_classifier as qc
+from playlens.llm.queries import QUERIES
+from tests.llm.helpers import SF, clashing, docs, rows_of
+
+MID = SF.replace("0.001", "0.01")
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    return {r["doc_id"]: r for r in QUERIES["op2_quality_classifier"](spark, MID).collect()}
+
+
+def test_held_out_accuracy(spark, scored):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{MID}/labels.parquet").collect()}
+    held = [(scored[i], y) for i, y in labels.items() if scored[i]["held_out"]]
+    assert len(held) > 40
+    assert np.mean([r["predicted"] == y for r, y in held]) >= 0.95
+    bad = [r["score"] for r, y in held if y == 0]
+    good = [r["score"] for r, y in held if y == 1]
+    assert np.mean([g > b for g in good for b in bad]) >= 0.97
+
+
+def test_columns(spark, scored):
+    assert len(scored) == spark.read.parquet(f"{MID}/documents.parquet").count()
+    for i, r in scored.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (1 if r["score"] >= 0.3 else 0)
+
+
+def test_held_out_labels_change_nothing(spark):
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    flipped = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality")
+    assert flipped.exceptAll(labels.select("doc_id", "quality")).count() > 0
+    a, b = [rows_of(qc.quality_scores(d, y, sample_docs=200), "doc_id", "score") for y in (labels, flipped)]
+    assert a == b
+
+
+def test_gradients():
+    draw = np.random.default_rng(0)
+    bags = [draw.random((k, qc.WIDTH)) for k in (1, 4, 2)]
+    rows, bag = np.concatenate(bags), np.repeat(np.arange(3), [1, 4, 2])
+    y, w = np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 0.5])
+    model = qc.AttentionModel(rows.mean(axis=0), rows.std(axis=0) + 0.01, 1)
+
+    def loss():
+        p = np.array([model.score(iter([b])) for b in bags])
+        return float(-(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / w.sum())
+
+    grads = model.gradients(rows, bag, 3, y, w)
+    for name, value in model.p.items():
+        flat = value.reshape(-1)
+        for at in range(0, flat.size, max(1, flat.size // 5)):
+            old = flat[at]
+            flat[at] = old + 1e-5
+            up = loss()
+            flat[at] = old - 1e-5
+            down = loss()
+            flat[at] = old
+            assert grads[name].reshape(-1)[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-7)
+
+
+def test_scores_do_not_depend_on_blocks():
+    draw = np.random.default_rng(1)
+    rows = draw.random((50, qc.WIDTH)).astype(np.float32)
+    model = qc.AttentionModel(rows.mean(axis=0), rows.std(axis=0) + 0.01, 2)
+    whole = model.score(iter([rows]))
+    assert model.score(iter(np.array_split(rows, 7))) == pytest.approx(whole, abs=1e-9)
+
+
+def test_encoding(monkeypatch):
+    assert [len(b) for b in qc.encode(b"")] == [1]
+    assert [len(b) for b in qc.encode(b"\n \n")] == [1]
+    text = b"word " * 1000
+    assert sum(len(b) for b in qc.encode(text)) == -(-1000 // qc.PASSAGE_WORDS)
+    monkeypatch.setattr(qc, "CHUNK", 100)
+    assert sum(len(b) for b in qc.encode(text)) > 40
+
+
+def test_edges(spark):
+    rows = [(i, f"clean words number {i} of the text here" if i % 2 else "### $$$ &&& %%% ###") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (3, None), (999, 0)], "doc_id long, quality int")
+    more = [(None, None), (100, ""), (101, None), (102, "x" * 2_000_000), (1, "clean words number 1 of the text here")]
+    d = clashing(docs(spark, rows + more), "_value", "score", "held_out", "lid", "did", "y", "rows")
+    out = qc.quality_scores(d, labels)
+    got = out.collect()
+    assert len(got) == 65 and all(0 <= r["score"] <= 1 for r in got)
+    assert [r["held_out"] for r in got if r["doc_id"] is None] == [False]
+    known = [(r["predicted"], r["doc_id"] % 2) for r in got if r["doc_id"] is not None and r["doc_id"] < 60]
+    assert np.mean([a == b for a, b in known]) >= 0.95
+    none = labels.where("quality > 5")
+    assert {r["score"] for r in qc.quality_scores(docs(spark, rows), none).collect()} == {0.5}
+    assert qc.quality_scores(docs(spark, []), labels).count() == 0
+    one = qc.quality_scores(docs(spark, rows), labels.where("quality = 1")).collect()
+    assert len(one) == 60
