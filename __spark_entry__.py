@@ -3,30 +3,41 @@
 Every query reads the given tables through the fixture mapping of
 FIXTURES.md (F1: ``events``; F2: ``lineitem`` x ``orders``; the catalog
 from ``part``) and runs the library's operators over the whole tables.
-Each oracle is the workload's own formulation (windows, ``dense_rank``,
-``row_number``) written for DuckDB, so it also checks that the
-re-aimed Spark plans (distributed ids, aggregate + join shares, bucketed
-split, long-form metrics) compute the same thing.
+Each oracle states the result independently in DuckDB (``dense_rank`` for
+the ids, counts and one join for the scores, ``row_number`` for splits and
+lists), so it also checks that the Spark plans (distributed ids, bucketed
+split, hits-first metrics) compute the same thing.
+
+The catalog of the fixtures holds nine tenths of ``part``
+(``p_partkey % 10 <> 9``, FIXTURES.md); the plays of the rest find no item.
+That concerns ``catalog``, ``item_ids``, ``item_ids_f1`` and what is built
+on them, and gives the left join its unmatched plays.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playlens.operators.ids import build_item_ids, unmatched
 from playlens.operators.metrics import ranking_metrics, rmse
-from playlens.operators.model import fit_als, predict
+from playlens.operators.model import fit_als, predict, predict_factors
 from playlens.operators.ratings import minmax_score, play_share
 from playlens.operators.recommend import recommend_items, recommend_users, recommendation_ids, top_k_per_group
-from playlens.operators.split import side, split_rows
+from playlens.operators.split import side, split_per_user, split_rows
+from playlens.operators.tuning import best_by
 from playlens.plans import prepare as P
-from playlens.plans.evaluate import evaluate_model, labels_of
-from playlens.plans.search import best_points, grid_search
+from playlens.plans.evaluate import evaluate_model, labels_of, single_run
+from playlens.plans.search import ALPHAS, RANKS, REG_PARAMS, best_points, grid_search
+from playlens.session import scratch_path
 from playlens.sources import fixtures as FX
-from playlens.sources.sinks import preview
+from playlens.sources.sinks import preview, read_split_side, write_split, write_table
+from playlens.sources.tables import read_parquet, register_tables
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 SEED = 52
@@ -49,6 +60,35 @@ def _scores(spark: SparkSession, d: str, scale: float = 100.0, zeros: str = "kee
     return minmax_score(_rekeyed(spark, d, fx), scale=scale, zeros=zeros)
 
 
+# Prepared tables and fitted models that several queries of a session share.
+# At most MAX_KEPT stay; the one not used for longest is released first.
+MAX_KEPT = 8
+_KEPT: OrderedDict = OrderedDict()
+
+
+def _kept(spark: SparkSession, *key, build: Callable):
+    """``build()``, once per session and key; a DataFrame is persisted (lazily)."""
+    app = spark.sparkContext.applicationId
+    if (app, *key) not in _KEPT:
+        made = build()
+        _KEPT[(app, *key)] = made.persist(StorageLevel.MEMORY_AND_DISK) if isinstance(made, DataFrame) else made
+    _KEPT.move_to_end((app, *key))
+    while len(_KEPT) > MAX_KEPT:
+        (old_app, *_), old = _KEPT.popitem(last=False)
+        if isinstance(old, DataFrame) and old_app == app:
+            old.unpersist()
+    return _KEPT[(app, *key)]
+
+
+def _scored(spark: SparkSession, d: str, scale: float = 100.0, zeros: str = "keep", fx: str = "f2") -> DataFrame:
+    """The score table, prepared once for all that is built on it."""
+    return _kept(spark, "scores", d, scale, zeros, fx, build=lambda: _scores(spark, d, scale, zeros, fx))
+
+
+def _split80(spark: SparkSession, d: str) -> DataFrame:
+    return _kept(spark, "split", d, "x100", build=lambda: P.labelled_split(_scored(spark, d), 0.8, seed=SEED))
+
+
 # --------------------------------------------------------------------------
 # queries
 # --------------------------------------------------------------------------
@@ -119,36 +159,38 @@ def q_play_share_f1(spark, d):
 
 
 def q_split_ordered_80_f1(spark, d):
-    return P.labelled_split(_scores(spark, d, 100.0, fx="f1"), 0.8, seed=SEED)
+    return P.labelled_split(_scored(spark, d, fx="f1"), 0.8, seed=SEED)
 
 
 def q_split_ordered_80(spark, d):
-    return P.labelled_split(_scores(spark, d, 100.0), 0.8, seed=SEED)
+    return P.labelled_split(_scored(spark, d), 0.8, seed=SEED)
 
 
 def q_split_hash_70(spark, d):
-    return P.labelled_split(_scores(spark, d, 100.0, zeros="drop_before"), 0.7, seed=SEED)
+    return P.labelled_split(_scored(spark, d, zeros="drop_before"), 0.7, seed=SEED)
 
 
 def q_split_zero_after(spark, d):
-    return P.labelled_split(_scores(spark, d, 10.0), 0.8, zeros="drop_after", seed=SEED)
+    return P.labelled_split(_scored(spark, d, 10.0), 0.8, zeros="drop_after", seed=SEED)
 
 
 def q_split_raw_share(spark, d):
-    return P.raw_share_split(_catalog(spark, d, "f2"), FX.plays_f2(spark, d), 0.8, seed=SEED)
+    shares = _kept(spark, "shares", d, build=lambda: P.share_table(_catalog(spark, d, "f2"), FX.plays_f2(spark, d)))
+    return P.raw_share_split(shares, 0.8, seed=SEED)
 
 
 def q_split_rows_80(spark, d):
-    return split_rows(FX.plays_f2(spark, d), (0.8, 0.2), seed=SEED, key_cols=["user_id", "recording_msid"])
+    return split_rows(FX.plays_f2(spark, d), (0.8, 0.2), seed=SEED)
 
 
-def q_train_70pct(spark, d):
-    labelled = P.labelled_split(_scores(spark, d, 100.0, zeros="drop_before"), 0.7, seed=SEED)
-    return labelled.where(F.col("dataset") == "train").drop("dataset")
+def q_split_duplicates(spark, d):
+    """Raw plays: users repeat items, so the split has to tell copies apart."""
+    return split_per_user(FX.plays_f1(spark, d), 0.8, seed=SEED, item_col="recording_msid")
 
 
-def _split80(spark, d):
-    return P.labelled_split(_scores(spark, d, 100.0), 0.8, seed=SEED)
+def q_train_70pct(spark, d):
+    labelled = P.labelled_split(_scored(spark, d, zeros="drop_before"), 0.7, seed=SEED)
+    return labelled.where(F.col("dataset") == "train").drop("dataset")
 
 
 def q_user_counts(spark, d):
@@ -185,7 +227,7 @@ K = 100
 def _score_lists(spark, d, k=K):
     """Each user's items ranked by their own score: a deterministic top-k list."""
     return top_k_per_group(
-        _scores(spark, d, 100.0), "user_id", [F.col("normalized_ranking").desc(), F.col("track_new_id").asc()], k
+        _scored(spark, d), "user_id", [F.col("normalized_ranking").desc(), F.col("track_new_id").asc()], k
     )
 
 
@@ -221,35 +263,25 @@ def q_ranking_metrics_at_10(spark, d):
 # reused by the queries of one session and data directory.
 ALS_PARAMS = dict(rank=100, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
 ALS_PARAMS_250 = dict(rank=250, max_iter=5, reg_param=1.0, alpha=1.0, seed=SEED)
-_MODELS: dict = {}
-_GIB = 1 << 30
-
-
-def _grid_parallelism(spark) -> int:
-    """Distinct models fitted concurrently (scheduling only; results are the same).
-
-    Broadcasts of every concurrent fit are built on the driver, so
-    concurrency is only used when the driver has room for it.
-    """
-    conf = spark.sparkContext.getConf()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": _GIB, "t": 1 << 40}
-    raw = conf.get("spark.driver.memory", "1g").strip().lower().rstrip("b")
-    size = float(raw[:-1]) * units[raw[-1]] if raw and raw[-1] in units else float(raw or 0)
-    return 4 if size >= 8 * _GIB else 1
 
 
 def _sets(spark, d, variant="x100"):
-    labelled = P.prepare(_catalog(spark, d, "f2"), FX.plays_f2(spark, d), variant, seed=SEED)
+    """Train and validation of a variant: two sides of one labelled split, made once."""
+    if variant == "x100":
+        labelled = _split80(spark, d)
+    else:
+        v = P.VARIANTS[variant]
+        scored = _scored(spark, d, v["scale"], v["zeros"])
+        labelled = _kept(
+            spark, "split", d, variant, build=lambda: P.labelled_split(scored, v["fraction"], v["zeros"], seed=SEED)
+        )
     return side(labelled, "train"), side(labelled, "validation")
 
 
 def _model(spark, d, variant="x100", params=None):
     params = params or ALS_PARAMS
-    key = (spark.sparkContext.applicationId, d, variant, tuple(sorted(params.items())))
-    if key not in _MODELS:
-        train, _ = _sets(spark, d, variant)
-        _MODELS[key] = fit_als(train, **params)
-    return _MODELS[key]
+    key = ("model", d, variant, tuple(sorted(params.items())))
+    return _kept(spark, *key, build=lambda: fit_als(_sets(spark, d, variant)[0], **params))
 
 
 def q_als_predict(spark, d):
@@ -290,20 +322,27 @@ def q_als_metrics(spark, d):
 
 
 def q_als_metrics_rank250(spark, d):
-    _, validation = _sets(spark, d, "positive_70")
-    return evaluate_model(_model(spark, d, "positive_70", ALS_PARAMS_250), validation, K)
+    train, validation = _sets(spark, d, "positive_70")
+    return single_run(train, validation, k=K, **ALS_PARAMS_250)
+
+
+# Distinct models fitted at a time: scheduling only, the results are the same.
+# Every fit broadcasts from the driver, so this is kept small.
+GRID_PARALLELISM = 2
 
 
 def _grid(spark, d, variant="x100", max_iter=5):
     """The workload's 48-point grid; x100 scores with 5 iterations, or x1
     scores with MLlib's default 10 iterations (its second search job)."""
-    key = (spark.sparkContext.applicationId, d, "grid", variant, max_iter)
-    if key not in _MODELS:
-        train, validation = _sets(spark, d, variant)
-        _MODELS[key] = grid_search(
-            train, validation, k=K, max_iter=max_iter, seed=SEED, parallelism=_grid_parallelism(spark)
-        ).cache()
-    return _MODELS[key]
+    train, validation = _sets(spark, d, variant)
+    return _kept(
+        spark,
+        "grid",
+        d,
+        variant,
+        max_iter,
+        build=lambda: grid_search(train, validation, k=K, max_iter=max_iter, seed=SEED, parallelism=GRID_PARALLELISM),
+    )
 
 
 def q_grid_results(spark, d):
@@ -322,6 +361,93 @@ def q_grid_best(spark, d):
     return best_points(_grid(spark, d).drop("fit_sec"))
 
 
+def _factor_pairs(spark, d):
+    """Fixture F3: distinct (customer, part) pairs of the plays with their number as label."""
+    item = F.expr("CAST(substr(recording_msid, 6) AS BIGINT)").alias("track_new_id")
+    plays = FX.plays_f2(spark, d).select("user_id", item)
+    return plays.groupBy("user_id", "track_new_id").agg(F.count(F.lit(1)).cast("double").alias("plays"))
+
+
+def _factor_predictions(spark, d):
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    users, items = vectors.where("id % 5 = 0"), vectors.where("id % 5 <> 0")
+    return predict_factors(users, items, _factor_pairs(spark, d))
+
+
+def q_factor_predict(spark, d):
+    return _factor_predictions(spark, d).withColumn("prediction", F.round("prediction", 9))
+
+
+def q_factor_rmse(spark, d):
+    return rmse(_factor_predictions(spark, d), "plays").select("rows", F.round("rmse", 9).alias("rmse"))
+
+
+def q_als_warm_pairs(spark, d):
+    return q_als_predict(spark, d).select("user_id", "track_new_id")
+
+
+def _list_shape(recs, owner):
+    """Rows, first and last position of every list, and whether its ratings never rise."""
+    before = F.lag("rating").over(Window.partitionBy(owner).orderBy("pos"))
+    return (
+        recs.withColumn("falls", F.coalesce(F.col("rating") <= before, F.lit(True)))
+        .groupBy(owner)
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.min("pos").alias("min_pos"),
+            F.max("pos").alias("max_pos"),
+            F.bool_and("falls").alias("non_increasing"),
+        )
+    )
+
+
+def q_als_list_shape_items(spark, d):
+    return _list_shape(q_als_topk_items(spark, d), "user_id")
+
+
+def q_als_list_shape_users(spark, d):
+    return _list_shape(q_als_topk_users(spark, d), "track_new_id")
+
+
+def q_als_list_shape_items_subset(spark, d):
+    return _list_shape(q_als_topk_items_subset(spark, d), "user_id")
+
+
+def q_als_list_shape_users_subset(spark, d):
+    return _list_shape(q_als_topk_users_subset(spark, d), "track_new_id")
+
+
+def q_grid_points(spark, d):
+    return _grid(spark, d).select("grid_index", "reg_param", "rank", "alpha", "model_index", "users")
+
+
+def q_best_rule(spark, d):
+    """``best_by`` on a table with many ties: items as grid points, their number of users as metric."""
+    per_item = _scores(spark, d, 100.0).groupBy(F.col("track_new_id").alias("grid_index"))
+    return best_by(per_item.agg(F.count(F.lit(1)).alias("metric")), "metric")
+
+
+def q_sink_scores(spark, d):
+    """The score table, written and read again."""
+    path = scratch_path(spark, f"scores-{uuid.uuid4().hex}")
+    return read_parquet(spark, write_table(_scored(spark, d), path))
+
+
+def q_sink_train(spark, d):
+    """The train side of a written split."""
+    path = write_split(_split80(spark, d), scratch_path(spark, f"split-{uuid.uuid4().hex}"))
+    return read_split_side(spark, path, "train")
+
+
+def q_plays_f2_sql(spark, d):
+    """The plays of fixture F2 by SQL over the registered tables."""
+    register_tables(spark, d, ["lineitem", "orders"])
+    return spark.sql(
+        """SELECT o_custkey AS user_id, concat('msid-', l_partkey) AS recording_msid
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plays_f1": q_plays_f1,
     "plays_f2": q_plays_f2,
@@ -369,6 +495,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grid_best": q_grid_best,
     "grid_results_x1": q_grid_results_x1,
     "grid_best_x1": q_grid_best_x1,
+    "split_duplicates": q_split_duplicates,
+    "factor_predict": q_factor_predict,
+    "factor_rmse": q_factor_rmse,
+    "als_warm_pairs": q_als_warm_pairs,
+    "als_list_shape_items": q_als_list_shape_items,
+    "als_list_shape_users": q_als_list_shape_users,
+    "als_list_shape_items_subset": q_als_list_shape_items_subset,
+    "als_list_shape_users_subset": q_als_list_shape_users_subset,
+    "grid_points": q_grid_points,
+    "best_rule": q_best_rule,
+    "sink_scores": q_sink_scores,
+    "sink_train": q_sink_train,
+    "plays_f2_sql": q_plays_f2_sql,
 }
 
 
@@ -403,26 +542,29 @@ _CTE_REKEYED = """rekeyed AS (
     SELECT CAST(p.user_id AS INTEGER) AS user_id, p.recording_msid, i.track_new_id
     FROM plays p LEFT JOIN ids i ON p.recording_msid = i.recording_msid)"""
 
-_CTE_SHARES = """shares AS (
-    SELECT DISTINCT user_id, track_new_id,
-           COUNT(track_new_id) OVER (PARTITION BY user_id) AS count_total,
-           COUNT(track_new_id) OVER (PARTITION BY user_id, track_new_id) AS count_pop
-    FROM rekeyed)"""
+# Whole numbers first: plays of each pair, then per user their sum, least and most.
+_CTE_PAIRS = """pairs AS (
+    SELECT user_id, track_new_id, count(track_new_id) AS plays FROM rekeyed GROUP BY ALL)"""
+
+_CTE_USERS = """users AS (
+    SELECT user_id AS uid, CAST(sum(plays) AS BIGINT) AS total, min(plays) AS low, max(plays) AS high
+    FROM pairs GROUP BY user_id)"""
+
+_CTE_SHARES = f"""{_CTE_PAIRS},
+{_CTE_USERS},
+shares AS (
+    SELECT user_id, track_new_id, plays, total, low, high, CASE WHEN total > 0 THEN plays / total END AS share
+    FROM pairs JOIN users ON user_id IS NOT DISTINCT FROM uid)"""
 
 
 def _cte_scored(scale: float, positive: bool = False) -> str:
-    pos = " AND normalized_ranking > 0" if positive else ""
+    """A score exists where the user is known, the item is known and the user's counts differ."""
+    least = "low < plays" if positive else "low <= plays"
     return f"""scored AS (
-    SELECT user_id, track_new_id, ranking, normalized_ranking FROM (
-        SELECT user_id, track_new_id, ranking,
-               (ranking - min_ranking) / nullif(max_ranking - min_ranking, 0) * {scale!r} AS normalized_ranking
-        FROM (
-            SELECT user_id, track_new_id, count_pop / nullif(count_total, 0) AS ranking,
-                   MIN(count_pop / nullif(count_total, 0)) OVER (PARTITION BY user_id) AS min_ranking,
-                   MAX(count_pop / nullif(count_total, 0)) OVER (PARTITION BY user_id) AS max_ranking
-            FROM shares) t2) t3
-    WHERE user_id IS NOT NULL AND track_new_id IS NOT NULL AND ranking IS NOT NULL
-      AND normalized_ranking IS NOT NULL{pos})"""
+    SELECT user_id, track_new_id, share AS ranking,
+           (share - low / total) / (high / total - low / total) * {scale!r} AS normalized_ranking
+    FROM shares
+    WHERE track_new_id IS NOT NULL AND user_id IS NOT NULL AND low < high AND {least})"""
 
 
 def _with(*ctes: str) -> str:
@@ -464,7 +606,7 @@ def _oracles() -> dict[str, str]:
     o["unmatched_plays"] = _with(*_prep()) + "SELECT * FROM rekeyed WHERE track_new_id IS NULL"
     o["play_share"] = (
         _with(*_prep(), _CTE_SHARES)
-        + "SELECT user_id, track_new_id, count_pop, count_total, count_pop / nullif(count_total, 0) AS ranking FROM shares"
+        + "SELECT user_id, track_new_id, plays AS count_pop, total AS count_total, share AS ranking FROM shares"
     )
     for name, scale in (("minmax_x1", 1.0), ("minmax_x10", 10.0), ("minmax_x100", 100.0)):
         o[name] = _with(*_prep(), _CTE_SHARES, _cte_scored(scale)) + "SELECT * FROM scored"
@@ -474,7 +616,7 @@ def _oracles() -> dict[str, str]:
     o["rekeyed_plays_f1"] = _with(*_prep("f1")) + "SELECT * FROM rekeyed"
     o["play_share_f1"] = (
         _with(*_prep("f1"), _CTE_SHARES)
-        + "SELECT user_id, track_new_id, count_pop, count_total, count_pop / nullif(count_total, 0) AS ranking FROM shares"
+        + "SELECT user_id, track_new_id, plays AS count_pop, total AS count_total, share AS ranking FROM shares"
     )
     o["split_ordered_80_f1"] = _with(*_prep("f1"), _CTE_SHARES, _cte_scored(100.0)) + _split_sql(
         "scored", 0.8, _SCORE_COLS
@@ -492,17 +634,25 @@ def _oracles() -> dict[str, str]:
         _with(
             *_prep(),
             _CTE_SHARES,
-            "raw AS (SELECT user_id, track_new_id, count_pop / nullif(count_total, 0) AS ranking FROM shares)",
+            "raw AS (SELECT user_id, track_new_id, share AS ranking FROM shares)",
         )
         + "SELECT * FROM ("
         + _split_sql("raw", 0.8, "user_id, track_new_id, ranking")
         + ") s WHERE ranking > 0"
     )
-    o["split_rows_80"] = _with(_CTE_PLAYS["f2"]) + f"""SELECT user_id, recording_msid,
-       CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '{SEED}', coalesce(CAST(user_id AS VARCHAR), ''),
-                                                    coalesce(recording_msid, ''))), 1, 8)) AS BIGINT)
-                 / 4294967296.0 < 0.8 THEN 'train' ELSE 'validation' END AS dataset
-FROM plays"""
+    numbered = """numbered AS (
+    SELECT user_id, recording_msid, row_number() OVER (PARTITION BY user_id, recording_msid) AS nth FROM plays),
+hashed AS (
+    SELECT user_id, recording_msid, nth, md5(concat_ws('|', '%d', coalesce(CAST(user_id AS VARCHAR), ''),
+                                                       coalesce(recording_msid, ''), CAST(nth AS VARCHAR))) AS h
+    FROM numbered)""" % SEED
+    o["split_rows_80"] = _with(_CTE_PLAYS["f2"], numbered) + """SELECT user_id, recording_msid,
+       CASE WHEN CAST(('0x' || substr(h, 1, 8)) AS BIGINT) < 0.8 * 4294967296 THEN 'train' ELSE 'validation' END AS dataset
+FROM hashed"""
+    o["split_duplicates"] = _with(_CTE_PLAYS["f1"], numbered) + """SELECT user_id, recording_msid,
+       CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY h, recording_msid, nth)
+                 <= floor(0.8 * count(*) OVER (PARTITION BY user_id)) THEN 'train' ELSE 'validation' END AS dataset
+FROM hashed WHERE user_id IS NOT NULL"""
     o["train_70pct"] = (
         _with(*_prep(), _CTE_SHARES, _cte_scored(100.0, positive=True))
         + f"SELECT {_SCORE_COLS} FROM ("
@@ -561,6 +711,47 @@ SELECT {cols} FROM m"""
     o["map_at_k"] = metrics_sql(K, "users, map_at_k")
     o["ndcg_at_k"] = metrics_sql(K, "users, ndcg_at_k")
     o["ranking_metrics_at_10"] = metrics_sql(10, "users, map, map_at_k, ndcg_at_k")
+
+    o["plays_f2_sql"] = o["plays_f2"]
+    o["sink_scores"] = o["minmax_x100"]
+    sides = _with(
+        *_prep(),
+        _CTE_SHARES,
+        _cte_scored(100.0),
+        split80,
+        "train AS (SELECT * FROM split WHERE dataset = 'train')",
+        "validation AS (SELECT * FROM split WHERE dataset = 'validation')",
+    )
+    o["sink_train"] = sides + f"SELECT {_SCORE_COLS} FROM train"
+    o["als_warm_pairs"] = sides + """SELECT user_id, track_new_id FROM validation
+WHERE user_id IN (SELECT user_id FROM train) AND track_new_id IN (SELECT track_new_id FROM train)"""
+
+    def shape_sql(owner: str, other: str, subset: bool) -> str:
+        only = f" WHERE {owner} IN (SELECT {owner} FROM validation)" if subset else ""
+        return sides + f"""SELECT {owner}, n AS n_rows, 1 AS min_pos, n AS max_pos, true AS non_increasing
+FROM (SELECT DISTINCT {owner} FROM train{only}), (SELECT least({K}, count(DISTINCT {other})) AS n FROM train)"""
+
+    for name, subset in (("", False), ("_subset", True)):
+        o[f"als_list_shape_items{name}"] = shape_sql("user_id", "track_new_id", subset)
+        o[f"als_list_shape_users{name}"] = shape_sql("track_new_id", "user_id", subset)
+    n_alphas, n_ranks = len(ALPHAS), len(RANKS)
+    o["grid_points"] = sides + f"""SELECT CAST((i * {n_ranks} + j) * {n_alphas} + l AS INTEGER) AS grid_index,
+       CAST(({list(REG_PARAMS)})[i + 1] AS DOUBLE) AS reg_param, CAST(({list(RANKS)})[j + 1] AS INTEGER) AS rank,
+       CAST(({list(ALPHAS)})[l + 1] AS DOUBLE) AS alpha, CAST(i * {n_ranks} + j AS INTEGER) AS model_index,
+       (SELECT count(DISTINCT user_id) FROM validation WHERE user_id IN (SELECT user_id FROM train)) AS users
+FROM range({len(REG_PARAMS)}) a(i), range({n_ranks}) b(j), range({n_alphas}) c(l)"""
+    o["best_rule"] = scored100 + """SELECT track_new_id AS grid_index, count(*) AS metric FROM scored
+GROUP BY track_new_id ORDER BY metric DESC, grid_index LIMIT 1"""
+    factors = _with(_CTE_PLAYS["f2"], """predicted AS (
+    SELECT user_id, item AS track_new_id, plays,
+           list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS prediction
+    FROM (SELECT user_id, CAST(substr(recording_msid, 6) AS BIGINT) AS item, CAST(count(*) AS DOUBLE) AS plays
+          FROM plays GROUP BY ALL)
+    JOIN embeddings u ON u.vec_id = user_id AND u.vec_id % 5 = 0
+    JOIN embeddings i ON i.vec_id = item AND i.vec_id % 5 <> 0)""")
+    o["factor_predict"] = factors + "SELECT user_id, track_new_id, plays, round(prediction, 9) AS prediction FROM predicted"
+    o["factor_rmse"] = factors + """SELECT count(*) AS rows, round(sqrt(avg((plays - prediction) * (plays - prediction))), 9) AS rmse
+FROM predicted"""
     return o
 
 

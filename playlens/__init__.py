@@ -10,7 +10,6 @@ Layout:
 * ``functions`` -- column expressions (hash keys, checked casts, safe ratios)
 * ``operators`` -- item ids, play shares and scores, splits, ALS, top-k, metrics, tuning
 * ``plans``     -- end-to-end jobs composed from the operators
-* ``streaming`` -- intentionally empty (the workload is batch only)
 """
 
 from playlens.session import build_session, ensure_checkpoint_dir

@@ -51,11 +51,11 @@ def hash_bucket(key: str | Column, buckets: int | Column) -> Column:
 
 
 def checked_int(c: str | Column, what: str) -> Column:
-    """Cast a long to int, failing loudly instead of wrapping above 2^31-1."""
+    """Cast a long to int, failing loudly outside [-2^31, 2^31-1] instead of wrapping."""
     c = _col(c)
     return (
         F.when(
-            c > F.lit(INT_MAX),
+            (c > F.lit(INT_MAX)) | (c < F.lit(-INT_MAX - 1)),
             F.raise_error(F.lit(f"{what} does not fit in a 32-bit integer")),
         )
         .otherwise(c)

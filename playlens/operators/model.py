@@ -13,6 +13,11 @@ from playlens.session import ensure_checkpoint_dir
 
 DEFAULT_SEED = 52
 
+# MLlib draws the starting factors block by block, so the block counts belong
+# to the model like the seed: fixed here, never taken from the cluster.
+USER_BLOCKS = 10
+ITEM_BLOCKS = 10
+
 
 def als_input(df: DataFrame, user_col: str, item_col: str, rating_col: str) -> DataFrame:
     """Ratings with int ids (overflow fails) and a double rating."""
@@ -33,15 +38,18 @@ def make_als(
     user_col: str = "user_id",
     item_col: str = "track_new_id",
     rating_col: str = "normalized_ranking",
-    num_user_blocks: int | None = None,
-    num_item_blocks: int | None = None,
+    num_user_blocks: int = USER_BLOCKS,
+    num_item_blocks: int = ITEM_BLOCKS,
     checkpoint_interval: int = 10,
     cold_start: str = "drop",
 ) -> ALS:
     """An ALS estimator; ``rank`` must be a positive whole number.
 
-    Block counts default to MLlib's 10; ``fit_als`` replaces an unset
-    count with the session's default parallelism (one block per core).
+    The result follows from the data, the seed and both block counts (up to
+    float rounding), on any number of cores.  More blocks spread a larger
+    factor table over more tasks; every rating task keeps
+    ``num_user_blocks * num_item_blocks`` builders, so raise them with the
+    number of users and items, not of cores.
     """
     if int(rank) != rank or rank < 1:
         raise ValueError(f"rank must be a positive integer, got {rank!r}")
@@ -55,8 +63,8 @@ def make_als(
         userCol=user_col,
         itemCol=item_col,
         ratingCol=rating_col,
-        numUserBlocks=num_user_blocks or 10,
-        numItemBlocks=num_item_blocks or 10,
+        numUserBlocks=int(num_user_blocks),
+        numItemBlocks=int(num_item_blocks),
         checkpointInterval=checkpoint_interval,
         coldStartStrategy=cold_start,
     )
@@ -65,56 +73,64 @@ def make_als(
 def fit_als(train: DataFrame, **params) -> ALSModel:
     """Fit ALS on ``train``; checkpoints (every ``checkpoint_interval``
     iterations) go to the session's shared checkpoint folder."""
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
-    cores = spark.sparkContext.defaultParallelism
-    params.setdefault("num_user_blocks", None)
-    params.setdefault("num_item_blocks", None)
-    params["num_user_blocks"] = params["num_user_blocks"] or cores
-    params["num_item_blocks"] = params["num_item_blocks"] or cores
+    ensure_checkpoint_dir(train.sparkSession)
     als = make_als(**params)
     return als.fit(als_input(train, als.getUserCol(), als.getItemCol(), als.getRatingCol()))
 
 
 def timed_fit(train: DataFrame, **params) -> tuple[ALSModel, float]:
-    """Fit and wall-clock seconds of the fit alone (input cached and counted first)."""
-    cached = train.cache()
-    cached.count()
-    t0 = time.perf_counter()
-    model = fit_als(cached, **params)
-    return model, time.perf_counter() - t0
+    """Fit and wall-clock seconds of the fit alone.
+
+    The input is cached and counted first; a cache of the caller's is used
+    and kept, one made here is released.
+    """
+    own = not train.is_cached
+    cached = train.cache() if own else train
+    try:
+        cached.count()
+        t0 = time.perf_counter()
+        model = fit_als(cached, **params)
+        return model, time.perf_counter() - t0
+    finally:
+        if own:
+            cached.unpersist()
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """``pairs`` plus ``prediction`` = dot product of the user and item factors.
+    """``pairs`` plus the model's ``prediction``.
 
-    Two equi-joins with the factor tables and a built-in
-    ``aggregate(zip_with(...))`` (JVM-side, no UDF), summed in double.
-    Users or items the model does not know are dropped by the inner joins,
-    which is what ``coldStartStrategy="drop"`` does.  Values equal
-    ``model.transform`` up to its single-precision rounding.
+    Users or items the model does not know are dropped, which is what
+    ``coldStartStrategy="drop"`` does.  Values equal ``model.transform`` up
+    to its single-precision rounding.
     """
-    user_col, item_col = model.getUserCol(), model.getItemCol()
-    users = model.userFactors.select(F.col("id").alias(user_col), F.col("features").alias("_uf"))
-    items = model.itemFactors.select(F.col("id").alias(item_col), F.col("features").alias("_if"))
+    return predict_factors(model.userFactors, model.itemFactors, pairs, model.getUserCol(), model.getItemCol())
+
+
+def predict_factors(
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    pairs: DataFrame,
+    user_col: str = "user_id",
+    item_col: str = "track_new_id",
+) -> DataFrame:
+    """``pairs`` plus ``prediction`` = dot product of the user's and the item's factors.
+
+    The factor tables are (``id``, ``features``).  Two equi-joins and a
+    built-in ``aggregate(zip_with(...))`` (JVM-side, no UDF), summed in
+    double; pairs without factors on either side are dropped.
+    """
+    users = user_factors.select(F.col("id").alias(user_col), F.col("features").alias("_uf"))
+    items = item_factors.select(F.col("id").alias(item_col), F.col("features").alias("_if"))
     dot = F.aggregate(
         F.zip_with("_uf", "_if", lambda a, b: a.cast("double") * b.cast("double")),
         F.lit(0.0),
         lambda acc, x: acc + x,
     )
-    cols = [c for c in pairs.columns]
-    return (
-        pairs.join(users, user_col, "inner")
-        .join(items, item_col, "inner")
-        .select(*cols, dot.alias("prediction"))
-    )
+    both = pairs.join(users, user_col, "inner").join(items, item_col, "inner")
+    return both.select(*pairs.columns, dot.alias("prediction"))
 
 
 def predict_mllib(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """MLlib's own ``transform`` (float predictions, per-row UDF)."""
     return model.transform(pairs)
 
-
-def factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
-    """``(userFactors, itemFactors)`` as ``(id, features array<float>)`` tables."""
-    return model.userFactors, model.itemFactors

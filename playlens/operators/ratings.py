@@ -93,8 +93,3 @@ def minmax_score(
     if zeros == "drop_before":
         scored = scored.where(F.col(score_col) > 0)
     return scored
-
-
-def positive(df: DataFrame, col: str = "normalized_ranking") -> DataFrame:
-    """Rows with a strictly positive score."""
-    return df.where(F.col(col) > 0)

@@ -2,10 +2,10 @@
 
 ``split_per_user`` puts the first ``trunc(fraction * n)`` rows of every
 user (in a seeded hash order) into ``train`` and the rest into
-``validation``.  The order is ``md5(seed|user|item)``, then the item, so
-the split is reproducible, independent of partitioning, and the two sides
-are disjoint and complete by construction (one labelled table, written
-once).
+``validation``.  The order is total: a md5 of the seed and the row, then the
+row's columns, and rows that are equal in all columns are told apart by a
+copy number, so the labels never depend on partitioning and the two sides
+are disjoint and complete, also when they are computed apart.
 
 Ranking rows inside a user with one window would put all of a heavy
 user's rows into one task.  Instead:
@@ -15,17 +15,19 @@ user's rows into one task.  Instead:
   N / max_heavy)``.  Fewer than ``max_heavy`` users can be heavy, so the
   heavy table has a proven size bound and is broadcast;
 * a heavy user's hash range is cut into ``ceil(n / R)`` contiguous buckets
-  (at most ``R`` rows each); every other user is one bucket of at most ``R``
-  rows.  Bucket offsets are needed for heavy users only: at most
+  (``R`` rows each on average over the hash, not at most); every other user
+  is one bucket.  Bucket offsets are needed for heavy users only: at most
   ``2 * max_heavy`` rows, broadcast as well;
 * one shuffle of the rows by ``(user, bucket)``; ``row_number`` and the
   bucket count run inside each bucket.
 
-So the rows are shuffled once, and no task ranks more than ``R`` rows,
-however the rows are spread over users.
+The rows are ranked after one shuffle, in groups of about ``R`` rows however
+they are spread over users.  A task may hold many such groups.  The sizes
+read the input a second time: give the split a written or cached table.
 
 ``split_rows`` is the row-level split (``randomSplit``'s job), stable under
-repartitioning: each row's side follows from the hash of its columns.
+repartitioning: each row's side follows from the hash of its columns and its
+copy number.
 """
 
 from __future__ import annotations
@@ -40,6 +42,16 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_HEAVY = 100_000
 
 
+def number_copies(df: DataFrame, copy_col: str) -> DataFrame:
+    """``df`` with rows that are equal in all columns numbered 1, 2, ... in ``copy_col``.
+
+    Copies are counted by partial aggregates and dealt out again, so a row
+    that a third of the table repeats is no hot key.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copy_col))
+    return counted.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copy_col)))
+
+
 def split_per_user(
     df: DataFrame,
     fraction: float,
@@ -49,12 +61,24 @@ def split_per_user(
     label_col: str = "dataset",
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_heavy: int = MAX_HEAVY,
+    unique_by: list[str] | None = None,
 ) -> DataFrame:
-    """``df`` plus ``label_col`` in {train, validation}; rows with a NULL user are dropped."""
+    """``df`` plus ``label_col`` in {train, validation}; rows with a NULL user are dropped.
+
+    ``unique_by`` names columns of which no two rows share the values (a
+    table of user and item pairs); they alone are hashed then, and copies
+    need not be numbered, which saves a shuffle of the rows.
+    """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in [0, 1]")
     cols = df.columns
-    keyed = df.where(F.col(user_col).isNotNull()).withColumn("_key", hash_key(seed, user_col, item_col))
+    known = df.where(F.col(user_col).isNotNull())
+    if unique_by is None:
+        hashed = [*cols, "_copy"]
+        known = number_copies(known, "_copy")
+    else:
+        hashed = unique_by
+    keyed = known.withColumn("_key", hash_key(seed, *hashed))
 
     sizes = keyed.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n").alias("_total")).scalar()
@@ -78,7 +102,7 @@ def split_per_user(
     earlier = Window.partitionBy(F.col("_ub.u")).orderBy(F.col("_ub.b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = heavy_buckets.select("_ub", F.coalesce(F.sum("_bn").over(earlier), F.lit(0)).alias("_offset"))
 
-    in_bucket = Window.partitionBy("_ub").orderBy("_key", item_col)
+    in_bucket = Window.partitionBy("_ub").orderBy("_key", item_col, *[c for c in hashed if c != item_col])
     whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = rows.join(F.broadcast(offsets), "_ub", "left").select(
         *cols,
@@ -97,20 +121,20 @@ def split_rows(
     df: DataFrame,
     weights: tuple[float, ...] = (0.8, 0.2),
     seed: int = DEFAULT_SEED,
-    key_cols: list[str] | None = None,
     labels: tuple[str, ...] = ("train", "validation"),
     label_col: str = "dataset",
 ) -> DataFrame:
-    """Row-level split by hash of ``key_cols`` (all columns by default).
+    """Row-level split by hash of all columns and the copy number.
 
     A row goes to side ``i`` when ``u = prefix32(md5) / 2^32`` falls in the
-    i-th interval of the normalised cumulative weights.  No shuffle.
-    Identical rows always land on the same side.
+    i-th interval of the normalised cumulative weights.  Rows are split
+    independently: copies of one row spread over the sides by the weights.
     """
     if len(weights) != len(labels) or not weights or min(weights) < 0:
         raise ValueError("need one non-negative weight per label")
     total = float(sum(weights))
-    u = hash_prefix32(hash_key(seed, *(key_cols or df.columns))) / F.lit(float(HASH_SPACE))
+    numbered = number_copies(df, "_copy")
+    u = hash_prefix32(hash_key(seed, *df.columns, "_copy")) / F.lit(float(HASH_SPACE))
     label = F.lit(labels[-1])
     bound = 0.0
     bounds = []
@@ -119,7 +143,7 @@ def split_rows(
         bounds.append(bound)
     for b, name in reversed(list(zip(bounds, labels[:-1]))):
         label = F.when(u < F.lit(b), F.lit(name)).otherwise(label)
-    return df.withColumn(label_col, label)
+    return numbered.withColumn(label_col, label).drop("_copy")
 
 
 def side(df: DataFrame, name: str, label_col: str = "dataset") -> DataFrame:
@@ -128,7 +152,13 @@ def side(df: DataFrame, name: str, label_col: str = "dataset") -> DataFrame:
 
 
 def subsample_per_user(
-    df: DataFrame, fraction: float, seed: int = DEFAULT_SEED, user_col: str = "user_id", item_col: str = "track_new_id"
+    df: DataFrame,
+    fraction: float,
+    seed: int = DEFAULT_SEED,
+    user_col: str = "user_id",
+    item_col: str = "track_new_id",
+    unique_by: list[str] | None = None,
 ) -> DataFrame:
     """The first ``trunc(fraction * n)`` rows of each user (hash order)."""
-    return side(split_per_user(df, fraction, seed, user_col, item_col, label_col="_side"), "train", "_side")
+    split = split_per_user(df, fraction, seed, user_col, item_col, label_col="_side", unique_by=unique_by)
+    return side(split, "train", "_side")

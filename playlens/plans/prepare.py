@@ -23,6 +23,10 @@ from playlens.operators.ids import build_item_ids, rekey
 from playlens.operators.ratings import minmax_score, play_share
 from playlens.operators.split import DEFAULT_SEED, split_per_user
 from playlens.sources.sinks import write_split, write_table
+from playlens.sources.tables import read_parquet
+
+# Scores and shares have one row for each of these.
+PAIR = ["user_id", "track_new_id"]
 
 
 def rekeyed_plays(tracks: DataFrame, interactions: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -48,23 +52,25 @@ def labelled_split(
     seed: int = DEFAULT_SEED,
     score_col: str = "normalized_ranking",
 ) -> DataFrame:
-    """Split scored rows per user; ``zeros="drop_after"`` removes score-0 rows afterwards."""
-    out = split_per_user(scored, fraction, seed)
+    """Split scored rows (unique pairs) per user; ``zeros="drop_after"`` removes score-0 rows afterwards."""
+    out = split_per_user(scored, fraction, seed, unique_by=PAIR)
     if zeros == "drop_after":
         out = out.where(F.col(score_col) > 0)
     return out
 
 
-def raw_share_split(
-    tracks: DataFrame, interactions: DataFrame, fraction: float = 0.8, seed: int = DEFAULT_SEED
-) -> DataFrame:
-    """The share itself as rating: split all pairs, then keep positive shares.
+def share_table(tracks: DataFrame, interactions: DataFrame) -> DataFrame:
+    """``(user_id, track_new_id, ranking)``: the share itself as rating."""
+    return play_share(rekeyed_plays(tracks, interactions)).select("user_id", "track_new_id", "ranking")
+
+
+def raw_share_split(shares: DataFrame, fraction: float = 0.8, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Split all rows of a ``share_table``, then keep positive shares.
 
     Pairs without an item (share 0) and users with only unmatched plays
     (share NULL) take part in the split threshold but are not kept.
     """
-    shares = play_share(rekeyed_plays(tracks, interactions)).select("user_id", "track_new_id", "ranking")
-    return split_per_user(shares, fraction, seed).where(F.col("ranking") > 0)
+    return split_per_user(shares, fraction, seed, unique_by=PAIR).where(F.col("ranking") > 0)
 
 
 VARIANTS = {
@@ -80,7 +86,7 @@ def prepare(
 ) -> DataFrame:
     """Scored rows with a ``dataset`` label for one named variant."""
     if variant == "raw_share":
-        return raw_share_split(tracks, interactions, seed=seed)
+        return raw_share_split(share_table(tracks, interactions), seed=seed)
     v = VARIANTS[variant]
     scored = scores(tracks, interactions, scale=v["scale"], zeros=v["zeros"])
     return labelled_split(scored, v["fraction"], zeros=v["zeros"], seed=seed)
@@ -97,17 +103,19 @@ def run_preparation(
     """Write the score table and the labelled split of one variant.
 
     The split is one write partitioned by ``dataset`` (train and validation
-    can never overlap or miss rows).  For score variants the score table
-    is written first and the split is computed from the written table, so
-    the chain runs once and the written table cuts the lineage.
+    can never overlap or miss rows).  The score (or share) table is written
+    first and the split is computed from the written table, so the chain
+    runs once and the written table cuts the lineage.
     """
-    paths = {"split": f"{out_dir}/split"}
+    paths = {"split": f"{out_dir}/split", "scores": f"{out_dir}/scores"}
     if variant == "raw_share":
-        write_split(raw_share_split(tracks, interactions, seed=seed), paths["split"], mode=mode)
+        write_table(share_table(tracks, interactions), paths["scores"], mode=mode)
+        shares = read_parquet(tracks.sparkSession, paths["scores"])
+        write_split(raw_share_split(shares, seed=seed), paths["split"], mode=mode)
         return paths
     v = VARIANTS[variant]
     scored = scores(tracks, interactions, scale=v["scale"], zeros=v["zeros"])
-    paths["scores"] = write_table(scored, f"{out_dir}/scores", mode=mode)
-    scored = tracks.sparkSession.read.parquet(paths["scores"])
+    write_table(scored, paths["scores"], mode=mode)
+    scored = read_parquet(tracks.sparkSession, paths["scores"])
     write_split(labelled_split(scored, v["fraction"], zeros=v["zeros"], seed=seed), paths["split"], mode=mode)
     return paths

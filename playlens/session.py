@@ -34,15 +34,21 @@ def build_session(
     shuffle_partitions: int = 8,
     driver_memory: str = "16g",
     extra_conf: dict[str, str] | None = None,
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
-    """A local session for tests and benchmarks (never used on a cluster)."""
+    """A local session for tests and benchmarks (never used on a cluster).
+
+    ``checkpoint_dir`` names the folder of the checkpoints; without it and
+    without the setting the session gets a scratch folder.
+    """
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", driver_memory)
     )
-    for key, value in {**DEFAULT_CONF, **(extra_conf or {})}.items():
+    folder = {"spark.checkpoint.dir": checkpoint_dir} if checkpoint_dir else {}
+    for key, value in {**DEFAULT_CONF, **folder, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -14,7 +14,7 @@ ORACLE_NAMES = sorted(E.oracle_sql())
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["users", "map", "map_at_k", "ndcg_at_k", "rmse"]
+    assert df.columns == ["users", "map", "map_at_k", "ndcg_at_k", "pairs", "rmse"]
     row = df.first()
     assert row.users > 0 and 0.0 <= row.map <= 1.0 and 0.0 <= row.ndcg_at_k <= 1.0
 

@@ -1,13 +1,20 @@
 """ALS model laws: seeded determinism, dot-product predictions, alpha inert,
 cold rows dropped, subset top-k equal to full top-k restricted, grid choice."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
-from playlens.operators.model import fit_als, make_als, predict, predict_mllib
+from playlens.functions.columns import checked_int
+from playlens.operators.model import fit_als, make_als, predict, predict_mllib, timed_fit
 from playlens.operators.recommend import recommend_items, recommend_users, top_k_per_group
 from playlens.operators.tuning import best_by, distinct_models, param_grid
 from playlens.operators.split import side
+from playlens.plans.evaluate import evaluate_model, single_run
+from playlens.plans.search import grid_search
 
 PARAMS = dict(rank=8, max_iter=3, reg_param=0.1, seed=3)
 
@@ -105,3 +112,65 @@ def test_top_k_per_group_bounds(spark):
     out = top_k_per_group(df, "g", [F.col("v").desc()], 4)
     got = {(r.g, r.pos): r.v for r in out.collect()}
     assert got[(0, 1)] == 99 and got[(1, 1)] == 97 and len(got) == 12
+
+
+FIT = """
+import sys
+sys.path.insert(0, {root!r})
+from playlens.operators.model import fit_als
+from playlens.session import build_session
+spark = build_session(master="local[{cores}]", shuffle_partitions=4, driver_memory="2g")
+df = spark.range(4000).selectExpr("CAST(id % 97 AS INT) user_id", "CAST(id * 7 % 61 AS INT) track_new_id",
+                                  "CAST(id % 5 AS DOUBLE) normalized_ranking")
+model = fit_als(df, rank=6, max_iter=3, reg_param=0.1, seed=3)
+for r in sorted(model.userFactors.collect()):
+    print("F", r.id, *[f"{{x:.9g}}" for x in r.features])
+"""
+
+
+def test_factors_do_not_depend_on_the_cores():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = []
+    for cores in (2, 5):
+        code = FIT.format(root=root, cores=cores)
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240, check=True).stdout
+        found.append([[float(x) for x in line.split()[1:]] for line in out.splitlines() if line.startswith("F ")])
+    assert len(found[0]) == 97 and len(found[1]) == 97
+    for a, b in zip(*found):
+        assert a == pytest.approx(b, rel=1e-3, abs=1e-4)
+
+
+def test_timed_fit_releases_its_own_cache_only(sets):
+    fresh = sets[0].where("track_new_id >= 0")
+    timed_fit(fresh, **PARAMS)
+    assert not fresh.is_cached
+    timed_fit(sets[0], **PARAMS)
+    assert sets[0].is_cached
+
+
+def test_grid_search_keeps_the_callers_cache(sets):
+    train, validation = sets
+    fresh = train.where("track_new_id >= 0")
+    out = grid_search(train, validation, (0.1,), (4,), (1.0, 2.0), k=5, max_iter=1)
+    assert train.is_cached and validation.is_cached and out.count() == 2
+    grid_search(fresh, validation, (0.1,), (4,), (1.0,), k=5, max_iter=1)
+    assert not fresh.is_cached and validation.is_cached
+
+
+def test_single_run_equals_fit_and_evaluate(sets, model):
+    train, validation = sets
+    run = single_run(train, validation, k=10, **PARAMS).first()
+    for every in (False, True):
+        row = evaluate_model(model, validation, 10, all_users=every).first()
+        assert row.asDict() == pytest.approx(run.asDict(), rel=1e-9)
+    known = predict(model, validation.select("user_id", "track_new_id", "normalized_ranking"))
+    assert run["pairs"] == known.count() <= validation.count()
+
+
+def test_ids_must_fit_an_int(spark):
+    for bad in (-3_000_000_000, 3_000_000_000):
+        df = spark.createDataFrame([(bad,)], "id long")
+        with pytest.raises(Exception, match="does not fit"):
+            df.select(checked_int("id", "id")).collect()
+    df = spark.createDataFrame([(-(2**31),), (2**31 - 1,), (None,)], "id long")
+    assert [r[0] for r in df.select(checked_int("id", "id")).collect()] == [-(2**31), 2**31 - 1, None]

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from playlens.operators.split import side, split_per_user, split_rows, subsample_per_user
+from playlens.functions.columns import hash_bucket, hash_key
+from playlens.operators.split import number_copies, side, split_per_user, split_rows, subsample_per_user
 
 
 @pytest.fixture(scope="module")
@@ -60,11 +61,11 @@ def test_split_rows_fraction_and_stability(spark, sf_small):
     from playlens.sources import fixtures as FX
 
     plays = FX.plays_f2(spark, sf_small)
-    s = split_rows(plays, (0.8, 0.2), seed=52, key_cols=["user_id", "recording_msid"])
+    s = split_rows(plays, (0.8, 0.2), seed=52)
     n = plays.count()
     n_train = s.where("dataset = 'train'").count()
     assert abs(n_train / n - 0.8) < 0.05
-    again = split_rows(plays.repartition(3), (0.8, 0.2), seed=52, key_cols=["user_id", "recording_msid"])
+    again = split_rows(plays.repartition(3), (0.8, 0.2), seed=52)
     assert sorted(s.collect()) == sorted(again.collect())
 
 
@@ -72,7 +73,7 @@ def test_three_way_split_weights(spark, sf_small):
     from playlens.sources import fixtures as FX
 
     plays = FX.plays_f2(spark, sf_small)
-    s = split_rows(plays, (1, 1, 2), labels=("a", "b", "c"), key_cols=["user_id", "recording_msid"])
+    s = split_rows(plays, (1, 1, 2), labels=("a", "b", "c"))
     counts = {r.dataset: r["count"] for r in s.groupBy("dataset").count().collect()}
     assert set(counts) == {"a", "b", "c"} and counts["c"] > counts["a"]
 
@@ -87,3 +88,41 @@ def test_empty_input_splits_to_nothing(spark):
     df = spark.createDataFrame([], "user_id int, track_new_id int, normalized_ranking double")
     out = split_per_user(df, 0.8)
     assert out.count() == 0 and out.columns == df.columns + ["dataset"]
+
+
+def _multiset(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_repeated_pairs_split_alike_under_repartitioning(spark):
+    df = spark.range(3000).selectExpr("CAST(id % 3 AS INT) user_id", "CAST(id % 10 AS INT) track_new_id", "CAST(id % 4 AS DOUBLE) x")
+    a = split_per_user(df, 0.8, seed=5)
+    for other in (df.repartition(5), df.repartition(3, "x"), df.orderBy(F.col("x").desc())):
+        assert _multiset(split_per_user(other, 0.8, seed=5)) == _multiset(a)
+        small = split_per_user(other, 0.8, seed=5, rows_per_bucket=40)
+        assert _multiset(small) == _multiset(a)
+    per_user = {r.user_id: r["count"] for r in side(a, "train").groupBy("user_id").count().collect()}
+    assert per_user == {0: 800, 1: 800, 2: 800}
+
+
+def test_sides_computed_apart_are_disjoint(spark):
+    df = spark.range(500).selectExpr("1 AS user_id", "CAST(id % 2 AS INT) AS track_new_id")
+    train = side(split_per_user(df.repartition(3), 0.6, seed=1), "train")
+    rest = side(split_per_user(df.repartition(7), 0.6, seed=1), "validation")
+    assert _multiset(train.unionAll(rest)) == _multiset(df) and train.count() == 300
+
+
+def test_hot_pair_is_spread_over_buckets(spark):
+    """30,000 copies of one pair: bucket sizes follow the copies' hashes, not the pair's."""
+    df = spark.range(30_000).selectExpr("1 AS user_id", "7 AS track_new_id")
+    plain = split_per_user(df, 0.8, seed=3)
+    assert _multiset(split_per_user(df, 0.8, seed=3, rows_per_bucket=500)) == _multiset(plain)
+    keyed = number_copies(df, "_copy").withColumn("_key", hash_key(3, "user_id", "track_new_id", "_copy"))
+    sizes = [r["count"] for r in keyed.groupBy(hash_bucket("_key", 60).alias("b")).count().collect()]
+    assert len(sizes) == 60 and max(sizes) < 650
+
+
+def test_row_split_is_independent_for_copies(spark):
+    df = spark.range(30_000).selectExpr("1 AS user_id", "'m' AS recording_msid")
+    counts = {r.dataset: r["count"] for r in split_rows(df, (0.8, 0.2), seed=52).groupBy("dataset").count().collect()}
+    assert abs(counts["train"] / 30_000 - 0.8) < 0.01 and sum(counts.values()) == 30_000
