@@ -41,10 +41,11 @@ def recommend_users(model: ALSModel, k: int, items: DataFrame | None = None) ->
     return _long(recs, item_col, user_col)
 
 
-def recommendation_ids(model: ALSModel, k: int) -> DataFrame:
-    """``(user, items array<int>)``: the recommended ids only (k per user, bounded)."""
+def recommendation_ids(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
+    """``(user, items array<int>)``: the recommended ids only (k per user, bounded); all users or a subset."""
     user_col, item_col = model.getUserCol(), model.getItemCol()
-    return model.recommendForAllUsers(k).select(user_col, F.col(f"recommendations.{item_col}").alias(item_col))
+    recs = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
+    return recs.select(user_col, F.col(f"recommendations.{item_col}").alias(item_col))
 
 
 def top_k_per_group(df: DataFrame, group_col: str, order: list[Column], k: int, pos_col: str = "pos") -> DataFrame:

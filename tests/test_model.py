@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from playlens.functions.columns import checked_int
+from playlens.operators.metrics import ranking_metrics
 from playlens.operators.model import fit_als, make_als, predict, predict_mllib, timed_fit
 from playlens.operators.recommend import recommend_items, recommend_users, top_k_per_group
 from playlens.operators.tuning import best_by, distinct_models, param_grid
 from playlens.operators.split import side
-from playlens.plans.evaluate import evaluate_model, single_run
+from playlens.plans.evaluate import evaluate_model, labels_of, single_run
 from playlens.plans.search import grid_search
 
 PARAMS = dict(rank=8, max_iter=3, reg_param=0.1, seed=3)
@@ -174,3 +175,10 @@ def test_ids_must_fit_an_int(spark):
             df.select(checked_int("id", "id")).collect()
     df = spark.createDataFrame([(-(2**31),), (2**31 - 1,), (None,)], "id long")
     assert [r[0] for r in df.select(checked_int("id", "id")).collect()] == [-(2**31), 2**31 - 1, None]
+
+
+def test_evaluation_equals_long_form_lists(sets, model):
+    labels = labels_of(sets[1])
+    long_form = ranking_metrics(recommend_items(model, 10), labels, 10).first().asDict()
+    row = evaluate_model(model, sets[1], 10).first().asDict()
+    assert {c: row[c] for c in long_form} == pytest.approx(long_form, rel=1e-12)
