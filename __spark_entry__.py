@@ -771,13 +771,13 @@ def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[st
     """Queries and oracle SQL of the training-data operators, where that subpackage is installed."""
     found, sql = {}, {}
     try:
-        from playlens.llm import queries as operators
+        from playlens.llm.queries import ORACLE_SQL, QUERIES
     except ModuleNotFoundError as e:
-        if e.name != "playlens.llm":
+        if e.name not in ("playlens.llm", "playlens.llm.queries"):
             raise
         return found, sql
-    found |= operators.QUERIES
-    sql |= operators.ORACLE_SQL
+    found |= QUERIES
+    sql |= ORACLE_SQL
     try:
         import corpus_pipeline
     except ModuleNotFoundError as e:
