@@ -67,6 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dups(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
@@ -90,6 +91,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_url_filters": r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+ruled AS (
+    SELECT page_id, host, path,
+           CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
+           string_split(regexp_replace(regexp_replace(translate(path,
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '/+', '/', 'g'), '^/|/$', '', 'g'), '/') AS raw
+    FROM parts),
+judged AS (
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said,
+           [CASE WHEN regexp_full_match(s, '[0-9]+([.][a-z]+)?') THEN '{num}' || regexp_extract(s, '([.][a-z]+)?$')
+                 WHEN regexp_full_match(s, '[0-9a-f]{8,}(-[0-9a-f]{4,})*([.][a-z]+)?') AND regexp_matches(s, '^[a-f]*[0-9]')
+                 THEN '{hex}' || regexp_extract(s, '([.][a-z]+)?$')
+                 WHEN regexp_full_match(s, '[^/.]*[0-9][^/.]*([.][a-z]+)?') THEN '{id}' || regexp_extract(s, '([.][a-z]+)?$')
+                 ELSE s END FOR s IN raw] AS typed
+    FROM ruled),
+paths AS (
+    SELECT host, typed, count(*) AS n, count(said) AS labelled, count(*) FILTER (WHERE said = 'block') AS bad,
+           CASE WHEN len(typed) > 8 THEN list_append(typed[1:7], array_to_string(typed[8:], '/')) ELSE typed END AS segs
+    FROM judged GROUP BY host, typed),
+steps AS (
+    SELECT host, typed, n, labelled, bad, pos, segs[pos] AS seg, segs[1:pos - 1] AS above
+    FROM paths, LATERAL (SELECT unnest(range(1, len(segs) + 1)) AS pos) t),
+crowded AS (
+    SELECT host, above FROM steps GROUP BY host, above HAVING count(DISTINCT seg) > 16),
+general AS (
+    SELECT host, typed, n, labelled, bad,
+           list(CASE WHEN c.host IS NULL THEN seg ELSE '*' END ORDER BY pos) AS segs
+    FROM steps LEFT JOIN crowded c USING (host, above) GROUP BY host, typed, n, labelled, bad),
+nodes AS (
+    SELECT host, typed, n, labelled, bad, pos, segs[pos] AS seg, segs[1:pos - 1] AS above, coalesce(segs[pos + 1], '') AS below
+    FROM general, LATERAL (SELECT unnest(range(1, len(segs) + 1)) AS pos) t),
+kinds AS (
+    SELECT host, above, seg, CASE WHEN below = '' OR below[1] IN ('{', '*') THEN below ELSE 'literal' END AS kind,
+           sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad
+    FROM nodes GROUP BY ALL),
+looks AS (
+    SELECT host, above, seg, list(kind ORDER BY kind) AS names, map_from_entries(list((kind, n))) AS per,
+           sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad
+    FROM kinds GROUP BY host, above, seg),
+beside AS (
+    SELECT *, lag(names) OVER w AS names0, lag(per) OVER w AS per0, lag(n) OVER w AS n0, lag(labelled) OVER w AS labelled0,
+           lag(bad) OVER w AS bad0, row_number() OVER w AS place
+    FROM looks WINDOW w AS (PARTITION BY host, above ORDER BY labelled > 0, bad / greatest(labelled, 1), seg)),
+compared AS (
+    SELECT host, above, seg, place, names0 IS NOT NULL
+           AND list_sum([abs(coalesce(per[k], 0) / n - coalesce(per0[k], 0) / n0) / 2
+                         FOR k IN list_concat(names, [x FOR x IN names0 IF NOT list_contains(names, x)])]) <= 0.2::DOUBLE
+           AND CASE WHEN labelled = 0 AND labelled0 = 0 THEN true
+                    WHEN labelled > 0 AND labelled0 > 0
+                    THEN abs(bad / labelled - bad0 / labelled0)
+                         <= 1.96::DOUBLE * sqrt((bad + bad0) / (labelled + labelled0) * (1 - (bad + bad0) / (labelled + labelled0))
+                                                * (1 / labelled + 1 / labelled0))
+                    ELSE false END AS joins
+    FROM beside),
+runs AS (
+    SELECT host, above, seg, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY host, above ORDER BY place) AS run
+    FROM compared),
+merged AS (
+    SELECT host, above, seg, min(seg) OVER (PARTITION BY host, above, run) AS name FROM runs),
+templates AS (
+    SELECT host, typed, labelled, bad, '/' || array_to_string(list(name ORDER BY pos), '/') AS template
+    FROM nodes JOIN merged USING (host, above, seg) GROUP BY host, typed, n, labelled, bad),
+pure AS (
+    SELECT host, template, (sum(bad)::DOUBLE + 0.8::DOUBLE) / (sum(labelled)::DOUBLE + 4) AS purity FROM templates GROUP BY host, template)
+SELECT page_id, host, path, rule, template, purity,
+       coalesce(said, CASE WHEN purity >= 0.8::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged JOIN templates USING (host, typed) JOIN pure USING (host, template)""",
     "op10_line_dedup": r"""
 WITH lines AS (
     SELECT doc_id, t.pos, string_split(coalesce(text, ''), chr(10))[t.pos] AS line
