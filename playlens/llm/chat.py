@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playlens.llm.common import cut_lineage, digest128, lower_ascii, split_lines, split_words
+from playlens.llm.common import WHITE, cut_lineage, digest128, lower_ascii, split_lines, split_words
 
 _QUOTED = "^[ \\t]*>"
 _MARK = "^(?:[ \\t]*>)+[ \\t]?"
@@ -31,10 +31,10 @@ _FIRST = -(1 << 63)
 
 
 def own_text(text: Column) -> Column:
-    """The text without quoted lines and, where it has some, without the lines that introduce them."""
+    """The text; where it has quoted lines, without them, the lines that introduce them, and white space at its ends."""
     lines = split_lines(text)
     own = F.filter(lines, lambda x: ~x.rlike(_QUOTED) & ~x.rlike(_INTRO))
-    return F.when(F.exists(lines, lambda x: x.rlike(_QUOTED)), F.btrim(F.array_join(own, "\n"))).otherwise(text)
+    return F.when(F.exists(lines, lambda x: x.rlike(_QUOTED)), F.btrim(F.array_join(own, "\n"), F.lit(WHITE))).otherwise(text)
 
 
 def passages(text: Column, min_chars: int) -> Column:

@@ -91,6 +91,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # Messages of one turn are ordered by a hash in the operator; here (conv_id, turn) names a message.
+    "op3_chat_formatting": r"""
+WITH RECURSIVE messages AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position
+    FROM conversations),
+owned AS (
+    SELECT * EXCLUDE (text, lines), lines,
+           CASE WHEN list_bool_or([regexp_matches(x, '^[ \t]*>') FOR x IN lines])
+                THEN trim(array_to_string(
+                    [x FOR x IN lines
+                     IF NOT regexp_matches(x, '^[ \t]*>')
+                        AND NOT regexp_matches(x, '^(?:On|Le|Am|El) .{1,200}(?:wrote|écrit|schrieb|escribió) ?:[ \t]*$')],
+                    chr(10)), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))
+                ELSE text END AS content
+    FROM messages),
+marked AS (
+    SELECT conv_id, position, pos, lines[pos] AS line, regexp_extract(lines[pos], '^(?:[ \t]*>)+[ \t]?') AS mark
+    FROM owned, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS pos) t),
+levels AS (
+    SELECT conv_id, position, pos, length(regexp_replace(mark, '[^>]', '', 'g')) AS level, substr(line, length(mark) + 1) AS body
+    FROM marked),
+turned AS (
+    SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY conv_id, position ORDER BY pos) THEN 0 ELSE 1 END AS new
+    FROM levels),
+runs AS (
+    SELECT *, sum(new) OVER (PARTITION BY conv_id, position ORDER BY pos) AS run FROM turned),
+quotes AS (
+    SELECT conv_id, position, run, level, string_agg(body, chr(10) ORDER BY pos) AS quote
+    FROM runs WHERE level > 0 GROUP BY conv_id, position, run, level),
+pieces AS (
+    SELECT conv_id, position, level, quote AS whole FROM quotes
+    UNION ALL SELECT conv_id, position, 0, content FROM owned),
+cut AS (
+    SELECT conv_id, position, level,
+           unnest(list_concat([whole], string_split_regex(whole, '\n[ \t]*(?:\n[ \t]*)+'), string_split(whole, chr(10)))) AS part
+    FROM pieces),
+passages AS (
+    SELECT DISTINCT conv_id, position, level,
+           translate(trim(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS p
+    FROM cut),
+writers AS (
+    SELECT conv_id, p, min(position) AS writer FROM passages WHERE level = 0 AND length(p) >= 8 GROUP BY conv_id, p),
+links AS (
+    SELECT conv_id, q.position, level, writer FROM passages q JOIN writers w USING (conv_id, p)
+    WHERE level > 0 AND writer < q.position),
+best AS (
+    SELECT conv_id, position, first(writer ORDER BY level, writer DESC) AS quoted, count(DISTINCT level) AS n_linked
+    FROM links GROUP BY conv_id, position),
+counts AS (
+    SELECT conv_id, position, count(*) AS n_quotes FROM quotes GROUP BY conv_id, position),
+told AS (
+    SELECT o.conv_id, turn, role, o.position, content, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
+           coalesce(quoted, CASE WHEN o.position > 0 THEN o.position - 1 END) AS reply_to
+    FROM owned o LEFT JOIN best b ON o.conv_id = b.conv_id AND o.position = b.position
+         LEFT JOIN counts c ON o.conv_id = c.conv_id AND o.position = c.position),
+follows AS (
+    SELECT conv_id, reply_to, min(position) AS position FROM told WHERE reply_to IS NOT NULL GROUP BY conv_id, reply_to),
+threads AS (
+    SELECT conv_id, position, position AS thread, 0 AS seq FROM told t
+    WHERE NOT EXISTS (SELECT 1 FROM follows f WHERE f.conv_id = t.conv_id AND f.position = t.position)
+    UNION ALL
+    SELECT f.conv_id, f.position, thread, seq + 1
+    FROM threads t JOIN follows f ON f.conv_id = t.conv_id AND f.reply_to = t.position)
+SELECT conv_id, turn, role, position, reply_to, thread, seq, n_quotes, n_linked, content
+FROM told JOIN threads USING (conv_id, position)""",
     "op9_url_filters": r"""
 WITH parts AS (
     SELECT page_id,

@@ -49,6 +49,14 @@ def oracle(sql, *tables, sf=SF):
     return con.execute(sql).fetchall()
 
 
+def oracle_frame(sql, *tables, sf=SF, files=""):
+    """The result of ``sql`` with its columns; ``files`` follows the path of tables that are folders."""
+    con = duckdb.connect()
+    for t in tables:
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet{files}'")
+    return con.sql(sql)
+
+
 def components(n, linked):
     """The smallest reachable index of each of ``n`` nodes; ``linked(i, j)`` tells links."""
     root = list(range(n))

@@ -1,7 +1,8 @@
+import random
 
 from playlens.llm.chat import chat_blocks, link_messages
-from playlens.llm.queries import QUERIES
-from tests.llm.helpers import SF, clashing, rows_of
+from playlens.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.helpers import SF, clashing, oracle_frame, rows_of
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -72,3 +73,28 @@ def test_blocks(spark):
     blocks = {(r["conv_id"], r["thread"]): r["chat"] for r in chat_blocks(link_messages(talk(spark, TALK))).collect()}
     assert blocks[1, 3] == "<|d|>\nGreat, count me in please.\n<|e|>\nMe too, of course.\n<|f|>\nok"
     assert all(">" not in c.replace("<|", "").replace("|>", "") for c in blocks.values())
+
+
+def test_quoting_talk_equals_oracle(spark, tmp_path):
+    draw, rows = random.Random(5), list(TALK)
+    for conv in range(3, 40):
+        said = []
+        for turn in range(draw.randrange(1, 14)):
+            lines = []
+            for old in draw.sample(said, min(len(said), draw.choice([0, 0, 1, 2]))):
+                if draw.random() < 0.3:
+                    lines.append("On Monday somebody wrote:")
+                if draw.random() < 0.5:
+                    old = "\n".join(draw.sample(old.split("\n"), 1)).upper()
+                lines += [draw.choice(["> ", ">", " > "]) + x for x in old.split("\n")]
+                lines += [""] * draw.randrange(2)
+            lines += [f"line {draw.randrange(40)} of a talk" for _ in range(draw.randrange(4))]
+            said.append("\n".join(lines))
+            rows.append((conv, 3 * turn, "u", draw.choice([said[-1], said[-1] + "\n \n" + "a last paragraph"])))
+    talk(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = QUERIES["op3_chat_formatting"](spark, str(tmp_path))
+    want = oracle_frame(ORACLE_SQL["op3_chat_formatting"], "conversations", sf=f"{tmp_path}", files="/*.parquet")
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns)
+    assert rows_of(got, *cols) == sorted(want.select(*cols).fetchall(), key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert got.where("n_linked > 1").count() > 10 and got.where("seq > 3 AND reply_to < position - 1").count() > 10

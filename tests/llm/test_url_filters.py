@@ -1,11 +1,12 @@
+import random
 import re
 
 import pytest
 
-from playlens.llm.queries import QUERIES
+from playlens.llm.queries import ORACLE_SQL, QUERIES
 from playlens.llm.url_filters import RULES, path_templates, typed_path, url_filter
 from pyspark.sql import functions as F
-from tests.llm.helpers import SF, clashing, lower, rows_of
+from tests.llm.helpers import SF, clashing, lower, oracle_frame, rows_of
 
 
 def brute(url):
@@ -116,3 +117,22 @@ def test_labelled_templates_are_rejected(spark):
 def test_deep_paths_keep_their_tail(spark):
     got = tree(spark, [("/".join("abcdefghijkl"), 1, 2)])
     assert got["/".join("abcdefghijkl")][0] == "/a/b/c/d/e/f/g/h/i/j/k/l"
+
+
+def test_wide_and_labelled_trees_equal_oracle(spark, tmp_path):
+    draw, urls = random.Random(9), list(ODD)
+    words = [a + b for a in "kmnprst" for b in ("ona", "ile", "abe")]
+    for host in ("a.example.net", "b.example.com", "c.example.org", "Org", "d.net"):
+        for _ in range(250):
+            top = draw.choice(["en", "de", "fr", "blog", "shop", "DE"])
+            parts = [top] + [draw.choice([draw.choice(words), str(draw.randrange(90)), "0a1b2c3d4e", "item-7.html"]) for _ in range(draw.randrange(4))]
+            if draw.random() < 0.05:
+                parts += ["x"] * 9
+            urls.append(f"http://{host}/{draw.choice(['/', '//']).join(parts)}{draw.choice(['', '/', '?q=1', '#t'])}")
+    pages(spark, urls).withColumn("html", F.lit("")).write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["op9_url_filters"](spark, str(tmp_path))
+    want = oracle_frame(ORACLE_SQL["op9_url_filters"], "pages", sf=f"{tmp_path}", files="/*.parquet")
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns)
+    assert rows_of(got, *cols) == sorted(want.select(*cols).fetchall(), key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert got.where("rule IS NULL AND verdict = 'block'").count() > 0 or got.where("template LIKE '%*%'").count() > 0
