@@ -77,9 +77,9 @@ def test_blocks(spark):
 
 def test_quoting_talk_equals_oracle(spark, tmp_path):
     draw, rows = random.Random(5), list(TALK)
-    for conv in range(3, 40):
+    for conv in range(3, 100):
         said = []
-        for turn in range(draw.randrange(1, 14)):
+        for turn in range(draw.randrange(1, 28)):
             lines = []
             for old in draw.sample(said, min(len(said), draw.choice([0, 0, 1, 2]))):
                 if draw.random() < 0.3:
