@@ -5,8 +5,10 @@ A rotation that balances binary codes is learned by iterative quantisation
 bounded sample; every vector gets a 64-bit code.  The code's eight bytes are
 the blocks of a multi-index: there is a table for every choice of ``equal``
 bytes, keyed by those bytes, so two codes meet when that many bytes agree.
-Codes that meet within ``max_bits`` bits are candidates, and their cosine is
-taken from the original vectors in double precision.
+One rotation alone misses a fifth of the links near the threshold that way,
+so ``codes`` of them are learned from different starts, each with a code and
+tables of its own.  Codes that meet within ``max_bits`` bits are candidates,
+and their cosine is taken from the original vectors in double precision.
 
 Equal vectors are one node with a count.  A pair that meets in several
 tables counts only in the first of them, so links are counted where they are
@@ -98,17 +100,20 @@ def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _candidates(rows: pd.DataFrame, equal: int, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(rows: pd.DataFrame, equal: int, max_bits: int, codes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of candidate pairs in the same group, whose first common table is the group's."""
     keys = rows[_GROUP].to_numpy()
     new = np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]
     first = np.nonzero(new)[0]
     size = np.diff(np.r_[first, len(rows)])
     after = np.repeat(first + size, size) - np.arange(len(rows)) - 1  # rows of the group that follow
-    code, node, chunk = (rows[c].to_numpy() for c in ("code", "node", "chunk"))
+    node, chunk = rows["node"].to_numpy(), rows["chunk"].to_numpy()
+    every = np.stack([rows[f"code{c}"].to_numpy() for c in range(codes)])
     cross = rows["c1"].to_numpy() != rows["c2"].to_numpy()
     tables = _tables(equal)
-    last = np.array([t[1] for t in tables])[rows["t"].to_numpy()]
+    which, table = np.divmod(rows["t"].to_numpy(), len(tables))
+    code = every[which, np.arange(len(rows))]
+    last = np.array([t[1] for t in tables])[table]
     i, step = np.arange(len(rows)), 1
     while len(i := i[after[i] >= step]):
         x = code[i] ^ code[i + step]
@@ -117,6 +122,11 @@ def _candidates(rows: pd.DataFrame, equal: int, max_bits: int) -> Iterator[tuple
         a = i[near]
         same = np.cumsum(x[near].view(np.uint8).reshape(-1, BLOCKS) == 0, axis=1)
         a = a[same[np.arange(len(a)), last[a] - 1] == equal - 1] if equal > 1 else a[(same[np.arange(len(a)), last[a]] == 1)]
+        for c in range(codes - 1):  # a pair that met by an earlier code counts there
+            x = every[c, a] ^ every[c, a + step]
+            met = (x.view(np.uint8).reshape(-1, BLOCKS) == 0).sum(axis=1) >= equal
+            met &= np.bitwise_count(x.view(np.uint64)) <= max_bits
+            a = a[~met | (which[a] <= c)]
         if len(a):
             yield a, a + step
         step += 1
@@ -135,37 +145,40 @@ def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def embedding_links(
-    nodes: DataFrame, cosine: float = 0.9, equal: int = 2, max_bits: int = 16, chunk: int = 256
+    nodes: DataFrame, cosine: float = 0.9, equal: int = 2, max_bits: int = 16, chunk: int = 256, codes: int = 2
 ) -> tuple[DataFrame, DataFrame]:
-    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``code``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
+    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``codes``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
 
     ``links`` counts the copies of the linked nodes.
     """
+    names, tables = [f"code{c}" for c in range(codes)], _tables(equal)
     keys = [
-        F.struct(F.lit(t).alias("t"), F.col("code").bitwiseAND(F.lit(mask)).alias("k"))
-        for t, (mask, _, _) in enumerate(_tables(equal))
+        F.struct(F.lit(c * len(tables) + t).alias("t"), F.col(name).bitwiseAND(F.lit(mask)).alias("k"))
+        for c, name in enumerate(names)
+        for t, (mask, _, _) in enumerate(tables)
     ]
-    rows = nodes.select("node", "h1", "code", F.inline(F.array(*keys)))
+    coded = nodes.select("node", "h1", *[F.get("codes", F.lit(c)).alias(name) for c, name in enumerate(names)])
+    rows = coded.select("node", "h1", *names, F.inline(F.array(*keys)))
     sizes = rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = rows.join(sizes, ["t", "k"]).withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
     met = met.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     met = met.select(
-        "t", "k", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "node", "h1", "code"
+        "t", "k", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "node", "h1", *names
     )
 
     def with_candidate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_groups(batches):
             hit = np.zeros(len(group), dtype=bool)
-            for a, b in _candidates(group, equal, max_bits):
+            for a, b in _candidates(group, equal, max_bits, codes):
                 hit[a] = hit[b] = True
-            yield group.loc[hit, [*_GROUP, "chunk", "node", "h1", "code"]]
+            yield group.loc[hit, [*_GROUP, "chunk", "node", "h1", *names]]
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_groups(batches):
             unit = _unit(np.stack(group["emb"].to_numpy()).astype(np.float64))
             n, links, found = group["n"].to_numpy(), np.zeros(len(group), dtype=np.int64), []
-            for a, b in _candidates(group, equal, max_bits):
+            for a, b in _candidates(group, equal, max_bits, codes):
                 for lo in range(0, len(a), 4096):
                     x, y = a[lo : lo + 4096], b[lo : lo + 4096]
                     ok = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
@@ -197,6 +210,7 @@ def embedding_near_dups(
     max_bits: int = 16,
     sample: int = 4096,
     chunk: int = 256,
+    codes: int = 2,
 ) -> DataFrame:
     """One row per row of ``vectors``: ``id_col``, ``n_links``, ``component_id``, ``kept``.
 
@@ -204,10 +218,11 @@ def embedding_near_dups(
     ``cosine``), ``component_id`` the smallest id reachable over links, the
     row's own included, and ``kept`` whether that is the row's own id.  The
     quantiser is learned from the ``sample`` different vectors with the
-    smallest hash of their id; every vector is indexed.  Two codes that agree
-    in fewer than ``equal`` of their eight bytes never meet (none such
-    differs in fewer than ``9 - equal`` bits); a larger ``equal`` makes
-    smaller buckets for larger tables.
+    smallest hash of their id; every vector is indexed, by ``codes`` codes.
+    Two vectors whose codes agree in fewer than ``equal`` of their eight
+    bytes, by every code, never meet (none such differ in fewer than
+    ``9 - equal`` bits of a code); a larger ``equal`` makes smaller buckets
+    for larger tables and needs more ``codes`` for the same recall.
 
     Defined cases: vectors that are null, empty or zero, hold null or
     non-finite components, or are not of the commonest length link with
@@ -236,15 +251,17 @@ def embedding_near_dups(
     )
     distinct = cut_lineage(distinct)
     drawn = distinct.orderBy(F.xxhash64("node"), "node", "h1").limit(sample).select("emb").toPandas()
-    mean, projection = learn_codes(np.stack(drawn["emb"].to_numpy()))
+    learned = np.stack(drawn["emb"].to_numpy())
+    quantisers = [learn_codes(learned, seed=3 + c) for c in range(codes)]
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("array<long>")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
-            yield pd.Series(encode(np.stack(x.to_numpy()), mean, projection) if len(x) else [], dtype="int64")
+            found = [encode(np.stack(x.to_numpy()), *q) for q in quantisers] if len(x) else []
+            yield pd.Series(list(np.stack(found, axis=1)) if found else [], dtype="object")
 
-    nodes = cut_lineage(distinct.select("h1", "h2", "node", "n", "emb", code("emb").alias("code")))
-    links, edges = embedding_links(nodes, cosine, equal, max_bits, chunk)
+    nodes = cut_lineage(distinct.select("h1", "h2", "node", "n", "emb", code("emb").alias("codes")))
+    links, edges = embedding_links(nodes, cosine, equal, max_bits, chunk, codes)
     roots = connected_components(edges).withColumnRenamed("node", "member")
     info = (
         nodes.select("h1", "h2", "node", "n")

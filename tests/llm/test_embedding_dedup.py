@@ -52,6 +52,20 @@ def test_recall_near_the_threshold(spark):
     assert found >= 0.9 * close.sum()
 
 
+def test_recall_far_beyond_the_sample(spark):
+    """Pairs of cosine 0.90 to 0.95 in a table ten times the quantiser's sample, against their planted partners."""
+    x = groups(2, [2] * 20500, 0.33)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    cosine = (u[::2] * u[1::2]).sum(axis=1)
+    near = np.nonzero((cosine >= 0.9) & (cosine < 0.95))[0]
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x), "label": 0}), SCHEMA)
+    got = embedding_near_dups(table).toPandas().set_index("vec_id")
+    found = got["component_id"].reindex(2 * near + 1).to_numpy() == 2 * near
+    assert len(x) >= 10 * 4096 and len(near) > 10_000
+    assert found.mean() >= 0.9
+    assert (got["n_links"] <= 1).all()  # a pair that meets by several codes counts once
+
+
 def test_query_recall(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     ids = [r["vec_id"] for r in rows]
