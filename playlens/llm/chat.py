@@ -38,10 +38,10 @@ def own_text(text: Column) -> Column:
 
 
 def passages(text: Column, min_chars: int) -> Column:
-    """Normalised: the whole text, its paragraphs and its lines."""
+    """Normalised: the whole text unless it is blank, and its paragraphs and lines of at least ``min_chars`` characters."""
     parts = F.concat(F.array(text), F.split(text, "\\n[ \\t]*(?:\\n[ \\t]*)+", -1), split_lines(text))
     plain = F.transform(parts, lambda x: lower_ascii(F.array_join(split_words(x), " ")))
-    return F.array_distinct(F.filter(plain, lambda x: F.length(x) >= min_chars))
+    return F.array_distinct(F.filter(plain, lambda x, i: F.length(x) >= F.when(i == 0, 1).otherwise(min_chars)))
 
 
 def _quotes(messages: DataFrame) -> DataFrame:
@@ -152,9 +152,11 @@ def link_messages(
     Defined cases: null and empty texts are empty messages; a null turn
     comes first; null conversation ids are one conversation; messages of one
     turn are ordered by a hash of the text, then by role; rows that repeat a
-    whole message share its position.  A passage of fewer than ``min_chars``
-    characters, and one that no earlier message wrote, links nothing.  Extra
-    columns are ignored; an empty table gives an empty result.
+    whole message share its position.  A line or paragraph of fewer than
+    ``min_chars`` characters links only where it is a whole quote and equals
+    a whole earlier message; a passage that no earlier message wrote, and a
+    blank one, links nothing.  Extra columns are ignored; an empty table
+    gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = conversations.select(

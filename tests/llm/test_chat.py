@@ -41,6 +41,16 @@ def test_threads_continue_over_several_runs(spark):
     assert out == {0: (None, 0, 0), 1: (0, 0, 1), 2: (0, 2, 0), 3: (1, 0, 2), 4: (3, 0, 3), 5: (2, 2, 1)}
 
 
+def test_whole_short_messages_are_linked(spark):
+    rows = [(1, 0, "a", "Thanks"), (1, 1, "b", "多謝你"), (1, 2, "c", "Yes\nBob and a longer line"), (1, 3, "d", " \n"), (1, 4, "e", "no")]
+    rows += [(1, 5, "f", ">  THANKS \nSure."), (1, 6, "g", "> 多謝你\n好"), (1, 7, "h", "> > Thanks\n> Sure.\nAgreed.")]
+    # One short line out of a longer message, a blank quote, and two short messages in one quote link nothing.
+    rows += [(1, 8, "i", "> Yes\nWhat?"), (1, 9, "j", ">\n>\nHm"), (1, 10, "k", "> Thanks\n> no\nOh"), (1, 11, "l", "> Bob and a longer line\nHe?")]
+    out = {r["turn"]: (r["reply_to"], r["n_linked"]) for r in link_messages(talk(spark, rows)).collect()}
+    want = {0: (None, 0)} | {t: (t - 1, 0) for t in range(1, 11)}
+    assert out == want | {5: (0, 1), 6: (1, 1), 7: (5, 2), 11: (2, 1)}
+
+
 def test_long_conversation(spark):
     rows = [(1, t, "u", f"message number {t}") for t in range(3000)]
     out = link_messages(talk(spark, rows)).select("turn", "position", "reply_to", "thread", "seq").collect()
