@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import free_names
+from playlens.llm.common import cut_lineage, free_names, split_words
 
 PASSAGE_WORDS = 64
 CHUNK = 1 << 20  # bytes that are encoded at a time
@@ -177,12 +177,9 @@ def train(
     return model
 
 
-def _bag(text: bytes, most: int) -> bytes:
-    """Passage rows of a training document, at most ``most`` of them, evenly spread over the text."""
-    rows = np.concatenate(list(encode(text)))
-    if len(rows) > most:
-        rows = rows[np.linspace(0, len(rows) - 1, most).astype(np.int64)]
-    return rows.astype(np.float16).tobytes()
+def _bag(text: bytes) -> bytes:
+    """All passage rows of a training document."""
+    return np.concatenate(list(encode(text))).astype(np.float16).tobytes()
 
 
 def fit(
@@ -198,10 +195,12 @@ def fit(
 
     At most ``sample_docs`` labelled documents are used, half of them of
     either label where there are enough (those with the smallest hash of
-    their id), and at most ``sample_passages`` passages of each; weights
-    restore the shares of the labels among all labelled documents.  This
-    bounds what reaches the driver to ``sample_docs * sample_passages`` rows
-    of 259 two-byte numbers, 133 MB for the defaults.
+    their id), with all their passages.  Where these are more than
+    ``sample_passages`` a document on average, fewer documents are taken, but
+    one of either label at least; weights restore the shares of the labels
+    among all labelled documents.  This bounds what reaches the driver to
+    ``sample_docs * sample_passages`` rows of 259 two-byte numbers, 133 MB
+    for the defaults, unless a single document has half of that.
     """
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -219,17 +218,26 @@ def fit(
     @F.pandas_udf("binary")
     def bag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([_bag(bytes(t), sample_passages) for t in texts])
+            yield pd.Series([_bag(bytes(t)) for t in texts])
 
-    found = (
+    texts = cut_lineage(
         docs.select(F.col(id_col).alias("did"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
         .join(F.broadcast(chosen), F.col("lid") == F.col("did"))
         .groupBy("lid", "y")
         .agg(F.min("text").alias("text"))
-        .select("lid", "y", bag("text").alias("rows"))
-        .toPandas()
-        .sort_values("lid")
+        .withColumn("h", F.xxhash64("lid"))
     )
+    # Every block of encode() can end with a passage that is not full.
+    passages = F.ceil(F.size(split_words(F.col("text").cast("string"))) / PASSAGE_WORDS) + F.floor(F.octet_length("text") / CHUNK)
+    room, last = dict.fromkeys(totals, sample_docs * sample_passages // 2), {}
+    for r in sorted(texts.select("y", "h", F.greatest(passages, F.lit(1)).alias("n")).collect(), key=lambda r: r["h"]):
+        room[r["y"]] -= r["n"]
+        if room[r["y"]] >= 0 or r["y"] not in last:
+            last[r["y"]] = r["h"]
+    within = F.lit(False)
+    for label, h in last.items():
+        within |= (F.col("y") == label) & (F.col("h") <= h)
+    found = texts.where(within).select("lid", "y", bag("text").alias("rows")).toPandas().sort_values("lid")
     bags = [np.frombuffer(r, dtype=np.float16).reshape(-1, WIDTH).astype(np.float32) for r in found["rows"]]
     y = found["y"].to_numpy(dtype=np.float64)
     share = {label: n / max((y == label).sum(), 1) for label, n in totals.items()}

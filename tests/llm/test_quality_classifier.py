@@ -40,6 +40,25 @@ def test_held_out_labels_change_nothing(spark):
     assert a == b
 
 
+def test_training_reads_every_passage(spark, monkeypatch):
+    learned = {}
+    monkeypatch.setattr(qc, "train", lambda bags, y, w: learned.update(bags=bags, y=y, w=w))
+    mostly = " ".join(["word"] * 20_000)
+    rows = [(i, mostly.replace("word", f"word{i}") if i < 8 else "some few words") for i in range(40)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(40)], "doc_id long, quality int")
+    qc.fit(docs(spark, rows), labels)
+    assert sorted(map(len, learned["bags"])) == [1] * 32 + [-(-20_000 // qc.PASSAGE_WORDS)] * 8
+    # Fewer documents where the passages are too many, all passages of those that are left.
+    qc.fit(docs(spark, rows), labels, sample_docs=40, sample_passages=20)
+    sizes, y = np.array(list(map(len, learned["bags"]))), learned["y"]
+    assert set(sizes) <= {1, 313} and 2 <= len(sizes) < 40
+    assert all(sizes[y == v].sum() <= 400 for v in (0, 1))
+    assert learned["w"][y == 1].sum() == pytest.approx(20) and learned["w"][y == 0].sum() == pytest.approx(20)
+    # A document beyond the bound is still the only one of its label.
+    qc.fit(docs(spark, rows[:1] + rows[9:10]), labels, sample_docs=2, sample_passages=1)
+    assert sorted(map(len, learned["bags"])) == [1, 313]
+
+
 def test_gradients():
     draw = np.random.default_rng(0)
     bags = [draw.random((k, qc.WIDTH)) for k in (1, 4, 2)]
