@@ -9,6 +9,8 @@ One rotation alone misses a fifth of the links near the threshold that way,
 so ``codes`` of them are learned from different starts, each with a code and
 tables of its own.  Codes that meet within ``max_bits`` bits are candidates,
 and their cosine is taken from the original vectors in double precision.
+Vectors of different lengths never meet: each length has its own quantisers
+and tables.
 
 Equal vectors are one node with a count.  A pair that meets in several
 tables counts only in the first of them, so links are counted where they are
@@ -100,6 +102,12 @@ def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
+def _by_length(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows of every length of ``emb``; tables belong to one length, so no group is split."""
+    for _, part in rows.groupby(rows["emb"].map(len), sort=False):
+        yield part.reset_index(drop=True)
+
+
 def _candidates(rows: pd.DataFrame, equal: int, max_bits: int, codes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of candidate pairs in the same group, whose first common table is the group's."""
     keys = rows[_GROUP].to_numpy()
@@ -111,7 +119,7 @@ def _candidates(rows: pd.DataFrame, equal: int, max_bits: int, codes: int) -> It
     every = np.stack([rows[f"code{c}"].to_numpy() for c in range(codes)])
     cross = rows["c1"].to_numpy() != rows["c2"].to_numpy()
     tables = _tables(equal)
-    which, table = np.divmod(rows["t"].to_numpy(), len(tables))
+    which, table = np.divmod(rows["t"].to_numpy() % (codes * len(tables)), len(tables))
     code = every[which, np.arange(len(rows))]
     last = np.array([t[1] for t in tables])[table]
     i, step = np.arange(len(rows)), 1
@@ -147,17 +155,18 @@ def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def embedding_links(
     nodes: DataFrame, cosine: float = 0.9, equal: int = 2, max_bits: int = 16, chunk: int = 256, codes: int = 2
 ) -> tuple[DataFrame, DataFrame]:
-    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``codes``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
+    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``d``, ``codes``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
 
+    ``d`` is the vector's length; only vectors of one length meet.
     ``links`` counts the copies of the linked nodes.
     """
     names, tables = [f"code{c}" for c in range(codes)], _tables(equal)
     keys = [
-        F.struct(F.lit(c * len(tables) + t).alias("t"), F.col(name).bitwiseAND(F.lit(mask)).alias("k"))
+        F.struct((F.col("d") * (codes * len(tables)) + c * len(tables) + t).alias("t"), F.col(name).bitwiseAND(F.lit(mask)).alias("k"))
         for c, name in enumerate(names)
         for t, (mask, _, _) in enumerate(tables)
     ]
-    coded = nodes.select("node", "h1", *[F.get("codes", F.lit(c)).alias(name) for c, name in enumerate(names)])
+    coded = nodes.select("node", "h1", F.col("d").cast("long").alias("d"), *[F.get("codes", F.lit(c)).alias(name) for c, name in enumerate(names)])
     rows = coded.select("node", "h1", *names, F.inline(F.array(*keys)))
     sizes = rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = rows.join(sizes, ["t", "k"]).withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
@@ -175,7 +184,7 @@ def embedding_links(
             yield group.loc[hit, [*_GROUP, "chunk", "node", "h1", *names]]
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _whole_groups(batches):
+        for group in (of_length for whole in _whole_groups(batches) for of_length in _by_length(whole)):
             unit = _unit(np.stack(group["emb"].to_numpy()).astype(np.float64))
             n, links, found = group["n"].to_numpy(), np.zeros(len(group), dtype=np.int64), []
             for a, b in _candidates(group, equal, max_bits, codes):
@@ -217,18 +226,19 @@ def embedding_near_dups(
     ``n_links`` is the number of other rows linked directly (cosine at least
     ``cosine``), ``component_id`` the smallest id reachable over links, the
     row's own included, and ``kept`` whether that is the row's own id.  The
-    quantiser is learned from the ``sample`` different vectors with the
-    smallest hash of their id; every vector is indexed, by ``codes`` codes.
+    quantisers of a length are learned from the ``sample`` different vectors
+    of it with the smallest hash of their id; every vector is indexed, by
+    ``codes`` codes.
     Two vectors whose codes agree in fewer than ``equal`` of their eight
     bytes, by every code, never meet (none such differ in fewer than
     ``9 - equal`` bits of a code); a larger ``equal`` makes smaller buckets
     for larger tables and needs more ``codes`` for the same recall.
 
-    Defined cases: vectors that are null, empty or zero, hold null or
-    non-finite components, or are not of the commonest length link with
-    nothing (ties: the longest counts); so do rows with a null id, whose
-    component is null and which are not kept.  Rows that repeat an id are
-    one node, linked wherever one of their vectors is.  Extra columns are
+    Defined cases: vectors that are null, empty or zero, or hold null or
+    non-finite components link with nothing; others link with vectors of
+    their own length.  Rows with a null id link with nothing; their
+    component is null and they are not kept.  Rows that repeat an id are one
+    node, linked wherever one of their vectors is.  Extra columns are
     ignored; an empty table gives an empty result.
     """
     emb = F.col("emb")
@@ -236,31 +246,33 @@ def embedding_near_dups(
     finite = F.forall(emb, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     sound = F.col("id").isNotNull() & emb.isNotNull() & finite & F.exists(emb, lambda x: x != 0)
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    common = (
-        rows.where("sound").groupBy(F.size(emb).alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    )
-    if common is None:
-        lone = rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-        return lone.withColumn("kept", F.col("id").isNotNull()).withColumnRenamed("id", id_col)
-    usable = F.col("sound") & (F.size(emb) == common["d"])
-    rows = rows.withColumns({n: F.when(usable, h) for h, n in zip(digest128(emb), ("h1", "h2"))})
+    rows = rows.withColumns({n: F.when(F.col("sound"), h) for h, n in zip(digest128(emb), ("h1", "h2"))})
     distinct = (
         rows.where("h1 IS NOT NULL")
         .groupBy("h1", "h2")
         .agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("emb").alias("emb"))
     )
-    distinct = cut_lineage(distinct)
-    drawn = distinct.orderBy(F.xxhash64("node"), "node", "h1").limit(sample).select("emb").toPandas()
-    learned = np.stack(drawn["emb"].to_numpy())
-    quantisers = [learn_codes(learned, seed=3 + c) for c in range(codes)]
+    distinct = cut_lineage(distinct.withColumn("d", F.size("emb")))
+    quantisers = {}
+    for length in distinct.groupBy("d").agg(F.count(F.lit(1)).alias("rows")).orderBy("d").collect():
+        own = distinct.where(F.col("d") == length["d"])
+        if length["rows"] > 1:  # a vector alone in its length meets none
+            drawn = own.orderBy(F.xxhash64("node"), "node", "h1").limit(sample).select("emb").toPandas()
+            learned = np.stack(drawn["emb"].to_numpy())
+            quantisers[length["d"]] = [learn_codes(learned, seed=3 + c) for c in range(codes)]
 
     @F.pandas_udf("array<long>")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
-            found = [encode(np.stack(x.to_numpy()), *q) for q in quantisers] if len(x) else []
-            yield pd.Series(list(np.stack(found, axis=1)) if found else [], dtype="object")
-
-    nodes = cut_lineage(distinct.select("h1", "h2", "node", "n", "emb", code("emb").alias("codes")))
+            found = pd.Series([np.zeros(codes, dtype=np.int64)] * len(x), dtype="object")
+            sizes = x.map(len).to_numpy()
+            for d in set(sizes) & quantisers.keys():
+                at = np.nonzero(sizes == d)[0]
+                same = np.stack(x.to_numpy()[at])
+                found.iloc[at] = list(np.stack([encode(same, *q) for q in quantisers[d]], axis=1))
+            yield found
+
+    nodes = cut_lineage(distinct.select("h1", "h2", "node", "n", "d", "emb", code("emb").alias("codes")))
     links, edges = embedding_links(nodes, cosine, equal, max_bits, chunk, codes)
     roots = connected_components(edges).withColumnRenamed("node", "member")
     info = (

@@ -99,6 +99,19 @@ def test_dimensions(spark, dim):
     assert [got[i]["n_links"] for i in range(len(x))] == close.sum(axis=1).tolist()
 
 
+def test_every_length_is_linked(spark):
+    parts = [groups(6 + i, sizes, 0.05, dim) for i, (sizes, dim) in enumerate([([3, 2] + [1] * 40, 64), ([4, 2, 1], 32), ([2, 1], 100), ([1], 7)])]
+    rows, want = [], {}
+    for x in parts:
+        close, root = brute(x)
+        want |= {len(rows) + i: (close[i].sum(), len(rows) + root[i]) for i in range(len(x))}
+        rows += list(enumerate(x, len(rows)))
+    rows += [(1000 + i, v) for i, v in enumerate([[1.0, 2.0], [1.0, 2.0], [2.0, -1.0], [1.0, 2.0, 0.0]])]
+    want |= {1000: (1, 1000), 1001: (1, 1000), 1002: (0, 1002), 1003: (0, 1003)}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_near_dups(vectors(spark, rows)).collect()}
+    assert got == want
+
+
 def test_rotation_is_orthogonal_and_balances():
     x = groups(4, [1] * 500, 0).astype(float)
     mean, projection = ed.learn_codes(x)
