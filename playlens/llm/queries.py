@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from playlens.llm.chat import link_messages
 from playlens.llm.common import table
+from playlens.llm.decontamination import decontaminate
 from playlens.llm.embedding_dedup import embedding_near_dups
+from playlens.llm.importance import importance_resample
 from playlens.llm.licenses import license_scan
 from playlens.llm.line_dedup import line_dedup
+from playlens.llm.merkle import merkle_manifest
 from playlens.llm.mixing import mix_plan
 from playlens.llm.packing import pack
 from playlens.llm.quality_classifier import quality_scores
@@ -77,6 +80,36 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("url")
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, min_words=20)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id has a CRC-32 divisible by 7 are folded with another ``n_chars``."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = F.col("n_chars") + F.when(hit, F.lit(1)).otherwise(F.lit(0))
+    return merkle_manifest(
+        table(spark, sf_dir, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        group_col="lang",
+        id_col="doc_id",
+        changed={"n_chars": tampered},
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -88,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_line_dedup": op10_line_dedup,
+    "op11_benchmark_decontamination": op11_benchmark_decontamination,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -252,4 +288,118 @@ marked AS (
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op11_benchmark_decontamination": r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS part
+    FROM item_words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) t WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+runs AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS part
+    FROM texts, lengths, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) t),
+found AS (
+    SELECT doc_id, i, r.n, item_id FROM runs r JOIN windows v ON r.n = v.n AND r.part = v.part),
+hits AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, LATERAL (SELECT unnest(range(0, n)) AS k) t GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    # CRC-32 bit by bit over the bytes, from their hexadecimal digits.
+    "op12_importance_resampling": r"""
+WITH texts AS (
+    SELECT doc_id, 0 AS side, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL
+    SELECT item_id, 1, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+used AS (
+    SELECT doc_id, side, f, count(*) AS n
+    FROM (SELECT doc_id, side, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM texts)
+    GROUP BY doc_id, side, f),
+hashed AS (
+    SELECT f, (4294967295 - list_reduce(
+                  list_concat([4294967295::BIGINT], [('0x' || h[2 * i + 1:2 * i + 2])::BIGINT FOR i IN range(length(h) // 2)]),
+                  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+                                           lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 10000 AS bucket
+    FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM used))),
+counts AS (
+    SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE side = 1), 0)::DOUBLE AS t
+    FROM used JOIN hashed USING (f) GROUP BY bucket),
+sums AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain FROM counts, sums),
+weights AS (
+    SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+    FROM used JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, len(w) >= 20 AS eligible, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                           / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM texts LEFT JOIN weights USING (doc_id) WHERE side = 0),
+ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE eligible)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= 25 * (SELECT count(*) FROM ranked) // 100 THEN CAST(rank AS BIGINT) END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)""",
+    # One list of digests for each group and level; a node's siblings are the rest of its pair.
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE rows AS (
+    SELECT doc_id, lang, source, n_chars, text, n_chars + CASE WHEN (4294967295 - list_reduce(
+               list_concat([4294967295::BIGINT], [ord(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+               lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+                                        lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 7 = 0 THEN 1 ELSE 0 END AS other
+    FROM documents),
+parts AS (
+    SELECT doc_id, lang,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+           coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars, coalesce(strlen(other::VARCHAR) || ':' || other, '-') AS changed,
+           coalesce(strlen(text) || ':' || text, '-') AS tail
+    FROM rows),
+leaves AS (
+    SELECT doc_id, lang, sha256(head || chars || tail) AS leaf, sha256(head || changed || tail) AS changed,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+    FROM parts),
+levels AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM leaves GROUP BY lang
+    UNION ALL
+    SELECT lang, level + 1, [sha256(array_to_string(nodes[2 * i + 1:2 * i + 2], '')) FOR i IN range((len(nodes) + 1) // 2)]
+    FROM levels WHERE len(nodes) > 1),
+subroots AS (
+    SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM levels WHERE len(nodes) = 1),
+tops AS (
+    SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, [sha256(array_to_string(nodes[2 * i + 1:2 * i + 2], '')) FOR i IN range((len(nodes) + 1) // 2)]
+    FROM tops WHERE len(nodes) > 1),
+steps AS (
+    SELECT doc_id, level, pos >> level AS node, nodes
+    FROM leaves JOIN levels ON leaves.lang IS NOT DISTINCT FROM levels.lang WHERE len(nodes) > 1
+    UNION ALL
+    SELECT doc_id, 1000 + level, place >> level, nodes
+    FROM leaves JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang, tops WHERE len(nodes) > 1),
+sides AS (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS step,
+           CASE WHEN node % 2 = 1 THEN nodes[node] ELSE '' END AS before, CASE WHEN node % 2 = 0 THEN coalesce(nodes[node + 2], '') ELSE '' END AS after
+    FROM steps),
+proofs AS (SELECT doc_id, string_agg(before || after, '' ORDER BY step) AS proof FROM sides GROUP BY doc_id),
+folds AS (
+    SELECT doc_id, 0::BIGINT AS step, changed AS digest FROM leaves
+    UNION ALL
+    SELECT f.doc_id, s.step, sha256(before || digest || after) FROM folds f JOIN sides s ON s.doc_id = f.doc_id AND s.step = f.step + 1),
+folded AS (SELECT doc_id, arg_max(digest, step) AS folded_root FROM folds GROUP BY doc_id),
+top AS (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang JOIN folded USING (doc_id) LEFT JOIN proofs USING (doc_id), top""",
 }
