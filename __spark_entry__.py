@@ -25,19 +25,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playlens.operators.ids import build_item_ids, unmatched
+from playlens.operators.listcheck import check_lists
 from playlens.operators.metrics import ranking_metrics, rmse
-from playlens.operators.model import fit_als, predict, predict_factors
-from playlens.operators.ratings import minmax_score, play_share
+from playlens.operators.model import als_certificate, fit_als, predict, predict_factors
+from playlens.operators.order import global_positions
+from playlens.operators.ratings import apply_scaler, fit_scaler, minmax_score, play_share
 from playlens.operators.recommend import recommend_items, recommend_users, recommendation_ids, top_k_per_group
+from playlens.operators.setops import split_laws
 from playlens.operators.split import side, split_per_user, split_rows
-from playlens.operators.tuning import best_by
+from playlens.operators.topk import topk_items, topk_users
+from playlens.operators.tuning import best_by, distinct_models, model_key, param_grid
 from playlens.plans import prepare as P
 from playlens.plans.evaluate import evaluate_model, labels_of, single_run
 from playlens.plans.search import ALPHAS, RANKS, REG_PARAMS, best_points, grid_search
-from playlens.session import scratch_path
+from playlens.session import cut_lineage, scratch_path, shared_path
 from playlens.sources import fixtures as FX
-from playlens.sources.sinks import preview, read_split_side, write_split, write_table
-from playlens.sources.tables import read_parquet, register_tables
+from playlens.sources.sinks import preview, read_split_side, write_csv, write_split, write_table
+from playlens.sources.tables import read_csv, read_parquet, register_tables
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 SEED = 52
@@ -214,7 +218,8 @@ def _score_order():
 
 
 def q_sorted_scores(spark, d):
-    return _scores(spark, d, 100.0).orderBy(*_score_order())
+    """The global order, proven by each row's position in it."""
+    return global_positions(_scores(spark, d, 100.0), _score_order(), "position")
 
 
 def q_scores_preview(spark, d):
@@ -341,7 +346,15 @@ def _grid(spark, d, variant="x100", max_iter=5):
         d,
         variant,
         max_iter,
-        build=lambda: grid_search(train, validation, k=K, max_iter=max_iter, seed=SEED, parallelism=GRID_PARALLELISM),
+        build=lambda: grid_search(
+            train,
+            validation,
+            k=K,
+            max_iter=max_iter,
+            seed=SEED,
+            parallelism=GRID_PARALLELISM,
+            store=shared_path(spark, "playlens-grid-models"),
+        ),
     )
 
 
@@ -368,10 +381,13 @@ def _factor_pairs(spark, d):
     return plays.groupBy("user_id", "track_new_id").agg(F.count(F.lit(1)).cast("double").alias("plays"))
 
 
+def _vectors(spark, d):
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+
+
 def _factor_predictions(spark, d):
-    vectors = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
-    users, items = vectors.where("id % 5 = 0"), vectors.where("id % 5 <> 0")
-    return predict_factors(users, items, _factor_pairs(spark, d))
+    """The whole table serves as the factors of both sides."""
+    return predict_factors(_vectors(spark, d), _vectors(spark, d), _factor_pairs(spark, d))
 
 
 def q_factor_predict(spark, d):
@@ -382,6 +398,114 @@ def q_factor_rmse(spark, d):
     return rmse(_factor_predictions(spark, d), "plays").select("rows", F.round("rmse", 9).alias("rmse"))
 
 
+# Lists from free-standing factor tables: every vector is a user and, times one plus
+# its label, an item, so the items' lengths differ.
+TOP = 10
+
+
+def _item_vectors(spark, d):
+    scaled = F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 1))
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), scaled.alias("features"))
+
+
+def q_topk_items(spark, d):
+    return topk_items(_vectors(spark, d), _item_vectors(spark, d), TOP)
+
+
+def q_topk_users(spark, d):
+    return topk_users(_vectors(spark, d), _item_vectors(spark, d), TOP)
+
+
+def q_topk_items_subset(spark, d):
+    """Lists of the users that have plays of fixture F1."""
+    return topk_items(_vectors(spark, d), _item_vectors(spark, d), TOP, users=FX.plays_f1(spark, d))
+
+
+def q_topk_users_subset(spark, d):
+    """Lists of the items of the catalog."""
+    items = _catalog(spark, d).select(F.expr("CAST(substr(recording_msid, 6) AS BIGINT)").alias("track_new_id"))
+    return topk_users(_vectors(spark, d), _item_vectors(spark, d), TOP, items=items)
+
+
+def q_topk_exclude_seen(spark, d):
+    """Lists without the items that a user has played."""
+    return topk_items(_vectors(spark, d), _item_vectors(spark, d), TOP, seen=_factor_pairs(spark, d))
+
+
+def q_als_certificate(spark, d):
+    """Whether the fitted user factors solve their least-squares equations."""
+    model = _model(spark, d)
+    told = als_certificate(model.userFactors, model.itemFactors, _sets(spark, d)[0], ALS_PARAMS["reg_param"])
+    return told.drop("residual")
+
+
+# Owners whose lists are scored again against all factors.
+CHECKED = "id % 50 = 0"
+
+
+def q_als_lists_exact_items(spark, d):
+    model = _model(spark, d)
+    lists = q_als_topk_items(spark, d).where(CHECKED.replace("id", "user_id"))
+    return check_lists(lists, model.userFactors.where(CHECKED), model.itemFactors, K)
+
+
+def q_als_lists_exact_users(spark, d):
+    model = _model(spark, d)
+    lists = q_als_topk_users(spark, d).where(CHECKED.replace("id", "track_new_id"))
+    return check_lists(lists, model.itemFactors.where(CHECKED), model.userFactors, K, "track_new_id", "user_id")
+
+
+def q_split_by_score_80(spark, d):
+    """The best-scored four fifths of every user's rows: a split in the caller's order."""
+    order = [F.col("normalized_ranking").desc(), F.col("track_new_id").asc()]
+    return split_per_user(_scored(spark, d), 0.8, order=order)
+
+
+def q_minmax_fit_on_train(spark, d):
+    """Scores whose per-user range comes from the train rows alone; the validation rows are clipped to it."""
+    shares = P.share_table(_catalog(spark, d), FX.plays_f2(spark, d)).where("track_new_id IS NOT NULL AND user_id IS NOT NULL")
+    labelled = cut_lineage(split_per_user(shares, 0.8, seed=SEED, unique_by=P.PAIR))
+    return apply_scaler(labelled, fit_scaler(side(labelled, "train")), 100.0, outside="clip")
+
+
+def _split_variants(spark, d):
+    """Name, input and labelled rows of every split."""
+    scored, positive = _scored(spark, d), _scored(spark, d, zeros="drop_before")
+    shares = P.share_table(_catalog(spark, d, "f2"), FX.plays_f2(spark, d))
+    x10 = _scored(spark, d, 10.0)
+    plays = FX.plays_f2(spark, d)
+    return {
+        "ordered_80": (scored, q_split_ordered_80(spark, d)),
+        "by_score_80": (scored, q_split_by_score_80(spark, d)),
+        "hash_70": (positive, q_split_hash_70(spark, d)),
+        "zero_after": (x10.where("normalized_ranking > 0"), q_split_zero_after(spark, d)),
+        "raw_share": (shares.where("ranking > 0 AND user_id IS NOT NULL"), q_split_raw_share(spark, d)),
+        "rows_80": (plays, q_split_rows_80(spark, d)),
+        "duplicates": (FX.plays_f1(spark, d).where("user_id IS NOT NULL"), q_split_duplicates(spark, d)),
+    }
+
+
+def q_split_laws(spark, d):
+    """Of every split: its two sides together are the input, and share no row."""
+    out = None
+    for name, (given, labelled) in _split_variants(spark, d).items():
+        row = split_laws(given, labelled).select(F.lit(name).alias("variant"), "*")
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
+def q_plays_csv(spark, d):
+    """The plays of fixture F2, written as CSV and read again under a declared schema."""
+    path = write_csv(FX.plays_f2(spark, d), scratch_path(spark, f"plays-{uuid.uuid4().hex}"))
+    return read_csv(spark, path, "user_id BIGINT, recording_msid STRING", malformed="fail")
+
+
+def q_sink_validation(spark, d):
+    """The validation side of a written split."""
+    path = write_split(_split80(spark, d), scratch_path(spark, f"split-{uuid.uuid4().hex}"))
+    return read_split_side(spark, path, "validation")
+
+
 def q_als_warm_pairs(spark, d):
     return q_als_predict(spark, d).select("user_id", "track_new_id")
 
@@ -418,7 +542,14 @@ def q_als_list_shape_users_subset(spark, d):
 
 
 def q_grid_points(spark, d):
-    return _grid(spark, d).select("grid_index", "reg_param", "rank", "alpha", "model_index", "users")
+    """The grid's points, the model of each and the users that its models are scored on; nothing is fitted."""
+    train, validation = _sets(spark, d)
+    points = param_grid(REG_PARAMS, RANKS, ALPHAS)
+    index = {key: i for i, key in enumerate(distinct_models(points))}
+    rows = [(p["grid_index"], p["reg_param"], p["rank"], p["alpha"], index[model_key(p)]) for p in points]
+    table = spark.createDataFrame(rows, "grid_index int, reg_param double, rank int, alpha double, model_index int")
+    warm = validation.select("user_id").join(train.select("user_id"), "user_id", "left_semi")
+    return table.withColumn("users", warm.agg(F.count_distinct("user_id")).scalar())
 
 
 def q_best_rule(spark, d):
@@ -508,6 +639,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_scores": q_sink_scores,
     "sink_train": q_sink_train,
     "plays_f2_sql": q_plays_f2_sql,
+    "topk_items": q_topk_items,
+    "topk_users": q_topk_users,
+    "topk_items_subset": q_topk_items_subset,
+    "topk_users_subset": q_topk_users_subset,
+    "topk_exclude_seen": q_topk_exclude_seen,
+    "als_certificate": q_als_certificate,
+    "als_lists_exact_items": q_als_lists_exact_items,
+    "als_lists_exact_users": q_als_lists_exact_users,
+    "split_by_score_80": q_split_by_score_80,
+    "minmax_fit_on_train": q_minmax_fit_on_train,
+    "split_laws": q_split_laws,
+    "plays_csv": q_plays_csv,
+    "sink_validation": q_sink_validation,
 }
 
 
@@ -668,7 +812,8 @@ FROM hashed WHERE user_id IS NOT NULL"""
     )
     o["distinct_users"] = scored100 + "SELECT DISTINCT user_id FROM scored"
     o["distinct_items"] = scored100 + "SELECT DISTINCT track_new_id FROM scored"
-    o["sorted_scores"] = scored100 + "SELECT * FROM scored ORDER BY user_id, normalized_ranking DESC, track_new_id"
+    o["sorted_scores"] = scored100 + """SELECT *, row_number() OVER (ORDER BY user_id, normalized_ranking DESC, track_new_id) AS position
+FROM scored"""
     o["scores_preview"] = (
         scored100 + "SELECT * FROM scored ORDER BY user_id, normalized_ranking DESC, track_new_id LIMIT 20"
     )
@@ -747,11 +892,65 @@ GROUP BY track_new_id ORDER BY metric DESC, grid_index LIMIT 1"""
            list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS prediction
     FROM (SELECT user_id, CAST(substr(recording_msid, 6) AS BIGINT) AS item, CAST(count(*) AS DOUBLE) AS plays
           FROM plays GROUP BY ALL)
-    JOIN embeddings u ON u.vec_id = user_id AND u.vec_id % 5 = 0
-    JOIN embeddings i ON i.vec_id = item AND i.vec_id % 5 <> 0)""")
+    JOIN embeddings u ON u.vec_id = user_id
+    JOIN embeddings i ON i.vec_id = item)""")
     o["factor_predict"] = factors + "SELECT user_id, track_new_id, plays, round(prediction, 9) AS prediction FROM predicted"
     o["factor_rmse"] = factors + """SELECT count(*) AS rows, round(sqrt(avg((plays - prediction) * (plays - prediction))), 9) AS rmse
 FROM predicted"""
+
+    def top_sql(owner: str, other: str, only: str = "", unseen: str = "", fx: str = "f2") -> str:
+        """All products of users and items, the best of each owner kept."""
+        return _with(_cte_catalog("f2"), _CTE_PLAYS[fx], f"""rated AS (
+    SELECT u.vec_id AS user_id, i.vec_id AS track_new_id,
+           round(list_dot_product(CAST(u.embedding AS DOUBLE[]), [CAST(x AS DOUBLE) * (i.label + 1) FOR x IN i.embedding]), 9) AS rating
+    FROM embeddings u, embeddings i)""") + f"""SELECT {owner}, CAST(row_number() OVER best AS INTEGER) AS pos, {other}, rating
+FROM rated WHERE true{only}{unseen}
+WINDOW best AS (PARTITION BY {owner} ORDER BY rating DESC, {other}) QUALIFY pos <= {TOP}"""
+
+    o["topk_items"] = top_sql("user_id", "track_new_id")
+    o["topk_users"] = top_sql("track_new_id", "user_id")
+    o["topk_items_subset"] = top_sql("user_id", "track_new_id", " AND user_id IN (SELECT user_id FROM plays)", fx="f1")
+    o["topk_users_subset"] = top_sql(
+        "track_new_id", "user_id", " AND track_new_id IN (SELECT CAST(substr(recording_msid, 6) AS BIGINT) FROM catalog)"
+    )
+    o["topk_exclude_seen"] = top_sql(
+        "user_id",
+        "track_new_id",
+        unseen=" AND (user_id, track_new_id) NOT IN (SELECT (user_id, CAST(substr(recording_msid, 6) AS BIGINT)) FROM plays)",
+    )
+    o["als_certificate"] = sides + "SELECT user_id, count(*) AS n_ratings, true AS solved FROM train GROUP BY user_id"
+    for name, owner, other in (("items", "user_id", "track_new_id"), ("users", "track_new_id", "user_id")):
+        o[f"als_lists_exact_{name}"] = sides + f"""SELECT {owner}, least({K}, (SELECT count(DISTINCT {other}) FROM train)) AS n_rows,
+       true AS own_ratings, true AS best_ratings, true AS no_repeats FROM (SELECT DISTINCT {owner} FROM train WHERE {owner} % 50 = 0)"""
+    o["split_by_score_80"] = scored100 + f"""SELECT {_SCORE_COLS},
+       CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY normalized_ranking DESC, track_new_id)
+                 <= floor(count(*) OVER (PARTITION BY user_id) * 0.8::DOUBLE) THEN 'train' ELSE 'validation' END AS dataset
+FROM scored"""
+    o["minmax_fit_on_train"] = _with(
+        *_prep(),
+        _CTE_SHARES,
+        "known AS (SELECT user_id, track_new_id, share AS ranking FROM shares WHERE track_new_id IS NOT NULL)",
+        "halves AS (" + _split_sql("known", 0.8, "user_id, track_new_id, ranking") + ")",
+        """fitted AS (
+    SELECT user_id, min(ranking) AS low, max(ranking) AS high FROM halves WHERE dataset = 'train' GROUP BY user_id)""",
+    ) + """SELECT h.user_id, track_new_id, ranking, dataset,
+       CASE WHEN low < high THEN least(greatest((ranking - low) / (high - low), 0), 1) * 100 END AS normalized_ranking
+FROM halves h LEFT JOIN fitted f ON h.user_id = f.user_id"""
+    sizes = {
+        "ordered_80": "scored",
+        "by_score_80": "scored",
+        "hash_70": "scored WHERE normalized_ranking > 0",
+        "zero_after": "scored WHERE normalized_ranking > 0",
+        "raw_share": "shares WHERE share > 0 AND user_id IS NOT NULL",
+        "rows_80": "lineitem JOIN orders ON l_orderkey = o_orderkey",
+        "duplicates": "events WHERE user_id IS NOT NULL",
+    }
+    o["split_laws"] = scored100 + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS variant, count(*) AS n_rows, 0::BIGINT AS n_different, 0::BIGINT AS n_overlap FROM {rows}"
+        for name, rows in sizes.items()
+    )
+    o["plays_csv"] = o["plays_f2"]
+    o["sink_validation"] = sides + f"SELECT {_SCORE_COLS} FROM validation"
     return o
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.columns import checked_int
@@ -130,7 +132,66 @@ def predict_factors(
     return both.select(*pairs.columns, dot.alias("prediction"))
 
 
+def _norm(vector) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+
+
+#: How far the user factors may be from solving their equations, relative to the size of the terms: they are floats.
+CERTIFICATE_TOLERANCE = 1e-5
+
+
+def als_certificate(
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    train: DataFrame,
+    reg_param: float,
+    user_col: str = "user_id",
+    item_col: str = "track_new_id",
+    rating_col: str = "normalized_ranking",
+    tolerance: float = CERTIFICATE_TOLERANCE,
+) -> DataFrame:
+    """``(user, n_ratings, residual, solved)``: whether each user's factors solve their least squares.
+
+    Explicit ALS ends with an exact solution for the users: with V the
+    factors of a user's n items and r its ratings, the user's factors u
+    satisfy ``(V'V + reg_param n I) u = V'r``.  ``residual`` is the length of
+    ``V'(Vu - r) + reg_param n u`` over the sum of its terms' lengths, and
+    ``solved`` tells whether it is at most ``tolerance``.  A user without
+    factors, or with an item without, is not solved (its residual is NULL).
+
+    Joins and one aggregation of vectors with map-side combine; a user's
+    equations are never built.
+    """
+    ratings = als_input(train, user_col, item_col, rating_col).select(
+        user_col, item_col, F.col(rating_col).cast("float").cast("double").alias("_r")
+    )
+    users = user_factors.select(F.col("id").alias(user_col), F.col("features").alias("_uf"))
+    told = predict_factors(user_factors, item_factors, ratings, user_col, item_col)
+    items = item_factors.select(F.col("id").alias(item_col), F.col("features").alias("_if"))
+    error = F.col("prediction") - F.col("_r")
+    terms = told.join(items, item_col).select(
+        user_col,
+        array_to_vector(F.transform("_if", lambda x: x.cast("double") * error)).alias("_term"),
+        (_norm("_if") * (F.abs("prediction") + F.abs("_r"))).alias("_size"),
+    )
+    sums = terms.groupBy(user_col).agg(
+        Summarizer.sum(F.col("_term")).alias("_sum"), F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_found")
+    )
+    counts = ratings.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_ratings"))
+    weight = F.lit(float(reg_param)) * F.col("n_ratings")
+    rest = F.zip_with(vector_to_array("_sum"), "_uf", lambda a, x: a + weight * x.cast("double"))
+    whole = counts.join(sums, user_col, "left").join(users, user_col, "left")
+    measured = whole.withColumn(
+        "residual",
+        F.when(F.col("_found") == F.col("n_ratings"), F.try_divide(_norm(rest), F.col("_size") + weight * _norm("_uf"))),
+    )
+    # No terms at all (ratings and factors of 0) leave nothing to solve.
+    still = F.col("residual").isNull() & (F.col("_found") == F.col("n_ratings")) & (F.col("_size") == 0)
+    return measured.select(
+        user_col, "n_ratings", "residual", F.coalesce(F.col("residual") <= tolerance, still, F.lit(False)).alias("solved")
+    )
+
+
 def predict_mllib(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """MLlib's own ``transform`` (float predictions, per-row UDF)."""
     return model.transform(pairs)
-

@@ -93,3 +93,43 @@ def minmax_score(
     if zeros == "drop_before":
         scored = scored.where(F.col(score_col) > 0)
     return scored
+
+
+OUTSIDE = ("clip", "keep")
+
+
+def fit_scaler(train: DataFrame, user_col: str = "user_id", value_col: str = "ranking") -> DataFrame:
+    """Per-user scaler ``(user, low, high)`` from the train rows alone: one row for each user with a value."""
+    known = train.where(F.col(user_col).isNotNull() & F.col(value_col).isNotNull())
+    return known.groupBy(user_col).agg(F.min(value_col).alias("low"), F.max(value_col).alias("high"))
+
+
+def apply_scaler(
+    rows: DataFrame,
+    scaler: DataFrame,
+    scale: float = 100.0,
+    outside: str = "clip",
+    user_col: str = "user_id",
+    value_col: str = "ranking",
+    score_col: str = "normalized_ranking",
+) -> DataFrame:
+    """``rows`` plus the min-max score of ``value_col`` under a fitted ``scaler``.
+
+    The rows may be ones that the scaler has not seen.  A value outside its
+    user's fitted range scores 0 or ``scale`` (``outside="clip"``), or below
+    0 or above ``scale`` (``"keep"``).  The score is NULL where the user has
+    no fitted range, where that range is a single value, and for a NULL user
+    or value; no row is dropped.
+
+    The scaler has one row for each user and is joined on it, so a hot
+    user's rows are split by AQE like those of any other equi-join.
+    """
+    if outside not in OUTSIDE:
+        raise ValueError(f"outside must be one of {OUTSIDE}")
+    fitted = scaler.select(F.col(user_col).alias("_user"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    share = F.try_divide(F.col(value_col) - F.col("_low"), F.col("_high") - F.col("_low"))
+    if outside == "clip":
+        # least and greatest skip NULLs, so a missing range is kept apart.
+        share = F.when(share.isNotNull(), F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)))
+    joined = rows.join(fitted, F.col(user_col) == F.col("_user"), "left")
+    return joined.select(*rows.columns, (share * F.lit(float(scale))).alias(score_col))

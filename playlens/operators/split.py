@@ -32,10 +32,13 @@ copy number.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.columns import HASH_SPACE, hash_bucket, hash_key, hash_prefix32, truncated_share
+from playlens.operators.order import global_positions
 
 DEFAULT_SEED = 52
 ROWS_PER_BUCKET = 1_000_000
@@ -62,9 +65,13 @@ def split_per_user(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_heavy: int = MAX_HEAVY,
     unique_by: list[str] | None = None,
+    order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """``df`` plus ``label_col`` in {train, validation}; rows with a NULL user are dropped.
 
+    ``order`` puts the rows of a user into the caller's order (newest last,
+    best first) instead of the seeded hash order; see ``_split_in_order``.
+
     ``unique_by`` names columns of which no two rows share the values (a
     table of user and item pairs); they alone are hashed then, and copies
     need not be numbered, which saves a shuffle of the rows.
@@ -72,6 +79,8 @@ def split_per_user(
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in [0, 1]")
     cols = df.columns
+    if order is not None:
+        return _split_in_order(df, fraction, order, user_col, label_col)
     known = df.where(F.col(user_col).isNotNull())
     if unique_by is None:
         hashed = [*cols, "_copy"]
@@ -117,6 +126,22 @@ def split_per_user(
     )
 
 
+def _split_in_order(df: DataFrame, fraction: float, order: Sequence[Column], user_col: str, label_col: str) -> DataFrame:
+    """The split with the rows of each user in ``order``.
+
+    Hash ranges know nothing of such an order, so the rows are cut by ranges
+    of (user, order) whose bounds come from a sample: a heavy user's rows
+    fill several ranges, small users share one, and exact offsets give each
+    row its position.  Rows that tie in ``order`` go by all other columns,
+    so the labels don't depend on partitioning.
+    """
+    known = df.where(F.col(user_col).isNotNull())
+    total = [*order, *[F.col(c).asc_nulls_first() for c in df.columns if c != user_col]]
+    placed = global_positions(known, total, "_pos", per=[user_col], size_col="_n")
+    first = F.col("_pos") <= truncated_share("_n", fraction)
+    return placed.select(*df.columns, F.when(first, F.lit("train")).otherwise(F.lit("validation")).alias(label_col))
+
+
 def split_rows(
     df: DataFrame,
     weights: tuple[float, ...] = (0.8, 0.2),

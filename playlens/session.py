@@ -95,3 +95,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table next to the checkpoints."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the configured folder of the checkpoints itself, where a later session finds it again.
+
+    Spark gives the checkpoints of every session a folder of their own; that
+    one is used where the setting is missing (tests, the bench).
+    """
+    return os.path.join(spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark), name)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlens.sources.tables import CSV_NULL
+
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> str:
     """Parquet sink with an explicit save mode."""
@@ -21,6 +23,20 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition
     return path
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = False) -> str:
+    """CSV sink that ``read_csv`` reads back: NULL and the empty string stay apart, quotes are doubled, spaces stay."""
+    df.write.mode(mode).csv(
+        path,
+        header=header,
+        nullValue=CSV_NULL,
+        emptyValue='""',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return path
+
+
 def write_split(df: DataFrame, path: str, mode: str = "errorifexists", label_col: str = "dataset") -> str:
     """Write a labelled split in one job, partitioned by the label."""
     return write_table(df, path, mode=mode, partition_by=[label_col])

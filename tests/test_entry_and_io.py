@@ -6,7 +6,7 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
-from playlens.sources import read_csv, read_split_side, register_view, write_split, write_table
+from playlens.sources import read_csv, read_split_side, register_tables, register_view, write_csv, write_split, write_table
 from tests.oracle import compare, duck
 
 ORACLE_NAMES = sorted(E.oracle_sql())
@@ -71,3 +71,35 @@ def test_csv_with_ddl_and_view(spark):
     assert dict(df.dtypes) == {"user_id": "int", "recording_msid": "string"}
     register_view(df, "plays_csv")
     assert spark.sql("select count(*) c from plays_csv").first().c == 2
+
+
+def test_csv_round_trip_keeps_null_and_empty_apart(spark, tmp_path):
+    rows = [(1, None), (None, ""), (3, 'quote " and, comma'), (4, "NULL"), (5, "two\\backslashes"), (6, " spaced ")]
+    df = spark.createDataFrame(rows, "user_id bigint, recording_msid string")
+    for header in (False, True):
+        path = write_csv(df, str(tmp_path / f"h{header}"), header=header)
+        back = read_csv(spark, path, "user_id BIGINT, recording_msid STRING", header=header)
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_malformed_csv_rows(spark, tmp_path):
+    path = tmp_path / "broken.csv"
+    path.write_text("1,msid-1\nx,msid-2\n3\n4,msid-4,more\n5,msid-5\n")
+    schema = "user_id INT, recording_msid STRING"
+    good = [(1, "msid-1"), (5, "msid-5")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, str(path), schema).collect()
+    assert sorted(map(tuple, read_csv(spark, str(path), schema, malformed="drop").collect())) == good
+    kept = read_csv(spark, str(path), schema, malformed="keep", corrupt_col="_bad").cache()
+    assert kept.count() == 5
+    assert sorted(map(tuple, kept.where("_bad IS NULL").drop("_bad").collect())) == good
+    assert {r["_bad"] for r in kept.where("_bad IS NOT NULL").collect()} == {"x,msid-2", "3", "4,msid-4,more"}
+    with pytest.raises(ValueError):
+        read_csv(spark, str(path), schema, malformed="ignore")
+
+
+def test_tables_are_registered_from_any_path(spark, sf_small):
+    """A path that only Spark's readers understand; a missing table is Spark's own error."""
+    assert E.q_plays_f2_sql(spark, f"file:{sf_small}").count() == E.q_plays_f2(spark, sf_small).count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        register_tables(spark, f"file:{sf_small}", ["no_such_table"])

@@ -6,11 +6,13 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from playlens.functions.columns import checked_int
 from playlens.operators.metrics import ranking_metrics
-from playlens.operators.model import fit_als, make_als, predict, predict_mllib, timed_fit
+from playlens.operators.listcheck import check_lists
+from playlens.operators.model import als_certificate, fit_als, make_als, predict, predict_mllib, timed_fit
 from playlens.operators.recommend import recommend_items, recommend_users, top_k_per_group
 from playlens.operators.tuning import best_by, distinct_models, param_grid
 from playlens.operators.split import side
@@ -182,3 +184,70 @@ def test_evaluation_equals_long_form_lists(sets, model):
     long_form = ranking_metrics(recommend_items(model, 10), labels, 10).first().asDict()
     row = evaluate_model(model, sets[1], 10).first().asDict()
     assert {c: row[c] for c in long_form} == pytest.approx(long_form, rel=1e-12)
+
+
+def test_certificate_holds_for_mllib_and_breaks_for_a_perturbed_user(spark, sets, model):
+    train = sets[0]
+    told = als_certificate(model.userFactors, model.itemFactors, train, PARAMS["reg_param"]).cache()
+    n = {r.user_id: r["count"] for r in train.groupBy("user_id").count().collect()}
+    assert {r.user_id: r.n_ratings for r in told.collect()} == n and all(r.solved for r in told.collect())
+    some = sorted(n)[3]
+    moved = F.transform("features", lambda x: (x * F.when(F.col("id") == some, F.lit(1.001)).otherwise(F.lit(1.0))).cast("float"))
+    off = als_certificate(model.userFactors.withColumn("features", moved), model.itemFactors, train, PARAMS["reg_param"])
+    assert [r.user_id for r in off.collect() if not r.solved] == [some]
+    wrong_reg = als_certificate(model.userFactors, model.itemFactors, train, 2 * PARAMS["reg_param"])
+    assert not all(r.solved for r in wrong_reg.collect())
+    missing = als_certificate(model.userFactors.where(F.col("id") != some), model.itemFactors, train, PARAMS["reg_param"])
+    assert [(r.user_id, r.residual) for r in missing.collect() if not r.solved] == [(some, None)]
+
+
+@pytest.mark.parametrize("side_of", ["items", "users"])
+def test_list_check_sees_swapped_missing_and_repeated_rows(spark, model, side_of):
+    if side_of == "items":
+        lists, own, other, cols = recommend_items(model, 10), model.userFactors, model.itemFactors, ("user_id", "track_new_id")
+    else:
+        lists, own, other, cols = recommend_users(model, 10), model.itemFactors, model.userFactors, ("track_new_id", "user_id")
+    owners = sorted(r.id for r in own.collect())[:4]
+    lists, own = lists.where(F.col(cols[0]).isin(owners)).cache(), own.where(F.col("id").isin(owners))
+    flags = lambda df: {r[0]: tuple(r)[1:] for r in check_lists(df, own, other, 10, *cols).collect()}
+    good = (10, True, True, True)
+    assert flags(lists) == dict.fromkeys(owners, good)
+    at = F.when(F.col(cols[0]) == owners[0], F.when(F.col("pos") == 1, 9).when(F.col("pos") == 9, 1).otherwise(F.col("pos"))).otherwise(F.col("pos"))
+    swapped = lists.withColumn("pos", at.cast("int"))
+    assert flags(swapped) == dict.fromkeys(owners, good) | {owners[0]: (10, True, False, True)}
+    traded = swapped.select(cols[0], "pos", cols[1]).join(lists.select(cols[0], "pos", "rating"), [cols[0], "pos"])
+    assert flags(traded)[owners[0]][:3] == (10, False, True)  # the right ratings beside the wrong names
+    assert flags(lists.where(f"NOT ({cols[0]} = {owners[1]} AND pos = 4)"))[owners[1]] == (9, False, False, True)
+    assert flags(lists.where(f"{cols[0]} <> {owners[2]}"))[owners[2]] == (0, False, False, True)
+    worst = lists.withColumn(cols[1], F.when(F.col("pos") == 2, F.first(cols[1]).over(Window.partitionBy(cols[0]).orderBy("pos"))).otherwise(F.col(cols[1])))
+    assert not any(f[3] for f in flags(worst).values())
+
+
+def test_grid_goes_on_after_a_lost_driver(spark, sets, tmp_path, monkeypatch):
+    """Two models are committed, the third fit fails; the second search fits the rest only."""
+    from playlens.plans import search
+
+    fits, real = [], search.fit_als
+
+    def counting(train, **params):
+        if len(fits) == limit:
+            raise RuntimeError("driver lost")
+        fits.append((params["reg_param"], params["rank"]))
+        return real(train, **params)
+
+    monkeypatch.setattr(search, "fit_als", counting)
+    args = dict(reg_params=(0.1, 1.0), ranks=(2, 3), alphas=(1.0, 2.0), k=5, max_iter=1, seed=3)
+    limit = 2
+    with pytest.raises(RuntimeError):
+        grid_search(*sets, store=str(tmp_path / "store"), **args)
+    assert len(fits) == 2
+    limit = None
+    again = grid_search(*sets, store=str(tmp_path / "store"), **args)
+    assert len(fits) == 4 and len(set(fits)) == 4
+    rows = lambda df: sorted(map(tuple, df.drop("fit_sec").collect()))
+    fits.clear()
+    assert rows(grid_search(*sets, store=str(tmp_path / "store"), **args)) == rows(again) and not fits
+    assert rows(grid_search(*sets, **args)) == rows(again) and len(fits) == 4
+    fits.clear()
+    grid_search(sets[0].where("user_id <> 1"), sets[1], store=str(tmp_path / "store"), **{**args, "ranks": (2,)})
+    assert len(fits) == 2  # other data, other models

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from playlens.operators.ratings import minmax_score, play_share
+from playlens.operators.ratings import apply_scaler, fit_scaler, minmax_score, play_share
 
 
 def _as_dict(df, key=("user_id", "track_new_id"), val="normalized_ranking"):
@@ -53,3 +53,27 @@ def test_shares_sum_to_one_and_scores_in_range(spark, sf_small):
 def test_rejects_unknown_zero_mode(edge_plays):
     with pytest.raises(ValueError):
         minmax_score(edge_plays, zeros="sometimes")
+
+
+def test_fitted_scaler_on_unseen_rows(spark):
+    """Values outside the fitted range, flat users, users and values without a range."""
+    train = spark.createDataFrame([(1, 0.2), (1, 0.6), (1, None), (2, 0.5), (2, 0.5), (None, 0.1)], "user_id int, ranking double")
+    rows = spark.createDataFrame(
+        [(1, 0.2), (1, 0.4), (1, 0.6), (1, 0.1), (1, 0.8), (1, None), (2, 0.5), (2, 0.7), (3, 0.5), (None, 0.1)],
+        "user_id int, ranking double",
+    )
+    fitted = fit_scaler(train)
+    assert sorted(map(tuple, fitted.collect())) == [(1, 0.2, 0.6), (2, 0.5, 0.5)]
+
+    def got(outside):
+        scored = apply_scaler(rows, fitted, 10.0, outside)
+        assert scored.columns == ["user_id", "ranking", "normalized_ranking"]
+        return {(r[0], r[1]): None if r[2] is None else round(r[2], 9) for r in scored.collect()}
+
+    none = {(1, None): None, (2, 0.5): None, (2, 0.7): None, (3, 0.5): None, (None, 0.1): None}
+    inside = {(1, 0.2): 0.0, (1, 0.4): 5.0, (1, 0.6): 10.0}
+    assert got("clip") == none | inside | {(1, 0.1): 0.0, (1, 0.8): 10.0}
+    assert got("keep") == none | inside | {(1, 0.1): -2.5, (1, 0.8): 15.0}
+    with pytest.raises(ValueError):
+        apply_scaler(rows, fitted, outside="wrap")
+    assert apply_scaler(rows, fit_scaler(train.where("false"))).where("normalized_ranking IS NOT NULL").count() == 0

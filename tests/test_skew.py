@@ -9,6 +9,7 @@ import __spark_entry__ as E
 import pytest
 from pyspark.sql import functions as F
 
+from playlens.operators.order import global_positions
 from playlens.operators.ratings import minmax_score
 from playlens.operators.split import split_per_user
 from playlens.plans.prepare import rekeyed_plays
@@ -67,3 +68,31 @@ def test_hot_user_split_is_exact_in_small_buckets(hot_scores):
     assert sorted(small.select(key).collect()) == sorted(whole.select(key).collect())
     t = small.where((F.col("user_id") == HOT) & (F.col("dataset") == "train")).count()
     assert t == int(n_hot * 0.8)
+
+
+def test_hot_user_in_the_callers_order(spark):
+    """Split by score, one user with a third of the rows: exact, and no task of the ranking holds that user."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(HOT)).otherwise(F.col("id") % 997 + 1).alias("user_id"),
+        F.col("id").alias("track_new_id"),
+        (F.col("id") * 7919 % 1009).cast("double").alias("normalized_ranking"),
+    ).repartition(6)
+    order = [F.col("normalized_ranking").desc(), F.col("track_new_id").asc()]
+    own = {}
+    for r in rows.collect():
+        own.setdefault(r.user_id, []).append((-r.normalized_ranking, r.track_new_id))
+    want = {(u, item): i < int(len(of) * 0.8) for u, of in own.items() for i, (_, item) in enumerate(sorted(of))}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = split_per_user(rows, 0.8, order=order)
+        assert {(r.user_id, r.track_new_id): r.dataset == "train" for r in got.collect()} == want
+        placed = global_positions(rows, order, per=["user_id"])
+        tasks = placed.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("user_id") == HOT).alias("hot")
+        )
+        sizes = tasks.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(r.n for r in sizes) < 30_000 / 8
+    assert max(r.hot for r in sizes) < 10_000 / 4 and sum(r.hot > 0 for r in sizes) > 4

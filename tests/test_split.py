@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playlens.functions.columns import hash_bucket, hash_key
+from playlens.operators.setops import multiset_difference, split_laws
 from playlens.operators.split import number_copies, side, split_per_user, split_rows, subsample_per_user
 
 
@@ -126,3 +127,32 @@ def test_row_split_is_independent_for_copies(spark):
     df = spark.range(30_000).selectExpr("1 AS user_id", "'m' AS recording_msid")
     counts = {r.dataset: r["count"] for r in split_rows(df, (0.8, 0.2), seed=52).groupBy("dataset").count().collect()}
     assert abs(counts["train"] / 30_000 - 0.8) < 0.01 and sum(counts.values()) == 30_000
+
+
+def test_callers_order_is_total_and_stable(spark):
+    """Ties go by the other columns, NULLs first; repeated rows are told apart; NULL users go."""
+    rows = [(1, None, 5.0), (1, 3, 5.0), (1, 2, 5.0), (1, 2, 5.0), (1, 9, None), (2, 1, 1.0), (None, 4, 1.0)]
+    df = spark.createDataFrame(rows, "user_id int, track_new_id int, normalized_ranking double")
+    order = [F.col("normalized_ranking").desc_nulls_last()]
+    for parts in (1, 4):
+        got = split_per_user(df.repartition(parts), 0.6, order=order)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(
+            [(1, None, 5.0, "train"), (1, 2, 5.0, "train"), (1, 2, 5.0, "train"), (1, 3, 5.0, "validation"), (1, 9, None, "validation"), (2, 1, 1.0, "validation")],
+            key=str,
+        )
+    assert split_per_user(df.where("user_id > 5"), 0.6, order=order).count() == 0
+
+
+def test_laws_see_a_lost_a_doubled_and_a_shared_row(spark):
+    given = spark.createDataFrame([(1, 1), (1, 2), (2, None), (2, None), (3, 3)], "a int, b int")
+    label = lambda rows: spark.createDataFrame(rows, "a int, b int, dataset string")
+    good = [(1, 1, "train"), (1, 2, "validation"), (2, None, "train"), (2, None, "validation"), (3, 3, "train")]
+    told = lambda rows: tuple(split_laws(given, label(rows)).first())
+    assert told(good) == (5, 0, 0)
+    assert told(good[1:]) == (5, 1, 0)
+    assert told([*good, (1, 1, "validation")]) == (5, 1, 1)
+    assert told([*good[:-1], (3, 4, "train")]) == (5, 2, 0)
+    assert told([]) == (5, 4, 0)
+    assert tuple(split_laws(given.where("a > 9"), label([])).first()) == (0, 0, 0)
+    left = multiset_difference(given, label(good[:3]).drop("dataset"))
+    assert sorted(map(tuple, left.collect()), key=str) == [(2, None, 1), (3, 3, 1)]

@@ -1,0 +1,90 @@
+"""Top-k from factor tables: equal to brute force, with blocks skipped, ties, seen pairs and odd vectors."""
+
+import numpy as np
+import pytest
+
+from playlens.operators.topk import best_of_block, blocks_needed, top_k_factors, topk_items, topk_users
+
+FACTORS = "id long, features array<float>"
+
+
+def table(spark, vectors, first=0):
+    return spark.createDataFrame([(first + i, [float(x) for x in v]) for i, v in enumerate(vectors)], FACTORS)
+
+
+def brute(users, items, k, seen=(), first=0):
+    out = []
+    ratings = np.round(np.float32(users).astype(float) @ np.float32(items).astype(float).T, 9)
+    for u, row in enumerate(ratings):
+        free = [i for i in range(len(items)) if (u, first + i) not in seen]
+        best = sorted(free, key=lambda i: (-row[i], i))[:k]
+        out += [(u, p + 1, first + i, row[i]) for p, i in enumerate(best)]
+    return sorted(out)
+
+
+def got(df):
+    return sorted((r[0], r[1], r[2], round(r[3], 9)) for r in df.collect())
+
+
+def lengthy(n, d, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(n, d)) * np.exp(spread * rng.normal(size=(n, 1)))
+
+
+@pytest.mark.parametrize("block_rows,k", [(4096, 5), (16, 5), (7, 10)])
+def test_equals_brute_force(spark, block_rows, k):
+    users, items = lengthy(90, 6, 1), lengthy(120, 6, 2)
+    out = top_k_factors(table(spark, users), table(spark, items, 1000), k, block_rows=block_rows)
+    assert got(out) == brute(users, items, k, first=1000)
+
+
+def test_blocks_are_skipped():
+    """Lengths that fall fast: most owners need a few blocks; and never fewer than hold a rating of the floor."""
+    users, items = lengthy(200, 8, 3), lengthy(4000, 8, 4)
+    norms = np.linalg.norm(items, axis=1)
+    items = items[np.argsort(-norms)]
+    lengths = np.sort(norms)[::-1][::50]
+    ratings = users @ items.T
+    floor = np.partition(ratings[:, :50], -10, axis=1)[:, -10]
+    need = blocks_needed(np.linalg.norm(users, axis=1), floor, lengths)
+    assert need.mean() < len(lengths) / 3
+    for u in range(200):
+        assert (ratings[u, need[u] * 50 :] < floor[u]).all()
+    assert blocks_needed(np.array([0.0, 0.0, 1.0]), np.array([0.0, 1.0, -np.inf]), lengths).tolist() == [80, 0, 80]
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    """Equal vectors, a user of zeros, and blocks that hold the ties of others."""
+    users = np.array([[1.0, 0.0], [0.0, 0.0], [0.0, -1.0]])
+    items = np.array([[1.0, 1.0]] * 9 + [[1.0, -1.0]] * 9)
+    for block_rows in (4096, 4):
+        assert got(top_k_factors(table(spark, users), table(spark, items), 5, block_rows=block_rows)) == brute(users, items, 5)
+    rows, cols = best_of_block(np.array([[1.0, 2.0, 2.0, 2.0]]), np.array([-np.inf]), 2)
+    assert rows.tolist() == [0, 0] and cols.tolist() == [1, 2]
+
+
+@pytest.mark.parametrize("block_rows", [4096, 8])
+def test_seen_pairs_are_left_out(spark, block_rows):
+    """A user who has seen more than k of its best, one who has seen all, one who leaves fewer than k."""
+    users, items = lengthy(20, 5, 5), lengthy(40, 5, 6)
+    best = brute(users[:1], items, 30)
+    pairs = {(0, r[2]) for r in best[:25]} | {(1, i) for i in range(40)} | {(2, i) for i in range(38)} | {(3, 7)}
+    given = [*pairs, (3, 7), (3, 999), (None, 1), (5, None)]
+    seen = spark.createDataFrame(given, "user_id long, track_new_id long")
+    u, i = table(spark, users), table(spark, items)
+    assert got(topk_items(u, i, 10, seen=seen, block_rows=block_rows)) == brute(users, items, 10, pairs)
+    turned = {(b, a) for a, b in pairs}
+    assert got(topk_users(u, i, 10, seen=seen, block_rows=block_rows)) == brute(items, users, 10, turned)
+
+
+def test_subsets_and_odd_vectors(spark):
+    users, items = lengthy(12, 4, 7), lengthy(15, 4, 8)
+    odd = spark.createDataFrame([(50, None), (51, [1.0, None, 1.0, 1.0]), (52, [float("nan")] * 4), (53, [float("inf")] * 4), (None, [1.0] * 4)], FACTORS)
+    u, i = table(spark, users).unionAll(odd), table(spark, items).unionAll(odd)
+    some = spark.createDataFrame([(3,), (3,), (9,), (50,), (77,), (None,)], "user_id long")
+    want = [r for r in brute(users, items, 4) if r[0] in (3, 9)]
+    assert got(topk_items(u, i, 4, users=some)) == want
+    assert got(topk_users(u, i, 4)) == brute(items, users, 4)
+    assert got(topk_items(u, i, 100)) == brute(users, items, 100)  # more than there are
+    empty = u.where("false")
+    assert topk_items(empty, i, 4).count() == 0 and topk_items(u, empty, 4).count() == 0
