@@ -204,6 +204,7 @@ def merkle_manifest(
     for c in changed or {}:
         same = same & plain[c].eqNullSafe(other[c])
     leaf = leaf_digest(plain)
+    # Texts are read and hashed once; all that follows works on this narrow table.
     rows = docs.select(
         F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit("")).alias("grp"),
         F.col(id_col).alias("id"),
@@ -211,7 +212,7 @@ def merkle_manifest(
         F.when(same, leaf).otherwise(leaf_digest(other)).alias("changed"),
     )
     order = [F.col("id").asc_nulls_first(), F.col("digest").asc()]
-    leaves = global_positions(rows, order, "pos", per=["grp"], size_col="n").withColumn("pos", F.col("pos") - 1)
+    leaves = global_positions(cut_lineage(rows), order, "pos", per=["grp"], size_col="n").withColumn("pos", F.col("pos") - 1)
 
     groups = tree(leaves, fanout, levels)
     subroots = groups[-1].select(F.lit("").alias("grp"), F.col("grp").alias("name"), "digest")
