@@ -9,9 +9,9 @@ its outermost linked quotes; one without a linked quote replies to the
 message before it.  Following each message's first reply gives threads, in
 which every message directly follows the one that it replies to.
 
-All steps are built-in functions.  Positions in a conversation are counted in
-buckets (by turn, then by hash), so that a conversation with a third of all
-messages is ordered by many tasks.
+All steps are built-in functions.  Positions in a conversation come from
+ranges of the whole order, so that a conversation with a third of all messages
+is ordered by many tasks, however its turns are numbered.
 """
 
 from __future__ import annotations
@@ -21,20 +21,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from playlens.llm.common import WHITE, cut_lineage, digest128, lower_ascii, split_lines, split_words
+from playlens.operators.order import global_positions
 
 _QUOTED = "^[ \\t]*>"
 _MARK = "^(?:[ \\t]*>)+[ \\t]?"
-# Lines that introduce a quotation.
-_INTRO = "^(?:On|Le|Am|El) .{1,200}(?:wrote|écrit|schrieb|escribió) ?:[ \\t]*$"
-TURNS, RUN = 1024, 1024  # turns and positions of a bucket
+# Lines that introduce the quotation right below them, blank lines aside.
+_INTRO = "(?m)^(?:On|Le|Am|El) [^\\n]+(?:wrote|écrit|schrieb|escribió) ?:[ \\t]*\\n(?=(?:[ \\t]*\\n)*[ \\t]*>)"
+RUN = 1024  # positions of a bucket
 _FIRST = -(1 << 63)
 
 
 def own_text(text: Column) -> Column:
     """The text; where it has quoted lines, without them, the lines that introduce them, and white space at its ends."""
-    lines = split_lines(text)
-    own = F.filter(lines, lambda x: ~x.rlike(_QUOTED) & ~x.rlike(_INTRO))
-    return F.when(F.exists(lines, lambda x: x.rlike(_QUOTED)), F.btrim(F.array_join(own, "\n"), F.lit(WHITE))).otherwise(text)
+    quoted = F.exists(split_lines(text), lambda x: x.rlike(_QUOTED))
+    own = F.filter(split_lines(F.regexp_replace(text, _INTRO, "")), lambda x: ~x.rlike(_QUOTED))
+    return F.when(quoted, F.btrim(F.array_join(own, "\n"), F.lit(WHITE))).otherwise(text)
 
 
 def passages(text: Column, min_chars: int) -> Column:
@@ -82,19 +83,9 @@ def _writers(messages: DataFrame, min_chars: int) -> tuple[DataFrame, DataFrame]
 
 def _positions(messages: DataFrame) -> DataFrame:
     """``messages`` (distinct keys) with ``position``, from 0, in the conversation's order."""
-    m = messages.withColumns({"era": F.floor(F.col("turn") / TURNS), "slice": F.shiftright("tkey", 56)})
-    slices = m.groupBy("conv", "era", "turn", "slice").agg(F.count(F.lit(1)).alias("n"))
-    eras = slices.groupBy("conv", "era").agg(F.sum("n").alias("n"))
-    in_conv = Window.partitionBy("conv").orderBy("era").rowsBetween(Window.unboundedPreceding, -1)
-    in_era = Window.partitionBy("conv", "era").orderBy("turn", "slice").rowsBetween(Window.unboundedPreceding, -1)
-    in_slice = Window.partitionBy("conv", "turn", "slice").orderBy("tkey", "role")
-    eras = eras.select("conv", "era", F.coalesce(F.sum("n").over(in_conv), F.lit(0)).alias("base"))
-    slices = slices.select("conv", "era", "turn", "slice", F.coalesce(F.sum("n").over(in_era), F.lit(0)).alias("low"))
-    bases = slices.join(eras, ["conv", "era"]).select("conv", "turn", "slice", (F.col("base") + F.col("low")).alias("base"))
-    ranked = m.withColumn("rank", F.row_number().over(in_slice) - 1)
-    return ranked.join(bases, ["conv", "turn", "slice"]).select(
-        *messages.columns, (F.col("base") + F.col("rank")).alias("position")
-    )
+    order = [F.asc_nulls_first(c) for c in ("turn", "tkey", "role")]
+    placed = global_positions(messages, order, "position", per=["conv"])
+    return placed.withColumn("position", F.col("position") - 1)
 
 
 def _last_head(rows: DataFrame) -> DataFrame:

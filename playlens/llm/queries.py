@@ -137,9 +137,11 @@ owned AS (
     SELECT * EXCLUDE (text, lines), lines,
            CASE WHEN list_bool_or([regexp_matches(x, '^[ \t]*>') FOR x IN lines])
                 THEN trim(array_to_string(
-                    [x FOR x IN lines
-                     IF NOT regexp_matches(x, '^[ \t]*>')
-                        AND NOT regexp_matches(x, '^(?:On|Le|Am|El) .{1,200}(?:wrote|écrit|schrieb|escribió) ?:[ \t]*$')],
+                    [lines[i] FOR i IN range(1, len(lines) + 1)
+                     IF NOT regexp_matches(lines[i], '^[ \t]*>')
+                        AND NOT (regexp_matches(lines[i], '^(?:On|Le|Am|El) .+(?:wrote|écrit|schrieb|escribió) ?:[ \t]*$')
+                                 AND coalesce(regexp_matches([y FOR y IN lines[i + 1:] IF NOT regexp_full_match(y, '[ \t]*')][1], '^[ \t]*>'),
+                                              false))],
                     chr(10)), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))
                 ELSE text END AS content
     FROM messages),
@@ -161,16 +163,19 @@ pieces AS (
     SELECT conv_id, position, level, quote AS whole FROM quotes
     UNION ALL SELECT conv_id, position, 0, content FROM owned),
 cut AS (
+    SELECT conv_id, position, level, unnest([whole]) AS part, 1 AS least FROM pieces
+    UNION ALL
     SELECT conv_id, position, level,
-           unnest(list_concat([whole], string_split_regex(whole, '\n[ \t]*(?:\n[ \t]*)+'), string_split(whole, chr(10)))) AS part
+           unnest(list_concat(string_split_regex(whole, '\n[ \t]*(?:\n[ \t]*)+'), string_split(whole, chr(10)))), 8
     FROM pieces),
-passages AS (
-    SELECT DISTINCT conv_id, position, level,
+plain AS (
+    SELECT conv_id, position, level, least,
            translate(trim(regexp_replace(part, '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS p
     FROM cut),
+passages AS (SELECT DISTINCT conv_id, position, level, p FROM plain WHERE length(p) >= least),
 writers AS (
-    SELECT conv_id, p, min(position) AS writer FROM passages WHERE level = 0 AND length(p) >= 8 GROUP BY conv_id, p),
+    SELECT conv_id, p, min(position) AS writer FROM passages WHERE level = 0 GROUP BY conv_id, p),
 links AS (
     SELECT conv_id, q.position, level, writer FROM passages q JOIN writers w USING (conv_id, p)
     WHERE level > 0 AND writer < q.position),

@@ -1,6 +1,8 @@
 import random
 
-from playlens.llm.chat import chat_blocks, link_messages
+from pyspark.sql import functions as F
+
+from playlens.llm.chat import _positions, chat_blocks, link_messages
 from playlens.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.helpers import SF, clashing, oracle_frame, rows_of
 
@@ -99,6 +101,10 @@ def test_quoting_talk_equals_oracle(spark, tmp_path):
                 lines += [draw.choice(["> ", ">", " > "]) + x for x in old.split("\n")]
                 lines += [""] * draw.randrange(2)
             lines += [f"line {draw.randrange(40)} of a talk" for _ in range(draw.randrange(4))]
+            if draw.random() < 0.2:
+                lines = [draw.choice(["Yes", "no", "多謝", "ok then"])]
+            if draw.random() < 0.2:
+                lines += ["On Monday the poet wrote:", "", "roses are red"]
             said.append("\n".join(lines))
             rows.append((conv, 3 * turn, "u", draw.choice([said[-1], said[-1] + "\n \n" + "a last paragraph"])))
     talk(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
@@ -108,3 +114,22 @@ def test_quoting_talk_equals_oracle(spark, tmp_path):
     assert cols == sorted(want.columns)
     assert rows_of(got, *cols) == sorted(want.select(*cols).fetchall(), key=lambda r: tuple((x is None, str(x)) for x in r))
     assert got.where("n_linked > 1").count() > 10 and got.where("seq > 3 AND reply_to < position - 1").count() > 10
+
+
+def test_only_lines_above_a_quote_introduce_it(spark):
+    poem = "On Monday the poet wrote:\nroses are red"
+    long = "On " + "x" * 500 + " wrote:"
+    rows = [(1, 0, "a", "First message here."), (1, 1, "b", f"{poem}\n\n{long}\n\n> First message here.\nOn Sunday he wrote:\nmore")]
+    rows += [(1, 2, "c", poem), (1, 3, "d", "On Monday a wrote:\n\n \n>First message here.\n" + "On it he wrote:\n" * 20_000 + "end")]
+    out = {r["turn"]: r["content"] for r in link_messages(talk(spark, rows)).collect()}
+    assert out[1] == f"{poem}\n\n\nOn Sunday he wrote:\nmore" and out[2] == poem
+    assert out[3] == "On it he wrote:\n" * 20_000 + "end"
+
+
+def test_sparse_turns_are_ordered_in_ranges(spark):
+    """Turns like milliseconds: positions are right, and one conversation's rows lie in several ranges."""
+    rows = spark.range(20_000).selectExpr("1L AS conv_id", "id * 60000 AS turn", "'u' AS role", "concat('message ', id) AS text")
+    placed = _positions(rows.selectExpr("conv_id AS conv", "turn", "xxhash64(text) AS tkey", "role"))
+    assert placed.where("position <> turn div 60000").count() == 0
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 10_000
