@@ -56,10 +56,15 @@ NOTICE_PHRASES = {
 IDENTIFIERS = {
     "0bsd": "0bsd",
     "agpl-3.0": "agpl-3",
+    "apache-1.1": "apache-1",
     "apache-2.0": "apache-2",
+    "artistic-2.0": "artistic-2",
+    "bsd-1-clause": "bsd",
     "bsd-2-clause": "bsd-2-clause",
     "bsd-3-clause": "bsd-3-clause",
+    "bsd-4-clause": "bsd",
     "bsl-1.0": "bsl-1",
+    "cc-by-2.0": "cc-by",
     "cc-by-3.0": "cc-by",
     "cc-by-4.0": "cc-by",
     "cc-by-nc-3.0": "cc-by-nc",
@@ -67,18 +72,30 @@ IDENTIFIERS = {
     "cc-by-nc-nd-4.0": "cc-by-nc-nd",
     "cc-by-nc-sa-4.0": "cc-by-nc-sa",
     "cc-by-nd-4.0": "cc-by-nd",
+    "cc-by-sa-2.0": "cc-by-sa",
     "cc-by-sa-3.0": "cc-by-sa",
     "cc-by-sa-4.0": "cc-by-sa",
     "cc0-1.0": "cc0",
+    "cddl-1.0": "cddl",
+    "epl-1.0": "epl",
     "epl-2.0": "epl",
+    "eupl-1.2": "eupl",
     "gpl-2.0": "gpl-2",
     "gpl-3.0": "gpl-3",
     "isc": "isc",
+    "lgpl-2.0": "lgpl",
     "lgpl-2.1": "lgpl",
     "lgpl-3.0": "lgpl",
     "mit": "mit",
+    "mit-0": "mit",
+    "mpl-1.1": "mpl-1",
     "mpl-2.0": "mpl-2",
+    "ncsa": "ncsa",
+    "ofl-1.1": "ofl",
+    "postgresql": "postgresql",
+    "python-2.0": "python",
     "unlicense": "public-domain",
+    "wtfpl": "public-domain",
     "zlib": "zlib",
 }
 
@@ -87,7 +104,9 @@ FREEDOM = {
     "0bsd": 1.0,
     "agpl-3": 0.2,
     "all-rights-reserved": 0.0,
+    "apache-1": 1.0,
     "apache-2": 1.0,
+    "artistic-2": 0.6,
     "bsd": 1.0,
     "bsd-2-clause": 1.0,
     "bsd-3-clause": 1.0,
@@ -99,28 +118,36 @@ FREEDOM = {
     "cc-by-nd": 0.2,
     "cc-by-sa": 0.6,
     "cc0": 1.0,
+    "cddl": 0.5,
     "epl": 0.5,
+    "eupl": 0.4,
     "gpl-2": 0.3,
     "gpl-3": 0.3,
     "isc": 1.0,
     "lgpl": 0.4,
     "mit": 1.0,
+    "mpl-1": 0.5,
     "mpl-2": 0.5,
+    "ncsa": 1.0,
+    "ofl": 0.8,
+    "postgresql": 1.0,
     "public-domain": 1.0,
+    "python": 1.0,
     "zlib": 1.0,
 }
 UNKNOWN_FREEDOM = 0.5
 EXCEPTION_BONUS = 0.2
 
-# Identifier tags; behind the strict one any identifier counts, behind the others only known ones.
+# Identifier tags; known identifiers count behind each, references to own licences behind the strict one too.
 STRICT_TAG = "spdx-license-identifier:"
+OWN_REFERENCE = "licenseref-"
 LOOSE_TAGS = ("license:", "licence:", "license-expression:")
 
 # The bytes that separate words; A-Z are lower-cased first, bytes of non-ASCII characters belong to words.
 _WORDS = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in bytes(range(256)).lower())
 _LOWER = bytes(range(256)).lower()
+_IN_WORD = re.compile("[a-z0-9_]|[^\\x00-\\x7f]")  # before a tag: it is the end of a longer word
 _TOKEN = re.compile(r"[ \t]*(\(|\)|[a-z0-9][a-z0-9.+:_-]*)")
-MAX_DEPTH = 64  # open parentheses of one expression; deeper nesting isn't an expression
 OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -135,47 +162,56 @@ def _known(token: str) -> bool:
     return _label(token) is not None
 
 
-def postfix(line: str, strict: bool = True) -> list[str]:
-    """The longest licence expression that ``line`` (lower case) starts with, in postfix order.
+def _expression(line: str, strict: bool, at: int, stop: int) -> list[str]:
+    """The tokens of the longest licence expression that starts at ``at``.
 
-    An expression ends before the first token that doesn't fit; an operator
-    without a right side and parentheses that never close are left out.
+    It ends before the first token that doesn't fit; an operator without a
+    right side is left out, parentheses that never close stay open.
     """
-    out: list[str] = []
-    ops: list[str] = []
-    good: tuple[list[str], list[str]] = ([], [])
-    want_operand, at, depth = True, 0, 0
-    while m := _TOKEN.match(line, at):
+    tokens: list[str] = []
+    good, want_operand, depth = 0, True, 0
+    while m := _TOKEN.match(line, at, stop):
         token, at = m[1], m.end()
         if token == "(":
-            if not want_operand or depth == MAX_DEPTH:
+            if not want_operand:
                 break
-            ops.append(token)
             depth += 1
         elif token == ")":
             if want_operand or not depth:
                 break
-            while ops[-1] != "(":
-                out.append(ops.pop())
-            ops.pop()
             depth -= 1
         elif token in OPERATORS:
             if want_operand:
                 break
-            while ops and ops[-1] != "(" and OPERATORS[ops[-1]] >= OPERATORS[token]:
-                out.append(ops.pop())
-            ops.append(token)
             want_operand = True
-            continue
         else:
-            exception = bool(ops) and ops[-1] == "with"
-            if not want_operand or not (strict or exception or _known(token)):
+            exception = bool(tokens) and tokens[-1] == "with"
+            if not want_operand or not (exception or _known(token) or strict and token.startswith(OWN_REFERENCE)):
                 break
-            out.append(token)
             want_operand = False
+        tokens.append(token)
         if not want_operand:
-            good = (list(out), list(ops))
-    out, ops = good
+            good = len(tokens)
+    return tokens[:good]
+
+
+def postfix(line: str, strict: bool = True, at: int = 0, stop: int | None = None) -> list[str]:
+    """The longest licence expression that ``line`` (lower case) has at ``at``, in postfix order."""
+    out: list[str] = []
+    ops: list[str] = []
+    for token in _expression(line, strict, at, len(line) if stop is None else stop):
+        if token == "(":
+            ops.append(token)
+        elif token == ")":
+            while ops[-1] != "(":
+                out.append(ops.pop())
+            ops.pop()
+        elif token in OPERATORS:
+            while ops and ops[-1] != "(" and OPERATORS[ops[-1]] >= OPERATORS[token]:
+                out.append(ops.pop())
+            ops.append(token)
+        else:
+            out.append(token)
     return out + [op for op in reversed(ops) if op != "("]
 
 
@@ -203,7 +239,7 @@ class Scanner:
         for phrase, label in {**notices, **base}.items():
             self.phrases.add_word(f" {phrase} ", (len(phrase.split()), label, phrase in base))
         for tag in (STRICT_TAG, *LOOSE_TAGS):
-            self.tags.add_word(tag, tag == STRICT_TAG)
+            self.tags.add_word(tag, (len(tag), tag == STRICT_TAG))
         self.phrases.make_automaton()
         self.tags.make_automaton()
 
@@ -221,10 +257,14 @@ class Scanner:
                 starts.append(seen - n)
                 base.add(label)
         raw = text.translate(_LOWER).decode("utf-8", "replace")
-        for end, strict in self.tags.iter(raw):
-            stop = raw.find("\n", end)
-            line = raw[end + 1 : stop if stop >= 0 else len(raw)]
-            if (value := evaluate(postfix(line, strict))) is not None:
+        stop = -1
+        for end, (length, strict) in self.tags.iter(raw):
+            if end >= length and _IN_WORD.match(raw, end - length):
+                continue
+            if stop <= end:
+                stop = raw.find("\n", end)
+                stop = len(raw) if stop < 0 else stop
+            if (value := evaluate(postfix(raw, strict, end + 1, stop))) is not None:
                 labels |= value[0]
                 scores.append(value[1])
         return (
@@ -269,8 +309,9 @@ def license_scan(
     expressions found, and 0 where there is none.
 
     Defined cases: null and empty texts have no words, no places, empty
-    label lists and score 0; places may overlap and all count; repeated rows
-    are scanned alike; input columns with the names of the results are
+    label lists and score 0; places may overlap and all count; a text of any
+    length is scanned whole, an expression of any length or depth is read; a
+    tag that ends a longer word is none; repeated rows are scanned alike; input columns with the names of the results are
     replaced.  An empty table gives an empty result.
     """
     (scan,) = free_names(docs, "_scan")

@@ -54,7 +54,10 @@ def test_places(text):
         ("", ""),
         (") mit", ""),
         ("or mit", ""),
-        ("(" * 100 + "mit", ""),
+        ("(" * 100 + "mit", "mit"),
+        ("(" * 100_000 + "mit or isc" + ")" * 100_000 + " and zlib", "mit isc or zlib and"),
+        ("see the file", ""),
+        ("licenseref-own or see", "licenseref-own"),
     ],
 )
 def test_shunting_yard(line, rpn):
@@ -77,6 +80,21 @@ def test_tags():
     assert scan(b"GNU General Public License, version 3. Licensed under CC BY-NC")[5:] == ("cc-by-nc,gpl-3", 0.1)
 
 
+def test_probes():
+    """Depth has no limit, tags inside words are none, unknown identifiers aren't labels."""
+    scan = Scanner(BASE_PHRASES, NOTICE_PHRASES).scan
+    for depth in (64, 65, 5000):
+        assert scan(b"SPDX-License-Identifier: " + b"(" * depth + b"mit" + b")" * depth)[5:] == ("mit", 1.0)
+    assert scan(b"sublicense: MIT romney")[5:] == ("", 0.0)
+    assert scan("élicense: MIT, _license: MIT, 9license: MIT".encode())[5:] == ("", 0.0)
+    assert scan(b"(license: MIT) x-licence: ISC")[5:] == ("isc,mit", 1.0)
+    assert scan(b"SPDX-License-Identifier: see the file")[5:] == ("", 0.0)
+    assert scan(b"SPDX-License-Identifier: LicenseRef-Own")[5:] == ("licenseref-own", 0.5)
+    assert scan(b"License: LicenseRef-Own")[5:] == ("", 0.0)
+    many = b"license: mit or " * 50_000
+    assert scan(many)[5:] == ("mit", 1.0) and scan(b"license: " + b"mit or " * 200_000)[5:] == ("mit", 1.0)
+
+
 def test_edges(spark):
     long = "word " * 300_000 + "under the MIT license"
     rows = [(1, None), (2, ""), (3, "..."), (None, "CC BY NC"), (4, long), (4, long)]
