@@ -218,6 +218,8 @@ ruled AS (
 judged AS (
     SELECT page_id, host, path, rule,
            CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said,
+           CASE WHEN said IS NOT NULL THEN said
+                WHEN regexp_matches(host, '(?:^|[.-])(?:ads|adult|bets|casino|pills|porn|spam)(?:[.-]|$)') THEN 'block' END AS label,
            [CASE WHEN regexp_full_match(s, '[0-9]+([.][a-z]+)?') THEN '{num}' || regexp_extract(s, '([.][a-z]+)?$')
                  WHEN regexp_full_match(s, '[0-9a-f]{8,}(-[0-9a-f]{4,})*([.][a-z]+)?') AND regexp_matches(s, '^[a-f]*[0-9]')
                  THEN '{hex}' || regexp_extract(s, '([.][a-z]+)?$')
@@ -225,7 +227,7 @@ judged AS (
                  ELSE s END FOR s IN raw] AS typed
     FROM ruled),
 paths AS (
-    SELECT host, typed, count(*) AS n, count(said) AS labelled, count(*) FILTER (WHERE said = 'block') AS bad,
+    SELECT host, typed, count(*) AS n, count(label) AS labelled, count(*) FILTER (WHERE label = 'block') AS bad,
            CASE WHEN len(typed) > 8 THEN list_append(typed[1:7], array_to_string(typed[8:], '/')) ELSE typed END AS segs
     FROM judged GROUP BY host, typed),
 steps AS (

@@ -35,6 +35,8 @@ _FORMS = [
     ("(?=[a-f]*[0-9])[0-9a-f]{8,}(?:-[0-9a-f]{4,})*", "{hex}"),
     ("[^/.]*[0-9][^/.]*", "{id}"),
 ]
+# Words of a host's names that mark its pages as bad.
+HOST_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam")
 MAX_DEPTH = 8  # segments of a template; what lies deeper is one last segment
 
 
@@ -46,6 +48,11 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
+def marked_host(host: Column, words: tuple[str, ...] = HOST_WORDS) -> Column:
+    """Whether one of the words stands in the host between dots, hyphens and its ends."""
+    return host.rlike(f"(?:^|[.-])(?:{'|'.join(words)})(?:[.-]|$)")
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """The longest rule that fits, and its verdict; null where none does."""
     names, verdicts = [], []
@@ -173,9 +180,10 @@ def url_filter(
     ``rules`` are (verdict, host/path) pairs; the longest that fits decides.
     Else the url is blocked if its template's purity reaches ``reject_at``.
     ``bad`` marks labelled urls (1 bad, 0 good, null unknown); without it the
-    verdicts of the rules are the labels.
+    verdicts of the rules are the labels, and beyond the rules the urls of
+    marked hosts (``HOST_WORDS``) are labelled bad.
 
-    Defined cases: a null url or one without ``://`` has an empty host and
+    Defined cases: a url of any length is read whole; a null url or one without ``://`` has an empty host and
     path, no rule, and the root template; an empty path fits no rule; urls
     without labels have the prior's purity; repeated rows are judged alike
     and count as often as they occur.  Input columns with the names of
@@ -185,7 +193,8 @@ def url_filter(
     d = pages.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
     found, said = rule_of(F.col(host), F.col(path), RULES if rules is None else rules)
     d = d.withColumns({typed: typed_path(F.col(path)), name: found, verdict: said})
-    known = bad if bad is not None else F.when(F.col(verdict) == "block", 1).when(F.col(verdict) == "allow", 0)
+    ruled = F.when(F.col(verdict) == "block", 1).when(F.col(verdict) == "allow", 0)
+    known = bad if bad is not None else F.coalesce(ruled, F.when(marked_host(F.col(host)), 1))
     d = d.withColumn(label, known.cast("int"))
     urls = d.select(F.col(host).alias("host"), F.col(typed).alias("typed"), F.col(label).alias("bad"))
     templates = cut_lineage(path_templates(urls, **tree))

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from playlens.llm.queries import ORACLE_SQL, QUERIES
-from playlens.llm.url_filters import RULES, path_templates, typed_path, url_filter
+from playlens.llm.url_filters import RULES, marked_host, path_templates, typed_path, url_filter
 from pyspark.sql import functions as F
 from tests.llm.helpers import SF, clashing, lower, oracle_frame, rows_of
 
@@ -114,6 +114,21 @@ def test_labelled_templates_are_rejected(spark):
     assert [out[i] for i in range(80)] == ["block"] * 40 + ["allow"] * 40
 
 
+@pytest.mark.parametrize("host,marked", [("free-bets.io", True), ("www.adult-x.net", True), ("spam", True), ("pills.a.b", True), ("spamming.io", False), ("roads.de", False), ("", False)])
+def test_marked_hosts(spark, host, marked):
+    assert spark.createDataFrame([(host,)], "h string").select(marked_host(F.col("h"))).first()[0] is marked
+
+
+def test_the_method_blocks_marked_hosts_beyond_the_rules(spark):
+    """Their templates have the labels to be rejected; templates of few urls keep the prior's weight; rules go first."""
+    urls = [f"http://free-bets.io/odds/{i}" for i in range(20)] + [f"http://free-bets.io/a{i}/b/c" for i in range(3)]
+    urls += [f"http://casino.org/fr/{i}" for i in range(20)] + [f"http://clean.io/odds/{i}" for i in range(20)]
+    out = [r["verdict"] for r in url_filter(pages(spark, urls)).orderBy("page_id").collect()]
+    assert out == ["block"] * 20 + ["allow"] * 3 + ["allow"] * 20 + ["allow"] * 20
+    got = QUERIES["op9_url_filters"](spark, "/root/testdata/sf0.1")
+    assert got.where("rule IS NULL AND verdict = 'block'").count() > 0
+
+
 def test_deep_paths_keep_their_tail(spark):
     got = tree(spark, [("/".join("abcdefghijkl"), 1, 2)])
     assert got["/".join("abcdefghijkl")][0] == "/a/b/c/d/e/f/g/h/i/j/k/l"
@@ -122,7 +137,7 @@ def test_deep_paths_keep_their_tail(spark):
 def test_wide_and_labelled_trees_equal_oracle(spark, tmp_path):
     draw, urls = random.Random(9), list(ODD)
     words = [a + b for a in "kmnprst" for b in ("ona", "ile", "abe")]
-    for host in ("a.example.net", "b.example.com", "c.example.org", "Org", "d.net"):
+    for host in ("a.example.net", "b.example.com", "c.example.org", "Org", "d.net", "x.casino-win.example.com"):
         for _ in range(250):
             top = draw.choice(["en", "de", "fr", "blog", "shop", "DE"])
             parts = [top] + [draw.choice([draw.choice(words), str(draw.randrange(90)), "0a1b2c3d4e", "item-7.html"]) for _ in range(draw.randrange(4))]
