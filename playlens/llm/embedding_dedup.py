@@ -28,13 +28,15 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.llm.common import cut_lineage, digest128
 from playlens.llm.components import connected_components
 
 BITS, BLOCKS = 64, 8
+#: Quantisers are learned for the commonest lengths only, and of vectors up to a width; other lengths take drawn rotations.
+MAX_LENGTHS, MAX_WIDTH = 64, 4096
 _GROUP = ["t", "k", "c1", "c2"]
 
 
@@ -54,6 +56,33 @@ def learn_codes(sample: np.ndarray, rounds: int = 40, seed: int = 3) -> tuple[np
     return mean, axes @ rotation
 
 
+def drawn_codes(width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, projection) of a rotation that is drawn, not learned."""
+    drawn = np.random.default_rng([seed, width]).normal(size=(width, min(width, BITS)))
+    return np.zeros(width), np.linalg.qr(drawn)[0]
+
+
+def learned_quantisers(distinct: DataFrame, sample: int, codes: int) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Quantisers by length (``d``), each learned in a task of its own; at most ``MAX_LENGTHS`` times ``codes`` are fetched."""
+    counts = distinct.where(f"d <= {MAX_WIDTH}").groupBy("d").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    common = [r["d"] for r in counts.orderBy(F.desc("rows"), "d").limit(MAX_LENGTHS).collect()]
+    first = Window.partitionBy("d").orderBy(F.xxhash64("node"), "node", "h1")
+    taken = distinct.where(F.col("d").isin(common)).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample)
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.stack(rows.sort_values("nth")["emb"].to_numpy())
+        learned = [learn_codes(vectors, seed=3 + c) for c in range(codes)]
+        return pd.DataFrame(
+            {"d": rows["d"].iloc[0], "c": range(codes), "mean": [m for m, _ in learned], "projection": [p.ravel() for _, p in learned]}
+        )
+
+    out: dict[int, list] = {}
+    found = taken.select("d", "nth", "emb").groupBy("d").applyInPandas(learn, "d int, c int, mean array<double>, projection array<double>")
+    for r in sorted(found.collect(), key=lambda r: (r["d"], r["c"])):
+        out.setdefault(r["d"], []).append((np.array(r["mean"]), np.array(r["projection"]).reshape(r["d"], -1)))
+    return out
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -227,8 +256,9 @@ def embedding_near_dups(
     ``cosine``), ``component_id`` the smallest id reachable over links, the
     row's own included, and ``kept`` whether that is the row's own id.  The
     quantisers of a length are learned from the ``sample`` different vectors
-    of it with the smallest hash of their id; every vector is indexed, by
-    ``codes`` codes.
+    of it with the smallest hash of their id; lengths beyond the
+    ``MAX_LENGTHS`` commonest and ``MAX_WIDTH`` take drawn rotations.  Every
+    vector is indexed, by ``codes`` codes.
     Two vectors whose codes agree in fewer than ``equal`` of their eight
     bytes, by every code, never meet (none such differ in fewer than
     ``9 - equal`` bits of a code); a larger ``equal`` makes smaller buckets
@@ -253,23 +283,18 @@ def embedding_near_dups(
         .agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("emb").alias("emb"))
     )
     distinct = cut_lineage(distinct.withColumn("d", F.size("emb")))
-    quantisers = {}
-    for length in distinct.groupBy("d").agg(F.count(F.lit(1)).alias("rows")).orderBy("d").collect():
-        own = distinct.where(F.col("d") == length["d"])
-        if length["rows"] > 1:  # a vector alone in its length meets none
-            drawn = own.orderBy(F.xxhash64("node"), "node", "h1").limit(sample).select("emb").toPandas()
-            learned = np.stack(drawn["emb"].to_numpy())
-            quantisers[length["d"]] = [learn_codes(learned, seed=3 + c) for c in range(codes)]
+    quantisers = learned_quantisers(distinct, sample, codes)
 
     @F.pandas_udf("array<long>")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
             found = pd.Series([np.zeros(codes, dtype=np.int64)] * len(x), dtype="object")
             sizes = x.map(len).to_numpy()
-            for d in set(sizes) & quantisers.keys():
+            for d in set(sizes):
                 at = np.nonzero(sizes == d)[0]
                 same = np.stack(x.to_numpy()[at])
-                found.iloc[at] = list(np.stack([encode(same, *q) for q in quantisers[d]], axis=1))
+                own = quantisers.get(d) or [drawn_codes(d, 3 + c) for c in range(codes)]
+                found.iloc[at] = list(np.stack([encode(same, *q) for q in own], axis=1))
             yield found
 
     nodes = cut_lineage(distinct.select("h1", "h2", "node", "n", "d", "emb", code("emb").alias("codes")))

@@ -5,7 +5,7 @@ import pytest
 from playlens.llm import embedding_dedup as ed
 from playlens.llm.embedding_dedup import embedding_near_dups
 from playlens.llm.queries import QUERIES
-from tests.llm.helpers import SF, clashing, components, rows_of
+from tests.llm.helpers import clashing, components, rows_of
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -66,12 +66,17 @@ def test_recall_far_beyond_the_sample(spark):
     assert (got["n_links"] <= 1).all()  # a pair that meets by several codes counts once
 
 
-def test_query_recall(spark):
-    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
-    ids = [r["vec_id"] for r in rows]
-    close, root = brute(np.asarray([r["embedding"] for r in rows], dtype=np.float32))
-    got = {r["vec_id"]: r for r in QUERIES["op8_embedding_near_dedup"](spark, SF).collect()}
-    assert len(got) == len(ids) and sum(got[i]["n_links"] for i in ids) >= 0.9 * close.sum()
+@pytest.mark.parametrize("dim", [64, 384])
+def test_query_recall(spark, tmp_path, dim):
+    """The query on a table of its own shape with planted links of every strength above the threshold."""
+    x = np.concatenate([groups(11, [2] * 1500, 0.3, dim), groups(12, [3] * 100, 0.1, dim), groups(13, [1] * 700, 0, dim)])
+    spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x), "label": 0}), SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    close = (u @ u.T >= 0.9).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in QUERIES["op8_embedding_near_dedup"](spark, str(tmp_path)).collect()}
+    links = np.array([got[i] for i in range(len(x))])
+    assert close.sum() > 2000 and (links <= close).all() and links.sum() >= 0.9 * close.sum()
+    assert (links[3000:3300] == close[3000:3300]).all()  # groups far above the threshold are whole
 
 
 def test_edges(spark):
@@ -99,7 +104,10 @@ def test_dimensions(spark, dim):
     assert [got[i]["n_links"] for i in range(len(x))] == close.sum(axis=1).tolist()
 
 
-def test_every_length_is_linked(spark):
+@pytest.mark.parametrize("learned", [64, 1])
+def test_every_length_is_linked(spark, monkeypatch, learned):
+    """Also where only the commonest length has a learned quantiser."""
+    monkeypatch.setattr(ed, "MAX_LENGTHS", learned)
     parts = [groups(6 + i, sizes, 0.05, dim) for i, (sizes, dim) in enumerate([([3, 2] + [1] * 40, 64), ([4, 2, 1], 32), ([2, 1], 100), ([1], 7)])]
     rows, want = [], {}
     for x in parts:
