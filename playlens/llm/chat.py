@@ -140,7 +140,8 @@ def link_messages(
     ``n_quotes`` and ``n_linked`` (quoted passages, and levels of them whose
     writer was found).
 
-    Defined cases: null and empty texts are empty messages; a null turn
+    Defined cases: null and empty texts are empty messages; texts and quotes
+    of any length are read whole; a null turn
     comes first; null conversation ids are one conversation; messages of one
     turn are ordered by a hash of the text, then by role; rows that repeat a
     whole message share its position.  A line or paragraph of fewer than

@@ -61,7 +61,8 @@ def line_dedup(
     lower-cased; keys shorter than ``min_chars`` code points are left alone.
 
     Defined cases: a null or empty text is one empty line (and becomes the
-    empty text); documents are told apart by id, so rows that repeat an id
+    empty text); texts and lines of any length are read whole; a line's keeper
+    is the largest id, so there are no ties; documents are told apart by id, so rows that repeat an id
     count once and all of them keep the lines of which that id is the
     keeper; a null id is one document, smaller than every other; a line
     repeated inside a document counts once and is dropped or kept in all its

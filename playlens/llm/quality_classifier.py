@@ -263,7 +263,10 @@ def quality_scores(
     The model learns from the labels of documents outside fold 0 and from
     nothing but their texts.
 
-    Defined cases: null and empty texts are one passage of zeros; repeated
+    Defined cases: null and empty texts are one passage of zeros; a text of
+    any length is scored over all its passages, block by block; a score that
+    equals the threshold is accepted; where rows repeat an id with other
+    texts, the model learns from the smallest of them; repeated
     labels of a document count by their mean, null labels and ids not at
     all; a null id is not held out; without any label every score is 0.5.
     Repeated rows score alike; input columns with the names of results are

@@ -109,7 +109,8 @@ def quality_rules(
     ``score >= threshold``.  ``text_key`` is a hash of the text.
 
     Defined cases: null and empty texts have no words, score 0 and fail the
-    base rules; ids that are null are never trusted; repeated rows count as
+    base rules; a text of any length is read whole; a score that equals the
+    threshold is kept; trusted documents are scored like any other; ids that are null are never trusted; repeated rows count as
     often as they occur and all come back; without trusted documents every
     ratio is that of the smoothing alone.  Extra columns are ignored; an
     empty table gives an empty result.

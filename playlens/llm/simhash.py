@@ -135,7 +135,9 @@ def simhash_groups(
 
     Defined cases: null, empty and wordless texts have fingerprint 0 and are
     linked like any other; a text of fewer words than ``shingle`` is one
-    shingle; repeated rows are copies of each other; null ids never become a
+    shingle; a text of any length is read whole; repeated rows are copies of
+    each other; rows that repeat an id with other texts are documents of
+    their own, in the component of their own text; null ids never become a
     component id unless the component has no other (then it is null).  Extra
     columns are ignored; an empty table gives an empty result.
     """

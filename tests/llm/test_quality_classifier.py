@@ -116,3 +116,58 @@ def test_edges(spark):
     assert qc.quality_scores(docs(spark, []), labels).count() == 0
     one = qc.quality_scores(docs(spark, rows), labels.where("quality = 1")).collect()
     assert len(one) == 60
+
+
+KIND_OF = {b: i + 1 for i, members in enumerate(qc._KINDS) for b in members}
+SPACE = b" \t\n\x0b\x0c\r"
+
+
+def plain_rows(text):
+    """The passages of a whole text, byte by byte: pairs of byte classes, then shares of different and of repeated words."""
+    if not text:
+        return [[0.0] * qc.WIDTH]
+    passage, place, starts, before = [], 0, 0, None
+    for b in text:
+        if b not in SPACE and (before is None or before in SPACE):
+            starts += 1
+        passage.append(max(starts - 1, 0) // qc.PASSAGE_WORDS)
+        before = b
+    rows, words = [], text.split()
+    for i in range(passage[-1] + 1):
+        counts = [0] * (qc.N_KINDS * qc.N_KINDS)
+        for at in range(1, len(text)):
+            if passage[at] == i:
+                counts[KIND_OF.get(text[at - 1], 0) * qc.N_KINDS + KIND_OF.get(text[at], 0)] += 1
+        own = words[i * qc.PASSAGE_WORDS : (i + 1) * qc.PASSAGE_WORDS]
+        n = max(len(own), 1)
+        tail = [len(set(own)) / n, sum(a == b for a, b in zip(own, own[1:])) / n, len(own) / qc.PASSAGE_WORDS]
+        rows.append([(c / max(sum(counts), 1)) ** 0.5 for c in counts] + tail)
+    return rows
+
+
+def plain_score(model, text):
+    """Gated attention over the passages, one number after the other."""
+    p, logits, hidden = model.p, [], []
+    for row in plain_rows(text):
+        x = [(v - m) / s for v, m, s in zip(row, model.mean, model.spread)]
+        h = [np.tanh(sum(v * w for v, w in zip(x, p["W"][:, j]) if v) + p["b"][j]) for j in range(qc.HIDDEN)]
+        gates = [np.tanh(sum(h * p["V"][:, j])) / (1 + np.exp(-sum(h * p["U"][:, j]))) for j in range(qc.GATE)]
+        logits.append(sum(g * w for g, w in zip(gates, p["w"])))
+        hidden.append(h)
+    shares = [np.exp(e - max(logits)) for e in logits]
+    z = [sum(a * h[j] for a, h in zip(shares, hidden)) / sum(shares) for j in range(qc.HIDDEN)]
+    return 1 / (1 + np.exp(-(sum(a * b for a, b in zip(z, p["c"])) + p["d"][0])))
+
+
+def test_scores_equal_a_plain_scorer(spark):
+    """Texts of none, one and many passages, against loops without blocks or arrays."""
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    texts = sorted((r["text"] for r in d.collect()), key=len)
+    texts = ["", " \n ", "é", *texts[::12][:12], " ".join(texts[100:104])]
+    given = docs(spark, list(enumerate(texts)))
+    small = dict(sample_docs=100, sample_passages=8)
+    got = {r["doc_id"]: r["score"] for r in qc.quality_scores(given.unionByName(d.withColumn("doc_id", d["doc_id"] + 1000)), labels.withColumn("doc_id", labels["doc_id"] + 1000), **small).collect()}
+    moved = labels.withColumn("doc_id", labels["doc_id"] + 1000)
+    model = qc.fit(given.unionByName(d.withColumn("doc_id", d["doc_id"] + 1000)), moved.where(qc.fold() != 0), **small)
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(plain_score(model, text.encode()), abs=1e-5)
