@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from playlens.operators import topk
 from playlens.operators.topk import best_of_block, blocks_needed, top_k_factors, topk_items, topk_users
 
 FACTORS = "id long, features array<float>"
@@ -31,8 +32,10 @@ def lengthy(n, d, seed, spread=1.0):
     return rng.normal(size=(n, d)) * np.exp(spread * rng.normal(size=(n, 1)))
 
 
-@pytest.mark.parametrize("block_rows,k", [(4096, 5), (16, 5), (7, 10)])
-def test_equals_brute_force(spark, block_rows, k):
+@pytest.mark.parametrize("block_rows,k,cells", [(4096, 5, 1 << 21), (16, 5, 1 << 21), (4, 10, 500), (3, 7, 1)])
+def test_equals_brute_force(spark, monkeypatch, block_rows, k, cells):
+    """One block, one strip, several strips; slices of all owners, of some and of one."""
+    monkeypatch.setattr(topk, "SLICE_CELLS", cells)
     users, items = lengthy(90, 6, 1), lengthy(120, 6, 2)
     out = top_k_factors(table(spark, users), table(spark, items, 1000), k, block_rows=block_rows)
     assert got(out) == brute(users, items, k, first=1000)
@@ -63,7 +66,7 @@ def test_ties_go_to_the_smaller_id(spark):
     assert rows.tolist() == [0, 0] and cols.tolist() == [1, 2]
 
 
-@pytest.mark.parametrize("block_rows", [4096, 8])
+@pytest.mark.parametrize("block_rows", [4096, 8, 2])
 def test_seen_pairs_are_left_out(spark, block_rows):
     """A user who has seen more than k of its best, one who has seen all, one who leaves fewer than k."""
     users, items = lengthy(20, 5, 5), lengthy(40, 5, 6)
