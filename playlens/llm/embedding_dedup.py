@@ -19,6 +19,12 @@ the number of links and one edge to the smallest member it is connected
 with.  A bucket larger than ``chunk`` is dealt over pairs of chunks, so that
 its comparisons are spread over tasks.  Vectors travel only for members that
 have a candidate.
+
+Large groups of near copies would make that quadratic, so they become balls
+first: the means of the most crowded cells are centres, and vectors within
+half the threshold's angle of one centre are all linked with each other, by
+the triangle inequality on angles.  Such links are counted by the size of the
+ball; in the tables a ball's members meet only what lies outside of it.
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.llm.common import cut_lineage, digest128
@@ -37,21 +43,35 @@ from playlens.llm.components import connected_components
 BITS, BLOCKS = 64, 8
 #: Quantisers are learned for the commonest lengths only, and of vectors up to a width; other lengths take drawn rotations.
 MAX_LENGTHS, MAX_WIDTH = 64, 4096
+#: Cells that may become centres of balls in a round, and rounds; what lies in no ball is compared in chunks.
+MAX_CELLS, ROUNDS = 256, 3
 _GROUP = ["t", "k", "c1", "c2"]
 
 
+def _weights(unit: np.ndarray, alike: float = 0.8) -> np.ndarray:
+    """One over the number of vectors that are alike, so that a group of near copies weighs about one vector."""
+    near = [(unit[lo : lo + 512] @ unit.T >= alike).sum(axis=1) for lo in range(0, len(unit), 512)]
+    return 1.0 / np.maximum(np.concatenate(near), 1)
+
+
 def learn_codes(sample: np.ndarray, rounds: int = 40, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection) of iterative quantisation: code bits are ``(unit - mean) @ projection > 0``."""
+    """(mean, projection) of iterative quantisation: code bits are ``(unit - mean) @ projection > 0``.
+
+    Near copies share the weight of one vector, and the mean is drawn to zero
+    by ``BITS`` vectors of zero: codes centred on a large group's own middle
+    would tear the group apart.
+    """
     unit = _unit(sample)
-    mean = unit.mean(axis=0)
+    weight = _weights(unit)[:, None]
+    mean = (weight * unit).sum(axis=0) / (weight.sum() + BITS)
     centred = unit - mean
-    _, axes = np.linalg.eigh(centred.T @ centred)
+    _, axes = np.linalg.eigh((weight * centred).T @ centred)
     axes = axes[:, ::-1][:, :BITS]
     flat = centred @ axes
     rotation, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(axes.shape[1],) * 2))
     for _ in range(rounds):
         signs = np.where(flat @ rotation > 0, 1.0, -1.0)
-        u, _, vt = np.linalg.svd(signs.T @ flat)
+        u, _, vt = np.linalg.svd((weight * signs).T @ flat)
         rotation = (u @ vt).T
     return mean, axes @ rotation
 
@@ -145,6 +165,7 @@ def _candidates(rows: pd.DataFrame, equal: int, max_bits: int, codes: int) -> It
     size = np.diff(np.r_[first, len(rows)])
     after = np.repeat(first + size, size) - np.arange(len(rows)) - 1  # rows of the group that follow
     node, chunk = rows["node"].to_numpy(), rows["chunk"].to_numpy()
+    ball = rows["ball"].to_numpy()
     every = np.stack([rows[f"code{c}"].to_numpy() for c in range(codes)])
     cross = rows["c1"].to_numpy() != rows["c2"].to_numpy()
     tables = _tables(equal)
@@ -156,6 +177,7 @@ def _candidates(rows: pd.DataFrame, equal: int, max_bits: int, codes: int) -> It
         x = code[i] ^ code[i + step]
         near = (np.bitwise_count(x.view(np.uint64)) <= max_bits) & (node[i] != node[i + step])
         near &= ~cross[i] | (chunk[i] != chunk[i + step])
+        near &= (ball[i] < 0) | (ball[i] != ball[i + step])  # pairs inside a ball are counted by its size
         a = i[near]
         same = np.cumsum(x[near].view(np.uint8).reshape(-1, BLOCKS) == 0, axis=1)
         a = a[same[np.arange(len(a)), last[a] - 1] == equal - 1] if equal > 1 else a[(same[np.arange(len(a)), last[a]] == 1)]
@@ -181,13 +203,86 @@ def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def embedding_links(
-    nodes: DataFrame, cosine: float = 0.9, equal: int = 2, max_bits: int = 16, chunk: int = 256, codes: int = 2
-) -> tuple[DataFrame, DataFrame]:
-    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``d``, ``codes``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
+def ball_centres(nodes: DataFrame, cosine: float, equal: int, chunk: int, codes: int) -> dict[int, np.ndarray]:
+    """Centres by length: unit means of the most crowded cells of one table a round, none inside another's ball.
 
-    ``d`` is the vector's length; only vectors of one length meet.
-    ``links`` counts the copies of the linked nodes.
+    Any vector may be a centre, so the choice bears on the work only.  A
+    round fetches at most ``MAX_CELLS`` means.
+    """
+    centres: dict[int, np.ndarray] = {}
+    tables = _tables(equal)
+    for r in range(ROUNDS):
+        cell = F.get("codes", F.lit(r % codes)).bitwiseAND(F.lit(tables[r * (len(tables) // ROUNDS)][0]))
+        left = nodes.where(f"d <= {MAX_WIDTH}").select("d", cell.alias("k"), "emb")
+        if centres:
+            left = left.where(_ball_of(centres, cosine)("emb") < 0)
+        sizes = left.groupBy("d", "k").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > chunk)
+        crowded = {(c["d"], c["k"]): c["size"] for c in sizes.orderBy(F.desc("size"), "d", "k").limit(MAX_CELLS).collect()}
+        if not crowded:
+            continue
+
+        def sums(batches: Iterator[pd.DataFrame], wanted: frozenset = frozenset(crowded)) -> Iterator[pd.DataFrame]:
+            total: dict[tuple[int, int], np.ndarray] = {}
+            for batch in batches:
+                for key, part in batch.groupby(["d", "k"], sort=False):
+                    if key in wanted:
+                        total[key] = total.get(key, 0.0) + _unit(np.stack(part["emb"].to_numpy()).astype(np.float64)).sum(axis=0)
+            if total:
+                yield pd.DataFrame({"d": [d for d, _ in total], "k": [k for _, k in total], "sum": list(total.values())})
+
+        def added(part: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"d": part["d"].iloc[:1], "k": part["k"].iloc[:1], "sum": [np.sum(part["sum"].to_numpy(), axis=0)]})
+
+        shape = "d int, k long, sum array<double>"
+        means = left.mapInPandas(sums, shape).groupBy("d", "k").applyInPandas(added, shape).collect()
+        for m in sorted(means, key=lambda m: (-crowded[m["d"], m["k"]], m["d"], m["k"])):
+            mean = np.array(m["sum"])
+            if not np.abs(mean).max() > 0:
+                continue
+            mean, own = _unit(mean[None])[0], centres.get(m["d"], np.zeros((0, m["d"])))
+            if not (own @ mean >= _half_angle(cosine)).any():
+                centres[m["d"]] = np.vstack([own, mean])
+    return centres
+
+
+def _half_angle(cosine: float) -> float:
+    """Cosine of half the angle, with a margin for rounding."""
+    return float(np.sqrt((1 + cosine) / 2)) + 1e-9
+
+
+def _ball_of(centres: dict[int, np.ndarray], cosine: float):
+    """A pandas UDF: the number of the first centre within half the angle, or -1."""
+    start, offsets = 0, {}
+    for d in sorted(centres):
+        offsets[d], start = start, start + len(centres[d])
+
+    @F.pandas_udf("long")
+    def ball(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for x in batches:
+            found, sizes = np.full(len(x), -1, dtype=np.int64), x.map(len).to_numpy()
+            for d in set(sizes) & set(centres):
+                at = np.nonzero(sizes == d)[0]
+                inside = _unit(np.stack(x.to_numpy()[at]).astype(np.float64)) @ centres[d].T >= _half_angle(cosine)
+                found[at] = np.where(inside.any(axis=1), offsets[d] + inside.argmax(axis=1), -1)
+            yield pd.Series(found)
+
+    return ball
+
+
+def ball_links(nodes: DataFrame) -> DataFrame:
+    """(``node``, ``root``, ``links``) of the members of every ball, which are all linked with each other."""
+    members = nodes.where("ball >= 0").groupBy("ball", "node").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("rows"))
+    whole = members.groupBy("ball").agg(F.sum("own").alias("all"), F.min("node").alias("root"))
+    # One row for each ball, of which there are at most MAX_CELLS times ROUNDS.
+    out = members.join(F.broadcast(whole), "ball").where(F.col("all") > F.col("own"))
+    return out.select("node", "root", (F.col("rows") * (F.col("all") - F.col("own"))).alias("links"))
+
+
+def bucket_members(nodes: DataFrame, balls: bool, equal: int, chunk: int, codes: int) -> DataFrame:
+    """Rows of ``nodes`` in every bucket and pair of chunks (``t``, ``k``, ``c1``, ``c2``) where they have to be compared.
+
+    The members of a ball that fill more than a chunk of a bucket have
+    chunks of their own, which meet the bucket's other chunks only.
     """
     names, tables = [f"code{c}" for c in range(codes)], _tables(equal)
     keys = [
@@ -195,22 +290,65 @@ def embedding_links(
         for c, name in enumerate(names)
         for t, (mask, _, _) in enumerate(tables)
     ]
-    coded = nodes.select("node", "h1", F.col("d").cast("long").alias("d"), *[F.get("codes", F.lit(c)).alias(name) for c, name in enumerate(names)])
-    rows = coded.select("node", "h1", *names, F.inline(F.array(*keys)))
-    sizes = rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = rows.join(sizes, ["t", "k"]).withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int"))
-    met = met.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    met = met.select(
-        "t", "k", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "node", "h1", *names
+    named = [F.get("codes", F.lit(c)).alias(name) for c, name in enumerate(names)]
+    coded = nodes.select("node", "h1", "ball", F.col("d").cast("long").alias("d"), *named)
+    rows = coded.select("node", "h1", "ball", *names, F.inline(F.array(*keys)))
+    size, none = F.count(F.lit(1)).alias("size"), F.lit(0).cast("long")
+
+    def chunks_of(rows_in: Column) -> Column:
+        return F.ceil(rows_in / chunk)
+
+    if balls:
+        bucket = Window.partitionBy("t", "k")
+        before = bucket.orderBy("ball").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = rows.groupBy("t", "k", "ball").agg(size)
+        sizes = sizes.withColumn("apart", (F.col("ball") >= 0) & (F.col("size") > chunk))
+        sizes = sizes.withColumn("own", F.when(F.col("apart"), chunks_of(F.col("size"))).otherwise(none))
+        sizes = sizes.withColumn("rest", chunks_of(F.sum(F.when(F.col("apart"), none).otherwise(F.col("size"))).over(bucket)))
+        sizes = sizes.withColumns(
+            {
+                "total": F.sum("size").over(bucket),
+                "chunks": F.col("rest") + F.sum("own").over(bucket),
+                "first": F.when(F.col("apart"), F.col("rest") + F.coalesce(F.sum("own").over(before), none)).otherwise(none),
+            }
+        )
+        sizes = sizes.where(F.col("total") > F.when(F.col("ball") >= 0, F.col("size")).otherwise(1))
+        sizes = sizes.withColumn("own", F.when(F.col("apart"), F.col("own")).otherwise(F.col("rest"))).drop("size", "rest", "total")
+        met = rows.join(sizes, ["t", "k", "ball"])
+    else:
+        sizes = rows.groupBy("t", "k").agg(size).where("size > 1").withColumn("own", chunks_of(F.col("size"))).drop("size")
+        met = rows.join(sizes, ["t", "k"]).withColumns({"apart": F.lit(False), "chunks": F.col("own"), "first": none})
+    met = met.withColumn("chunk", (F.col("first") + F.pmod(F.xxhash64("node"), F.col("own"))).cast("int"))
+    every = F.sequence(none, F.col("chunks") - 1)
+    outside = F.filter(every, lambda c: (c < F.col("first")) | (c >= F.col("first") + F.col("own")))
+    met = met.withColumn("other", F.explode(F.when(F.col("apart"), outside).otherwise(every))).withColumn("other", F.col("other").cast("int"))
+    return met.select(
+        "t", "k", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "ball", "node", "h1", *names
     )
 
+
+def embedding_links(
+    nodes: DataFrame, cosine: float = 0.9, equal: int = 2, max_bits: int = 16, chunk: int = 256, codes: int = 2
+) -> tuple[DataFrame, DataFrame]:
+    """Links between ``nodes`` (``node``, ``h1``, ``n``, ``d``, ``codes``, ``emb``; a node may have several rows): (``node``, ``links``) and edges (``u``, ``v``).
+
+    ``d`` is the vector's length; only vectors of one length meet.
+    ``links`` counts the copies of the linked nodes.
+    """
+    names = [f"code{c}" for c in range(codes)]
+    centres = ball_centres(nodes, cosine, equal, chunk, codes)
+    if centres:
+        nodes = cut_lineage(nodes.withColumn("ball", _ball_of(centres, cosine)("emb")))
+    else:
+        nodes = nodes.withColumn("ball", F.lit(-1).cast("long"))
+    met = bucket_members(nodes, bool(centres), equal, chunk, codes)
+
     def with_candidate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_groups(batches):
             hit = np.zeros(len(group), dtype=bool)
             for a, b in _candidates(group, equal, max_bits, codes):
                 hit[a] = hit[b] = True
-            yield group.loc[hit, [*_GROUP, "chunk", "node", "h1", *names]]
+            yield group.loc[hit, [*_GROUP, "chunk", "ball", "node", "h1", *names]]
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in (of_length for whole in _whole_groups(batches) for of_length in _by_length(whole)):
@@ -234,7 +372,8 @@ def embedding_links(
     parted = met.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
     members = parted.mapInPandas(with_candidate, parted.schema.simpleString()[7:-1].replace(":", " "))
     fetched = members.join(nodes.select("node", "h1", "n", "emb"), ["node", "h1"]).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
-    found = cut_lineage(fetched.mapInPandas(verified, "node long, root long, links long"))
+    found = fetched.mapInPandas(verified, "node long, root long, links long")
+    found = cut_lineage(found.unionAll(ball_links(nodes)) if centres else found)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     return links, found.select(F.col("node").alias("u"), F.col("root").alias("v"))
 

@@ -135,3 +135,53 @@ def test_groups_are_never_cut():
         parts = list(ed._whole_groups(iter(batches)))
         assert pd.concat(parts)["node"].tolist() == list(range(13))
         assert sum(p["t"].nunique() for p in parts) == 3
+
+
+def coded(spark, x):
+    """Nodes as the operator makes them, with codes of drawn rotations and their balls."""
+    quantisers = [ed.drawn_codes(x.shape[1], 3 + c) for c in range(2)]
+    codes = np.stack([ed.encode(x.astype(np.float64), *q) for q in quantisers], axis=1)
+    rows = pd.DataFrame({"node": np.arange(len(x)), "h1": np.arange(len(x)), "n": 1, "d": x.shape[1], "codes": list(codes), "emb": list(x.astype(np.float64))})
+    return spark.createDataFrame(rows, "node long, h1 long, n long, d int, codes array<long>, emb array<double>")
+
+
+def test_work_on_near_copies_is_linear(spark):
+    """One group of near copies among 300 others: compared rows and edges stay in proportion to the group."""
+    for size in (500, 2000):
+        nodes = coded(spark, groups(21, [size] + [1] * 300, 0.1))
+        centres = ed.ball_centres(nodes, 0.9, 2, 64, 2)
+        balled = nodes.withColumn("ball", ed._ball_of(centres, 0.9)("emb"))
+        assert balled.where("ball >= 0").count() == size
+        assert ed.bucket_members(balled, True, 2, 64, 2).count() <= 2 * size
+        links, found = ed.embedding_links(nodes, chunk=64)
+        assert {r["links"] for r in links.collect()} == {size - 1}
+        assert found.count() == size
+
+
+def test_balls_beside_each_other(spark):
+    """Two overlapping balls, a ring round them, copies and repeated ids: nothing is lost or counted twice."""
+    draw = np.random.default_rng(5)
+    centre, side = np.linalg.qr(draw.normal(size=(64, 2)))[0].T
+    def around(c, size, angle):
+        off = draw.normal(size=(size, 64))
+        off -= np.outer(off @ c, c)
+        off /= np.linalg.norm(off, axis=1, keepdims=True)
+        return np.cos(angle) * c + np.sin(angle) * off
+    turned = np.cos(0.3) * centre + np.sin(0.3) * side
+    x = np.concatenate([around(centre, 150, 0.12), around(turned, 150, 0.12), around(centre, 40, 0.3), around(centre, 40, 0.4)]).astype(np.float32)
+    x = np.concatenate([x, x[:5], x[:1]])
+    close, root = brute(x)
+    out = embedding_near_dups(vectors(spark, list(enumerate(x))), chunk=16).collect()
+    got = {r["vec_id"]: r for r in out}
+    links, want = np.array([got[i]["n_links"] for i in range(len(x))]), close.sum(axis=1)
+    assert (links <= want).all() and links.sum() >= 0.97 * want.sum()
+    assert {got[i]["component_id"] for i in range(300)} == {0} == {root[i] for i in range(300)}
+
+
+def test_a_third_in_one_loose_group(spark):
+    """Copies near the threshold, too far apart to be one ball, hold a third of the rows."""
+    x = np.concatenate([groups(31, [400], 0.27), groups(32, [1] * 800, 0)])
+    close, _ = brute(x)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_near_dups(vectors(spark, list(enumerate(x)))).collect()}
+    links, want = np.array([got[i] for i in range(len(x))]), close.sum(axis=1)
+    assert want.sum() > 100_000 and (links <= want).all() and links.sum() >= 0.9 * want.sum()
