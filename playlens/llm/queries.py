@@ -201,7 +201,7 @@ threads AS (
 SELECT conv_id, turn, role, position, reply_to, thread, seq, n_quotes, n_linked, content
 FROM told JOIN threads USING (conv_id, position)""",
     "op9_url_filters": r"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
     SELECT page_id,
            translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -228,18 +228,19 @@ judged AS (
                  ELSE s END FOR s IN raw] AS typed
     FROM ruled),
 paths AS (
-    SELECT host, typed, count(*) AS n, count(label) AS labelled, count(*) FILTER (WHERE label = 'block') AS bad,
-           CASE WHEN len(typed) > 8 THEN list_append(typed[1:7], array_to_string(typed[8:], '/')) ELSE typed END AS segs
+    SELECT host, typed, count(*) AS n, count(label) AS labelled, count(*) FILTER (WHERE label = 'block') AS bad
     FROM judged GROUP BY host, typed),
-steps AS (
-    SELECT host, typed, n, labelled, bad, pos, segs[pos] AS seg, segs[1:pos - 1] AS above
-    FROM paths, LATERAL (SELECT unnest(range(1, len(segs) + 1)) AS pos) t),
-crowded AS (
-    SELECT host, above FROM steps GROUP BY host, above HAVING count(DISTINCT seg) > 16),
+-- From the roots down: the children of a crowded node become wildcards before their own children are counted.
+levels AS (
+    SELECT host, typed, CAST([] AS VARCHAR[]) AS done FROM paths
+    UNION ALL
+    SELECT host, typed,
+           list_append(done, CASE WHEN count(DISTINCT seg) OVER w > 16 OR bool_or(seg = '*') OVER w THEN '*' ELSE seg END)
+    FROM (SELECT *, typed[len(done) + 1] AS seg FROM levels WHERE len(done) < len(typed))
+    WINDOW w AS (PARTITION BY host, done)),
 general AS (
-    SELECT host, typed, n, labelled, bad,
-           list(CASE WHEN c.host IS NULL THEN seg ELSE '*' END ORDER BY pos) AS segs
-    FROM steps LEFT JOIN crowded c USING (host, above) GROUP BY host, typed, n, labelled, bad),
+    SELECT host, typed, n, labelled, bad, done AS segs
+    FROM levels JOIN paths USING (host, typed) WHERE len(done) = len(typed)),
 nodes AS (
     SELECT host, typed, n, labelled, bad, pos, segs[pos] AS seg, segs[1:pos - 1] AS above, coalesce(segs[pos + 1], '') AS below
     FROM general, LATERAL (SELECT unnest(range(1, len(segs) + 1)) AS pos) t),
@@ -251,26 +252,24 @@ looks AS (
     SELECT host, above, seg, list(kind ORDER BY kind) AS names, map_from_entries(list((kind, n))) AS per,
            sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad
     FROM kinds GROUP BY host, above, seg),
-beside AS (
-    SELECT *, lag(names) OVER w AS names0, lag(per) OVER w AS per0, lag(n) OVER w AS n0, lag(labelled) OVER w AS labelled0,
-           lag(bad) OVER w AS bad0, row_number() OVER w AS place
-    FROM looks WINDOW w AS (PARTITION BY host, above ORDER BY labelled > 0, bad / greatest(labelled, 1), seg)),
-compared AS (
-    SELECT host, above, seg, place, names0 IS NOT NULL
-           AND list_sum([abs(coalesce(per[k], 0) / n - coalesce(per0[k], 0) / n0) / 2
-                         FOR k IN list_concat(names, [x FOR x IN names0 IF NOT list_contains(names, x)])]) <= 0.2::DOUBLE
-           AND CASE WHEN labelled = 0 AND labelled0 = 0 THEN true
-                    WHEN labelled > 0 AND labelled0 > 0
-                    THEN abs(bad / labelled - bad0 / labelled0)
-                         <= 1.96::DOUBLE * sqrt((bad + bad0) / (labelled + labelled0) * (1 - (bad + bad0) / (labelled + labelled0))
-                                                * (1 / labelled + 1 / labelled0))
-                    ELSE false END AS joins
-    FROM beside),
-runs AS (
-    SELECT host, above, seg, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY host, above ORDER BY place) AS run
-    FROM compared),
+pairs AS (
+    SELECT a.host, a.above, a.seg AS x, b.seg AS y
+    FROM looks a JOIN looks b ON a.host = b.host AND a.above = b.above AND a.seg < b.seg
+    WHERE list_sum([abs(coalesce(a.per[k], 0) / a.n - coalesce(b.per[k], 0) / b.n) / 2
+                    FOR k IN list_concat(a.names, [z FOR z IN b.names IF NOT list_contains(a.names, z)])]) <= 0.2::DOUBLE
+      AND CASE WHEN a.labelled = 0 AND b.labelled = 0 THEN true
+               WHEN a.labelled > 0 AND b.labelled > 0
+               THEN abs(a.bad / a.labelled - b.bad / b.labelled)
+                    <= 1.96::DOUBLE * sqrt((a.bad + b.bad) / (a.labelled + b.labelled)
+                                           * (1 - (a.bad + b.bad) / (a.labelled + b.labelled)) * (1 / a.labelled + 1 / b.labelled))
+               ELSE false END),
+links AS (SELECT * FROM pairs UNION ALL SELECT host, above, y AS x, x AS y FROM pairs),
+reach AS (
+    SELECT host, above, seg AS x, seg AS y FROM looks
+    UNION
+    SELECT r.host, r.above, r.x, l.y FROM reach r JOIN links l ON r.host = l.host AND r.above = l.above AND r.y = l.x),
 merged AS (
-    SELECT host, above, seg, min(seg) OVER (PARTITION BY host, above, run) AS name FROM runs),
+    SELECT host, above, x AS seg, min(y) AS name FROM reach GROUP BY host, above, x),
 templates AS (
     SELECT host, typed, labelled, bad, '/' || array_to_string(list(name ORDER BY pos), '/') AS template
     FROM nodes JOIN merged USING (host, above, seg) GROUP BY host, typed, n, labelled, bad),

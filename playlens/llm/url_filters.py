@@ -2,9 +2,9 @@
 
 Paths become templates: numbers, hexadecimal keys and other segments with
 digits are generalised by their form, and so are all children of a node that
-has more than ``max_children`` different ones.  Sibling branches whose
-children look alike and whose labelled shares do not differ significantly are
-merged.  A template is rejected when the smoothed share of bad urls among its
+has more than ``max_children`` different ones, at every depth.  Sibling
+branches whose children look alike and whose labelled shares do not differ
+significantly are merged; all siblings of a node are compared.  A template is rejected when the smoothed share of bad urls among its
 labelled ones reaches ``reject_at``.
 
 The tree is built from url templates that are counted first, so a host with
@@ -16,9 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
-from playlens.llm.common import cut_lineage, free_names, lower_ascii
+from playlens.llm.common import cut_lineage, digest128, free_names, lower_ascii
 
 # The rules of the contract.
 RULES = [
@@ -37,7 +37,6 @@ _FORMS = [
 ]
 # Words of a host's names that mark its pages as bad.
 HOST_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam")
-MAX_DEPTH = 8  # segments of a template; what lies deeper is one last segment
 
 
 def host_of(url: Column) -> Column:
@@ -73,26 +72,91 @@ def typed_path(path: Column) -> Column:
     return F.regexp_replace(out, "^/|/$", "")
 
 
-def _segments(typed: Column) -> Column:
-    parts = F.split(typed, "/", -1)
-    tail = F.array_join(F.slice(parts, MAX_DEPTH, F.greatest(F.size(parts), F.lit(1))), "/")
-    return F.when(F.size(parts) <= MAX_DEPTH, parts).otherwise(F.concat(F.slice(parts, 1, MAX_DEPTH - 1), F.array(tail)))
+def _steps(paths: DataFrame, path_col: str, *carried: str) -> DataFrame:
+    """One row per path and segment: ``host``, the path's key (``k1``, ``k2``), ``depth``, ``seg`` and ``carried``."""
+    k1, k2 = digest128(F.col(path_col))
+    return paths.select(
+        "host", k1.alias("k1"), k2.alias("k2"), *carried, F.posexplode(F.split(path_col, "/", -1)).alias("depth", "seg")
+    )
 
 
-def _nodes(paths: DataFrame, segs: str) -> DataFrame:
-    """One row per path and depth: the node's parent (its segments, joined) and its own segment."""
-    return paths.select("*", F.posexplode(segs).alias("depth", "seg")).withColumn(
-        "parent", F.array_join(F.slice(segs, F.lit(1), F.col("depth")), "/")
-    )
+def _along(rows: tuple[int, int] | None = None) -> WindowSpec:
+    path = Window.partitionBy("host", "k1", "k2").orderBy("depth")
+    return path.rowsBetween(*rows) if rows else path
+
+
+def _with_parent(steps: DataFrame) -> DataFrame:
+    """``steps`` with ``parent``: a hash of all segments above, so that a long path takes room in proportion."""
+    above = F.bit_xor(F.xxhash64("depth", "seg")).over(_along((Window.unboundedPreceding, -1)))
+    return steps.withColumn("parent", F.coalesce(above, F.lit(0).cast("long")))
+
+
+def _paths(steps: DataFrame, name: str) -> DataFrame:
+    """The paths' segments, joined again: (``host``, ``k1``, ``k2``, ``name``)."""
+    segs = F.transform(F.sort_array(F.collect_list(F.struct("depth", "seg"))), lambda x: x["seg"])
+    return steps.groupBy("host", "k1", "k2").agg(F.array_join(segs, "/").alias(name))
+
+
+def _generalised(steps: DataFrame, max_children: int) -> DataFrame:
+    """``steps`` with wildcards for all children of a node that has a wildcard or more than ``max_children`` children.
+
+    A wildcard makes one node of many, whose children are then counted
+    together: the rounds go on until no node is crowded.  Wildcards only
+    spread, so this ends, and where it ends is what going down from the roots
+    level by level gives; paths of any depth take as many rounds as they have
+    wildcards that call for each other.
+    """
+    node = ["host", "depth", "parent"]
+    while True:
+        steps = cut_lineage(_with_parent(steps))
+        children = steps.groupBy(*node, "seg").agg(F.lit(1).alias("one"))
+        size = children.groupBy(*node).agg(F.count("one").alias("k"), F.bool_or(F.col("seg") == "*").alias("wild"))
+        crowded = size.where((F.col("k") > max_children) | (F.col("wild") & (F.col("k") > 1))).select(*node, F.lit("*").alias("star"))
+        crowded = cut_lineage(crowded)
+        if crowded.isEmpty():
+            return steps
+        steps = steps.join(crowded, node, "left").withColumn("seg", F.coalesce("star", "seg")).drop("star", "parent")
+
+
+def _similar(x: Column, y: Column, alike: float, z_limit: float) -> Column:
+    """Whether what lies below two branches looks alike and their labels don't differ significantly."""
+    def share(of: Column, kind: Column) -> Column:
+        at = F.array_position(of["kinds"], kind).cast("int") - 1
+        return F.coalesce(F.get(of["counts"], at), F.lit(0)) / of["n"]
+
+    gap = F.aggregate(F.array_union(x["kinds"], y["kinds"]), F.lit(0.0), lambda s, k: s + F.abs(share(x, k) - share(y, k)) / 2)
+    one = F.lit(1.0)
+    pooled = F.try_divide(x["bad"] + y["bad"], x["labelled"] + y["labelled"])
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, x["labelled"]) + F.try_divide(one, y["labelled"])))
+    apart = F.abs(F.try_divide(x["bad"], x["labelled"]) - F.try_divide(y["bad"], y["labelled"]))
+    both = (x["labelled"] > 0) & (y["labelled"] > 0)
+    none = (x["labelled"] == 0) & (y["labelled"] == 0)
+    return (gap <= alike) & (none | F.when(both, apart <= z_limit * error).otherwise(F.lit(False)))
 
 
-def _renamed(paths: DataFrame, segs: str, names: DataFrame, out: str) -> DataFrame:
-    """``paths`` (one row per host and ``typed``) with ``segs`` renamed by ``names`` (host, depth, parent, seg, name)."""
-    steps = _nodes(paths.select("host", "typed", segs), segs).join(names, ["host", "depth", "parent", "seg"], "left")
-    whole = steps.groupBy("host", "typed").agg(
-        F.sort_array(F.collect_list(F.struct("depth", F.coalesce("name", "seg").alias("s")))).alias("steps")
+def _merged_names(nodes: DataFrame, max_children: int, alike: float, z_limit: float) -> DataFrame:
+    """(``host``, ``depth``, ``parent``, ``seg``, ``name``): every branch under the name of the first that it merges with.
+
+    All branches of a node are compared with each other, ``max_children`` at
+    most; branches merge through others that are similar to both.
+    """
+    kids = F.sort_array(F.collect_list(F.struct("seg", "kinds", "counts", "n", "labelled", "bad")))
+    family = nodes.groupBy("host", "depth", "parent").agg(kids.alias("kids"))
+    places = F.sequence(F.lit(0), F.size("kids") - 1)
+
+    def beside(i: Column) -> Column:
+        first = lambda j: F.get("kids", F.least(i, j))
+        second = lambda j: F.get("kids", F.greatest(i, j))
+        return F.filter(places, lambda j: (i == j) | _similar(first(j), second(j), alike, z_limit))
+
+    family = family.withColumn("near", F.transform(places, beside))
+    rounds = F.sequence(F.lit(1), F.lit(max(max_children, 2).bit_length()))
+    reach = F.aggregate(
+        rounds, F.col("near"), lambda r, _: F.transform(r, lambda js: F.array_distinct(F.flatten(F.transform(js, lambda j: F.get(r, j)))))
     )
-    return paths.join(whole, ["host", "typed"]).withColumn(out, F.col("steps.s")).drop("steps")
+    family = family.withColumn("reach", reach)
+    names = F.transform("kids", lambda kid, i: F.struct(kid["seg"].alias("seg"), F.get("kids", F.array_min(F.get("reach", i)))["seg"].alias("name")))
+    return family.select("host", "depth", "parent", F.inline(names))
 
 
 def path_templates(
@@ -108,63 +172,36 @@ def path_templates(
     ``purity`` is the share of bad urls among the labelled ones of the
     merged template, smoothed by ``prior_weight`` labels of share ``prior``.
     """
+    sums = ["n", "labelled", "bad"]
     counted = cut_lineage(
         urls.groupBy("host", "typed").agg(
             F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
         )
-    ).withColumn("segs", _segments(F.col("typed")))
-
-    # Children of crowded nodes become wildcards.
-    children = _nodes(counted, "segs").groupBy("host", "depth", "parent", "seg").agg(F.sum("n").alias("n"))
-    crowded = children.groupBy("host", "depth", "parent").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > max_children)
-    stars = children.join(crowded, ["host", "depth", "parent"]).select("host", "depth", "parent", "seg", F.lit("*").alias("name"))
-    general = cut_lineage(_renamed(counted, "segs", stars, "gen"))
+    )
+    k1, k2 = digest128(F.col("typed"))
+    general = _paths(_generalised(_steps(counted, "typed"), max_children), "gen")
+    known = cut_lineage(counted.withColumns({"k1": k1, "k2": k2}).join(general, ["host", "k1", "k2"]).drop("k1", "k2"))
 
-    # What the nodes' children look like, and what their labels say.
-    node = ["host", "depth", "parent", "seg"]
-    steps = _nodes(general, "gen").withColumn("below", F.coalesce(F.get("gen", F.col("depth") + 1), F.lit("")))
+    # Paths that are alike now are one path: a host's templates are few, however many urls it has.
+    paths = known.groupBy("host", "gen").agg(*[F.sum(c).alias(c) for c in sums])
+    steps = cut_lineage(_with_parent(_steps(paths, "gen", *sums)).withColumn("below", F.coalesce(F.lead("seg").over(_along()), F.lit(""))))
     kind = F.when(F.col("below").rlike("^(\\{|\\*|$)"), F.col("below")).otherwise("literal")
-    kinds = steps.groupBy(*node, kind.alias("kind")).agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
+    node = ["host", "depth", "parent", "seg"]
+    kinds = steps.groupBy(*node, kind.alias("kind")).agg(*[F.sum(c).alias(c) for c in sums])
     nodes = kinds.groupBy(*node).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("kind", "n")))).alias("kinds"),
-        *[F.sum(c).alias(c) for c in ("n", "labelled", "bad")],
+        F.sort_array(F.collect_list(F.struct("kind", F.col("n").alias("count")))).alias("looks"), *[F.sum(c).alias(c) for c in sums]
     )
-    # A node has at most max_children children now, so these windows are small.
-    beside = Window.partitionBy("host", "depth", "parent").orderBy(
-        (F.col("labelled") > 0), F.col("bad") / F.greatest("labelled", F.lit(1)), "seg"
-    )
-    before = F.lag(F.struct("kinds", "n", "labelled", "bad")).over(beside)
-    pair = nodes.withColumn("b", before)
-    every = F.array_union(F.map_keys("kinds"), F.map_keys("b.kinds"))
-    gap = F.aggregate(
-        every,
-        F.lit(0.0),
-        lambda s, k: s
-        + F.abs(
-            F.coalesce(F.try_element_at("kinds", k), F.lit(0)) / F.col("n")
-            - F.coalesce(F.try_element_at("b.kinds", k), F.lit(0)) / F.col("b.n")
-        )
-        / 2,
-    )
-    one = F.lit(1.0)
-    pooled = F.try_divide(F.col("bad") + F.col("b.bad"), F.col("labelled") + F.col("b.labelled"))
-    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("labelled")) + F.try_divide(one, F.col("b.labelled"))))
-    apart = F.abs(F.try_divide(F.col("bad"), F.col("labelled")) - F.try_divide(F.col("b.bad"), F.col("b.labelled")))
-    differs = apart > z_limit * error
-    both_labelled = (F.col("labelled") > 0) & (F.col("b.labelled") > 0)
-    none_labelled = (F.col("labelled") == 0) & (F.col("b.labelled") == 0)
-    joins = (gap <= alike) & (none_labelled | F.when(both_labelled, ~differs).otherwise(F.lit(False)))
-    grouped = pair.withColumn("run", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).over(beside))
-    run = Window.partitionBy("host", "depth", "parent", "run")
-    merged = grouped.select(*node, F.min("seg").over(run).alias("name"))
-    tree = cut_lineage(_renamed(general, "gen", merged, "merged"))
-
-    template = F.concat(F.lit("/"), F.array_join("merged", "/"))
-    judged = tree.groupBy("host", template.alias("template")).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    nodes = nodes.select(*node, F.col("looks.kind").alias("kinds"), F.col("looks.count").alias("counts"), *sums)
+    names = _merged_names(nodes, max_children, alike, z_limit)
+    renamed = steps.join(names, node).drop("seg").withColumnRenamed("name", "seg")
+    k1, k2 = digest128(F.col("gen"))
+    whole = paths.withColumns({"k1": k1, "k2": k2}).join(_paths(renamed, "merged"), ["host", "k1", "k2"])
+    tree = cut_lineage(whole.select("host", "gen", F.concat(F.lit("/"), "merged").alias("template"), "labelled", "bad"))
+
+    judged = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     purity = (F.col("bad") + prior * prior_weight) / (F.col("labelled") + prior_weight)
-    return tree.select("host", "typed", template.alias("template")).join(
-        judged.select("host", "template", purity.alias("purity")), ["host", "template"]
-    )
+    rated = tree.select("host", "gen", "template").join(judged.select("host", "template", purity.alias("purity")), ["host", "template"])
+    return known.select("host", "gen", "typed").join(rated, ["host", "gen"]).select("host", "typed", "template", "purity")
 
 
 def url_filter(
