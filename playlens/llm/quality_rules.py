@@ -7,9 +7,16 @@ document's score is the mean over its n-grams of
 ``log p_target - log p_raw``.  Every document is held against the same
 threshold, so the verdict is deterministic.
 
-Everything is a built-in function.  The counting pass shuffles two bytes a
-word (bucket numbers, not texts) to meet the trusted ids; the ratios are
-``buckets`` rows however large the corpus is, so they are broadcast.
+The buckets grow with the corpus, one to some ``OCTETS_PER_BUCKET`` octets of
+text, so that a bucket holds as many n-grams at every size.
+
+Everything is a built-in function.  The counting pass shuffles four bytes a
+word (bucket numbers, not texts) to meet the trusted ids.  In the scoring
+pass every document sums its own n-grams, with the ratios in an array of
+``SLOTS`` places, whatever the corpus: the place of a bucket is its number
+modulo ``SLOTS`` and holds the ratio of its most frequent bucket.  N-grams of
+other buckets, which there are only beyond ``SLOTS`` buckets, are counted per
+document and joined with their ratios.
 """
 
 from __future__ import annotations
@@ -24,7 +31,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
 
-MAX_BUCKETS = 1 << 15  # bucket numbers are two-byte integers
+MIN_BUCKETS = 1 << 15
+OCTETS_PER_BUCKET = 1024
+SLOTS = 1 << 20  # places of the array that every task holds, eight bytes each
+MICRO_BITS = 27
 MICRO = 1_000_000  # ratios are summed as integers, in any order the same
 
 
@@ -32,8 +42,18 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def buckets_for(docs: DataFrame, text_col: str = "text") -> int:
+    """A power of two: ``MIN_BUCKETS`` or the first with at most ``OCTETS_PER_BUCKET`` octets of text to a bucket."""
+    octets = docs.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("long")), F.lit(0))).first()[0]
+    return max(MIN_BUCKETS, 1 << max(-(-octets // OCTETS_PER_BUCKET) - 1, 0).bit_length())
+
+
+def _number(buckets: int) -> str:
+    return "int" if buckets <= 1 << 31 else "long"
+
+
 def _buckets(hashes: Column, buckets: int) -> Column:
-    return F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("smallint"))
+    return F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast(_number(buckets)))
 
 
 def _ngrams(uni: Column, buckets: int) -> Column:
@@ -41,7 +61,7 @@ def _ngrams(uni: Column, buckets: int) -> Column:
     pairs = F.zip_with(
         F.slice(uni, F.lit(1), F.greatest(F.size(uni) - 1, F.lit(0))),
         F.slice(uni, F.lit(2), F.greatest(F.size(uni) - 1, F.lit(0))),
-        lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("smallint"),
+        lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast(_number(buckets)),
     )
     return F.concat(uni, pairs)
 
@@ -54,21 +74,65 @@ def bucket_counts(
     # Merged at every size: the ids grow with the corpus, so they are never broadcast.
     ids = trusted.select(F.col(id_col).alias("tid")).where("tid IS NOT NULL").distinct().hint("merge")
     marked = hashed.join(ids, hashed["id"] == ids["tid"], "left").select(
-        F.col("tid").isNotNull().cast("long").alias("target"), F.explode(_ngrams(F.col("uni"), buckets)).alias("b")
+        F.col("tid").isNotNull().cast("long").alias("target"), F.explode(_ngrams(F.col("uni"), buckets)).alias("bucket")
     )
-    return marked.groupBy(F.col("b").cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("n_raw"), F.sum("target").alias("n_target"))
+    return marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"), F.sum("target").alias("n_target"))
 
 
 def ratio_table(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
-    """(``bucket`` long, ``micro`` long): log-likelihood ratios in millionths, one row for each of the buckets."""
-    every = counts.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
-    full = every.join(counts, "bucket", "left").na.fill(0, ["n_raw", "n_target"])
-    totals = full.agg(F.sum("n_raw").alias("raw"), F.sum("n_target").alias("target"))
+    """(``bucket``, ``n_raw``, ``micro`` int): log-likelihood ratios in millionths of the buckets that occur."""
+    totals = counts.agg(F.coalesce(F.sum("n_raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target"))
     mass = smoothing * buckets
     ratio = F.log((F.col("n_target") + smoothing) / (totals.select("target").scalar() + mass)) - F.log(
         (F.col("n_raw") + smoothing) / (totals.select("raw").scalar() + mass)
     )
-    return full.select("bucket", F.round(ratio * MICRO).cast("long").alias("micro"))
+    return counts.select("bucket", "n_raw", F.round(ratio * MICRO).cast("int").alias("micro"))
+
+
+def _in_slots(ratios: DataFrame, slots: int) -> DataFrame:
+    """One row with the array ``held``: for every slot its most frequent bucket and that one's ratio, in one long.
+
+    The bucket is -1 in empty slots; the ratio, which is below 64 in size, takes the last ``MICRO_BITS`` bits.
+    """
+    best = ratios.groupBy(F.pmod("bucket", F.lit(slots)).cast("int").alias("slot")).agg(
+        F.max_by(F.struct("bucket", "micro"), F.struct("n_raw", "bucket")).alias("own")
+    )
+    every = ratios.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
+    owner = F.coalesce(F.col("own.bucket").cast("long"), F.lit(-1).cast("long"))
+    both = every.join(best, "slot", "left").select(
+        "slot", (owner * (1 << MICRO_BITS) + F.coalesce("own.micro", F.lit(0)) + (1 << MICRO_BITS - 1)).alias("own")
+    )
+    return both.agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", "own"))), lambda x: x["own"]).alias("held"))
+
+
+def _looked_up(grams: DataFrame, held: DataFrame, slots: int) -> DataFrame:
+    """``grams`` (its column ``grams`` last) with ``sum``, of the ratios in slots, and ``rare``, the other buckets.
+
+    A subquery can't stand in a lambda, but a column that is used once is put
+    in its place by the optimizer: no row holds the array.  So every column
+    appears once in the second step.
+    """
+    rest = grams.columns[:-1]
+    beside = grams.select(*rest, "grams", held.scalar().alias("held"))
+    hits = F.transform("grams", lambda b: F.struct(b.alias("b"), F.get("held", F.pmod(b, F.lit(slots)).cast("int")).alias("own")))
+    looked = beside.select(*rest, hits.alias("hits"))
+    micro = lambda x: x["own"].bitwiseAND((1 << MICRO_BITS) - 1) - (1 << MICRO_BITS - 1)
+    found = lambda x: F.shiftright(x["own"], MICRO_BITS) == x["b"]
+    total = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + F.when(found(x), micro(x)).otherwise(0))
+    rare = F.transform(F.filter("hits", lambda x: ~found(x)), lambda x: x["b"])
+    return looked.select(*rest, total.alias("sum"), rare.alias("rare"))
+
+
+def _joined_sums(scored: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``scored`` with ``sum`` increased by the ratios of the buckets in ``rare``; equal rows share their counts."""
+    rows = scored.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    rare = scored.select("id", "text_key", F.explode("rare").alias("bucket")).groupBy("id", "text_key", "bucket").agg(F.count(F.lit(1)).alias("m"))
+    more = rare.join(ratios.select("bucket", "micro"), "bucket").groupBy("id", "text_key").agg(F.sum(F.col("m") * F.col("micro")).alias("more"))
+    more = more.toDF("mid", "mkey", "more")
+    per = rows.join(more, rows["id"].eqNullSafe(more["mid"]) & (rows["text_key"] == more["mkey"]))
+    per = per.select("mid", "mkey", (F.col("more") / F.col("copies")).cast("long").alias("more"))
+    both = scored.join(per, scored["id"].eqNullSafe(per["mid"]) & (scored["text_key"] == per["mkey"]), "left")
+    return both.withColumn("sum", F.col("sum") + F.coalesce("more", F.lit(0))).drop("mid", "mkey", "more")
 
 
 def _windows(hashes: str) -> Column:
@@ -95,9 +159,10 @@ def quality_rules(
     trusted: DataFrame,
     text_col: str = "text",
     id_col: str = "doc_id",
-    buckets: int = MAX_BUCKETS,
+    buckets: int | None = None,
     smoothing: float = 1.0,
     threshold: float = -0.1,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``text_key``, base counts, ``base_failed``, ``score``, ``kept``.
 
@@ -106,7 +171,9 @@ def quality_rules(
     ``#*$%&|<>``, ``n_dup_lines`` lines with a word that equal an earlier
     line, ``n_repeat_words`` words in three-word windows that the text has
     twice or more.  ``kept`` is false where the base rules fail and else
-    ``score >= threshold``.  ``text_key`` is a hash of the text.
+    ``score >= threshold``.  ``text_key`` is a hash of the text.  ``buckets``
+    is ``buckets_for(docs)`` unless given; ``slots`` changes the way of the
+    ratios to the documents, not the result.
 
     Defined cases: null and empty texts have no words, score 0 and fail the
     base rules; a text of any length is read whole; a score that equals the
@@ -115,10 +182,13 @@ def quality_rules(
     ratio is that of the smoothing alone.  Extra columns are ignored; an
     empty table gives an empty result.
     """
-    if not 0 < buckets <= MAX_BUCKETS:
-        raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
+    buckets = buckets_for(docs, text_col) if buckets is None else buckets
+    if buckets < 1 or slots < 1:
+        raise ValueError("buckets and slots must be positive")
+    slots = min(slots, buckets)
     counts = cut_lineage(bucket_counts(docs, trusted, buckets, text_col, id_col))
     ratios = ratio_table(counts, buckets, smoothing)
+    held = cut_lineage(_in_slots(ratios, slots))
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     d = d.withColumns(
@@ -142,22 +212,14 @@ def quality_rules(
     d = d.withColumn("order", F.when(repeats, F.sort_array(placed)))
     d = d.withColumn("n_repeat_words", _repeated_words("order"))
     facts = ["id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = d.select(*facts, F.explode_outer(_ngrams(F.col("uni"), buckets)).alias("b"))
-    scored = (
-        grams.withColumn("bucket", F.col("b").cast("long"))
-        .join(F.broadcast(ratios), "bucket", "left")
-        .groupBy(*facts)
-        .agg(F.sum("micro").alias("sum"), F.count(F.lit(1)).alias("n"))
-    )
+    n = F.greatest(2 * F.col("n_words") - 1, F.lit(0)).alias("n")
+    grams = d.select(*facts, n, _ngrams(F.col("uni"), buckets).alias("grams"))
     # The narrow result is written once: a caller's filter must not be pushed into the chain of arrays above.
-    scored = cut_lineage(scored)
-    score = F.coalesce(F.col("sum") / (F.col("n") * MICRO), F.lit(0.0))
-    per_row = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+    scored = cut_lineage(_looked_up(grams, held, slots))
+    if slots < buckets:
+        scored = _joined_sums(scored, ratios)
+    score = F.coalesce(F.try_divide(F.col("sum"), F.col("n") * MICRO), F.lit(0.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = scored.withColumns({"base_failed": failed, "score": score}).withColumns(
-        {
-            "kept": ~F.col("base_failed") & (F.col("score") >= threshold),
-            "copy": F.explode(F.sequence(F.lit(1).cast("long"), (F.col("n") / per_row).cast("long"))),
-        }
-    )
-    return rows.drop("copy", "sum", "n").withColumnRenamed("id", id_col)
+    rows = scored.withColumns({"base_failed": failed, "score": score})
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    return rows.drop("sum", "n", "rare").withColumnRenamed("id", id_col)
