@@ -7,16 +7,15 @@ document's score is the mean over its n-grams of
 ``log p_target - log p_raw``.  Every document is held against the same
 threshold, so the verdict is deterministic.
 
-The buckets grow with the corpus, one to some ``OCTETS_PER_BUCKET`` octets of
-text, so that a bucket holds as many n-grams at every size.
+The buckets grow with the corpus, see ``buckets_for``.
 
 Everything is a built-in function.  The counting pass shuffles four bytes a
 word (bucket numbers, not texts) to meet the trusted ids.  In the scoring
-pass every document sums its own n-grams, with the ratios in an array of
-``SLOTS`` places, whatever the corpus: the place of a bucket is its number
-modulo ``SLOTS`` and holds the ratio of its most frequent bucket.  N-grams of
-other buckets, which there are only beyond ``SLOTS`` buckets, are counted per
-document and joined with their ratios.
+pass the ratios of frequent buckets are broadcast, those that hold at least
+one of ``HELD`` n-grams of the corpus each, so that there are never more than
+``HELD`` of them.  What lies in other buckets, which there are only where the
+corpus has more than ``HELD``, is counted per document and joined with its
+ratios: no key of that join holds more than one of ``HELD`` n-grams.
 """
 
 from __future__ import annotations
@@ -32,9 +31,8 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
 
 MIN_BUCKETS = 1 << 15
-OCTETS_PER_BUCKET = 1024
-SLOTS = 1 << 20  # places of the array that every task holds, eight bytes each
-MICRO_BITS = 27
+MIN_OCTETS = 1 << 25
+HELD = 1 << 20  # rows of the ratio table that are broadcast at most, 24 bytes each
 MICRO = 1_000_000  # ratios are summed as integers, in any order the same
 
 
@@ -43,9 +41,12 @@ def word_hashes(words: Column) -> Column:
 
 
 def buckets_for(docs: DataFrame, text_col: str = "text") -> int:
-    """A power of two: ``MIN_BUCKETS`` or the first with at most ``OCTETS_PER_BUCKET`` octets of text to a bucket."""
+    """A power of two: ``MIN_BUCKETS`` up to ``MIN_OCTETS`` octets of text, twice as many for every four times of that."""
     octets = docs.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("long")), F.lit(0))).first()[0]
-    return max(MIN_BUCKETS, 1 << max(-(-octets // OCTETS_PER_BUCKET) - 1, 0).bit_length())
+    buckets = MIN_BUCKETS
+    while buckets * buckets * MIN_OCTETS < octets * MIN_BUCKETS * MIN_BUCKETS:
+        buckets *= 2
+    return buckets
 
 
 def _number(buckets: int) -> str:
@@ -89,50 +90,16 @@ def ratio_table(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
     return counts.select("bucket", "n_raw", F.round(ratio * MICRO).cast("int").alias("micro"))
 
 
-def _in_slots(ratios: DataFrame, slots: int) -> DataFrame:
-    """One row with the array ``held``: for every slot its most frequent bucket and that one's ratio, in one long.
-
-    The bucket is -1 in empty slots; the ratio, which is below 64 in size, takes the last ``MICRO_BITS`` bits.
-    """
-    best = ratios.groupBy(F.pmod("bucket", F.lit(slots)).cast("int").alias("slot")).agg(
-        F.max_by(F.struct("bucket", "micro"), F.struct("n_raw", "bucket")).alias("own")
-    )
-    every = ratios.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    owner = F.coalesce(F.col("own.bucket").cast("long"), F.lit(-1).cast("long"))
-    both = every.join(best, "slot", "left").select(
-        "slot", (owner * (1 << MICRO_BITS) + F.coalesce("own.micro", F.lit(0)) + (1 << MICRO_BITS - 1)).alias("own")
-    )
-    return both.agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", "own"))), lambda x: x["own"]).alias("held"))
-
-
-def _looked_up(grams: DataFrame, held: DataFrame, slots: int) -> DataFrame:
-    """``grams`` (its column ``grams`` last) with ``sum``, of the ratios in slots, and ``rare``, the other buckets.
-
-    A subquery can't stand in a lambda, but a column that is used once is put
-    in its place by the optimizer: no row holds the array.  So every column
-    appears once in the second step.
-    """
-    rest = grams.columns[:-1]
-    beside = grams.select(*rest, "grams", held.scalar().alias("held"))
-    hits = F.transform("grams", lambda b: F.struct(b.alias("b"), F.get("held", F.pmod(b, F.lit(slots)).cast("int")).alias("own")))
-    looked = beside.select(*rest, hits.alias("hits"))
-    micro = lambda x: x["own"].bitwiseAND((1 << MICRO_BITS) - 1) - (1 << MICRO_BITS - 1)
-    found = lambda x: F.shiftright(x["own"], MICRO_BITS) == x["b"]
-    total = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + F.when(found(x), micro(x)).otherwise(0))
-    rare = F.transform(F.filter("hits", lambda x: ~found(x)), lambda x: x["b"])
-    return looked.select(*rest, total.alias("sum"), rare.alias("rare"))
-
-
-def _joined_sums(scored: DataFrame, ratios: DataFrame) -> DataFrame:
-    """``scored`` with ``sum`` increased by the ratios of the buckets in ``rare``; equal rows share their counts."""
-    rows = scored.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
-    rare = scored.select("id", "text_key", F.explode("rare").alias("bucket")).groupBy("id", "text_key", "bucket").agg(F.count(F.lit(1)).alias("m"))
-    more = rare.join(ratios.select("bucket", "micro"), "bucket").groupBy("id", "text_key").agg(F.sum(F.col("m") * F.col("micro")).alias("more"))
-    more = more.toDF("mid", "mkey", "more")
-    per = rows.join(more, rows["id"].eqNullSafe(more["mid"]) & (rows["text_key"] == more["mkey"]))
-    per = per.select("mid", "mkey", (F.col("more") / F.col("copies")).cast("long").alias("more"))
-    both = scored.join(per, scored["id"].eqNullSafe(per["mid"]) & (scored["text_key"] == per["mkey"]), "left")
-    return both.withColumn("sum", F.col("sum") + F.coalesce("more", F.lit(0))).drop("mid", "mkey", "more")
+def _joined_sums(grams: DataFrame, ratios: DataFrame, held: DataFrame) -> DataFrame:
+    """(``rid``, ``rkey``, ``more``): the ratios outside ``held`` that a row's n-grams sum to; equal rows share theirs."""
+    key = ["id", "text_key"]
+    copies = grams.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    rare = grams.select(*key, F.explode("grams").alias("bucket")).join(F.broadcast(held.select("bucket")), "bucket", "left_anti")
+    rare = rare.groupBy(*key, "bucket").agg(F.count(F.lit(1)).alias("m"))
+    sums = rare.join(ratios.select("bucket", "micro").hint("merge"), "bucket").groupBy(*key).agg(F.sum(F.col("m") * F.col("micro")).alias("all"))
+    sums = sums.toDF("rid", "rkey", "all")
+    both = sums.join(copies, sums["rid"].eqNullSafe(copies["id"]) & (sums["rkey"] == copies["text_key"]))
+    return both.select("rid", "rkey", F.expr("all div copies").alias("more"))
 
 
 def _windows(hashes: str) -> Column:
@@ -162,7 +129,7 @@ def quality_rules(
     buckets: int | None = None,
     smoothing: float = 1.0,
     threshold: float = -0.1,
-    slots: int = SLOTS,
+    most_held: int = HELD,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``text_key``, base counts, ``base_failed``, ``score``, ``kept``.
 
@@ -172,8 +139,8 @@ def quality_rules(
     line, ``n_repeat_words`` words in three-word windows that the text has
     twice or more.  ``kept`` is false where the base rules fail and else
     ``score >= threshold``.  ``text_key`` is a hash of the text.  ``buckets``
-    is ``buckets_for(docs)`` unless given; ``slots`` changes the way of the
-    ratios to the documents, not the result.
+    is ``buckets_for(docs)`` unless given; ``most_held`` changes the way of
+    the ratios to the documents, not the result.
 
     Defined cases: null and empty texts have no words, score 0 and fail the
     base rules; a text of any length is read whole; a score that equals the
@@ -183,12 +150,12 @@ def quality_rules(
     empty table gives an empty result.
     """
     buckets = buckets_for(docs, text_col) if buckets is None else buckets
-    if buckets < 1 or slots < 1:
-        raise ValueError("buckets and slots must be positive")
-    slots = min(slots, buckets)
+    if buckets < 1 or most_held < 1:
+        raise ValueError("buckets and most_held must be positive")
     counts = cut_lineage(bucket_counts(docs, trusted, buckets, text_col, id_col))
     ratios = ratio_table(counts, buckets, smoothing)
-    held = cut_lineage(_in_slots(ratios, slots))
+    every = counts.agg(F.sum("n_raw").alias("n")).scalar()
+    held = ratios if buckets <= most_held else ratios.where(F.col("n_raw") * most_held >= every)
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     d = d.withColumns(
@@ -212,14 +179,27 @@ def quality_rules(
     d = d.withColumn("order", F.when(repeats, F.sort_array(placed)))
     d = d.withColumn("n_repeat_words", _repeated_words("order"))
     facts = ["id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    n = F.greatest(2 * F.col("n_words") - 1, F.lit(0)).alias("n")
-    grams = d.select(*facts, n, _ngrams(F.col("uni"), buckets).alias("grams"))
+    grams = d.select(*facts, F.explode_outer(_ngrams(F.col("uni"), buckets)).alias("bucket"))
+    scored = (
+        grams.join(F.broadcast(held.select("bucket", "micro")), "bucket", "left")
+        .groupBy(*facts)
+        .agg(F.coalesce(F.sum("micro"), F.lit(0)).alias("sum"), F.count(F.lit(1)).alias("n"))
+    )
     # The narrow result is written once: a caller's filter must not be pushed into the chain of arrays above.
-    scored = cut_lineage(_looked_up(grams, held, slots))
-    if slots < buckets:
-        scored = _joined_sums(scored, ratios)
-    score = F.coalesce(F.try_divide(F.col("sum"), F.col("n") * MICRO), F.lit(0.0))
+    scored = cut_lineage(scored)
+    per_row = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+    scored = scored.withColumn("copies", (F.col("n") / per_row).cast("long"))
+    if buckets > most_held:
+        every_gram = d.select("id", "text_key", _ngrams(F.col("uni"), buckets).alias("grams"))
+        more = _joined_sums(every_gram, ratios, held)
+        scored = scored.join(more, scored["id"].eqNullSafe(more["rid"]) & (scored["text_key"] == more["rkey"]), "left")
+        scored = scored.withColumn("sum", F.col("sum") + F.col("copies") * F.coalesce("more", F.lit(0))).drop("rid", "rkey", "more")
+    score = F.coalesce(F.col("sum") / (F.col("n") * MICRO), F.lit(0.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = scored.withColumns({"base_failed": failed, "score": score})
-    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return rows.drop("sum", "n", "rare").withColumnRenamed("id", id_col)
+    rows = scored.withColumns({"base_failed": failed, "score": score}).withColumns(
+        {
+            "kept": ~F.col("base_failed") & (F.col("score") >= threshold),
+            "copy": F.explode(F.sequence(F.lit(1).cast("long"), "copies")),
+        }
+    )
+    return rows.drop("copy", "copies", "sum", "n").withColumnRenamed("id", id_col)

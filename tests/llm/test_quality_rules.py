@@ -3,9 +3,10 @@ import math
 import struct
 
 import xxhash
+from pyspark.sql import functions as F
 
 from playlens.llm.queries import QUERIES
-from playlens.llm.quality_rules import _in_slots, _looked_up, buckets_for, quality_rules
+from playlens.llm.quality_rules import buckets_for, quality_rules
 from tests.llm.helpers import SF, clashing, docs, real_docs, rows_of, words
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -94,15 +95,15 @@ def test_edges(spark):
     assert rows_of(quality_rules(docs(spark, rows), trusted, buckets=7), "doc_id", *BASE, "base_failed") == got
 
 
-def test_buckets_without_a_slot_are_joined(spark):
-    """Few slots leave most buckets to the join; the scores are those of brute force, repeated rows and null ids too."""
+def test_rare_buckets_are_joined(spark):
+    """Few held ratios leave most buckets to the join; the scores are those of brute force, repeated rows and null ids too."""
     texts = [(r["doc_id"], r["text"]) for r in real_docs(spark).limit(60).collect()]
     texts += [texts[0], texts[0], (None, texts[1][1]), (None, None), (9_999_999, "")]
     trusted = spark.createDataFrame([(i,) for i, _ in texts[:20]], "doc_id long")
     ids = {i for i, _ in texts[:20]}
-    for buckets, slots in ((1 << 12, 16), (1000, 7), (1 << 33, 64)):
+    for buckets, most_held in ((1 << 12, 16), (1000, 7), (1 << 33, 64)):
         want = sorted((str(i), t or "", round(s, 5)) for (i, t), s in zip(texts, brute_scores(texts, ids, buckets, 1.0)))
-        out = quality_rules(docs(spark, texts), trusted, buckets=buckets, slots=slots)
+        out = quality_rules(docs(spark, texts), trusted, buckets=buckets, most_held=most_held)
         keys = {signed(xxhash.xxh64_intdigest((t or "").encode(), 42)): t or "" for _, t in texts}
         got = sorted((str(r["doc_id"]), keys[r["text_key"]], r["score"]) for r in out.collect())
         assert [g[:2] for g in got] == [w[:2] for w in want]
@@ -111,9 +112,11 @@ def test_buckets_without_a_slot_are_joined(spark):
 
 def test_buckets_follow_the_corpus(spark):
     def count(n):
-        return buckets_for(docs(spark, [(1, "x" * (n // 2)), (2, "y" * (n - n // 2)), (3, None)]))
+        mebi, rest = divmod(n, 1 << 20)
+        texts = spark.range(mebi).select(F.expr("repeat(chr(65 + id % 9), 1048576)").alias("text"))
+        return buckets_for(texts.union(spark.createDataFrame([("x" * rest,), (None,)], "text string")))
 
-    assert [count(n) for n in (0, 1 << 25, (1 << 25) + 1, 1 << 26, 3 << 25)] == [1 << 15, 1 << 15, 1 << 16, 1 << 16, 1 << 17]
+    assert [count(n) for n in (0, 1 << 25, (1 << 25) + 1, 1 << 27, (1 << 27) + 1)] == [1 << 15, 1 << 15, 1 << 16, 1 << 16, 1 << 17]
     assert buckets_for(docs(spark, [])) == 1 << 15
 
 
@@ -122,14 +125,3 @@ def test_empty_tables(spark):
     assert quality_rules(docs(spark, []), none).count() == 0
     row = quality_rules(docs(spark, [(1, "word " * 80)]), none).first()
     assert row["n_words"] == 80 and row["base_failed"] and not row["kept"]
-
-
-def test_no_row_holds_the_array_of_ratios(spark):
-    """The array stands as a subquery inside the lookups, in no column of its own."""
-    grams = spark.createDataFrame([(1, [0, 1, 2]), (2, [])], "id long, grams array<int>")
-    ratios = spark.createDataFrame([(0, 9, 5), (1, 3, -7), (2, 1, 11)], "bucket int, n_raw long, micro int")
-    out = _looked_up(grams, _in_slots(ratios, 2), 2)
-    assert [(r["id"], r["sum"], r["rare"]) for r in out.orderBy("id").collect()] == [(1, -2, [2]), (2, 0, [])]
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "scalar-subquery" in plan and " AS held" not in plan.split("scalar-subquery")[0]
-    assert all("transform" in line for line in plan.splitlines() if "scalar-subquery" in line and "Project" in line)
