@@ -93,8 +93,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for a written intermediate table next to the checkpoints."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A path for a written intermediate table next to the checkpoints, in a folder that goes with the driver's JVM."""
+    folder = os.path.join(ensure_checkpoint_dir(spark), "scratch")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return os.path.join(folder, name)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -1,5 +1,9 @@
 """Checkpoint-folder rules, and raw-share / split edge semantics on table F4."""
 
+import subprocess
+import sys
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +39,23 @@ class _Session:
         self.sparkContext = _Context(master, conf)
 
 
+def test_scratch_tables_go_with_the_session(tmp_path):
+    """A written table can be read again while the session lives, and is gone after it; its neighbours stay."""
+    code = f"""
+from playlens.session import build_session, scratch_path
+spark = build_session("local[2]", driver_memory="1g", checkpoint_dir="{tmp_path}")
+path = scratch_path(spark, "t")
+spark.range(5).write.parquet(path)
+print(spark.read.parquet(path).count(), scratch_path(spark, "u").rsplit("/", 1)[0] == path.rsplit("/", 1)[0])
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["5", "True"], done.stderr
+    deadline = time.monotonic() + 30
+    while list(tmp_path.rglob("*.parquet")) and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not list(tmp_path.rglob("*.parquet")) and tmp_path.exists()
+
+
 def test_configured_checkpoint_dir_is_used():
     s = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
     assert ensure_checkpoint_dir(s) == "hdfs:///shared/ckpt"
