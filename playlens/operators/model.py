@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.stat import Summarizer
@@ -136,6 +138,77 @@ def _norm(vector) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
+#: Factors that a task of the certificate holds at most, for each side.
+BLOCK_BYTES = 32 << 20
+#: Ratings whose terms are computed at a time.
+SLICE_RATINGS = 1 << 14
+
+_SUMS = "user int, found long, size double, sum array<double>"
+
+
+def _sums_of_block(ratings: pa.Table, factors: pa.Table) -> pa.Table:
+    """Per user: number of ratings, the sum of their terms and of the terms' lengths."""
+    side, ids = factors["side"].to_numpy(), factors["id"].to_numpy()
+    column = factors["features"].combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    matrix = flat.reshape(len(column), len(flat) // max(1, len(column)))
+    order = np.lexsort((ids, side))
+    n_users = int(np.count_nonzero(side == 0))
+    at_user, at_item = order[:n_users], order[n_users:]
+
+    def places(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        known = ids[rows]
+        at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+        return np.where(known[at] == values, at, -1) if len(known) else np.full(len(values), -1)
+
+    u, v = places(ratings["user"].to_numpy(), at_user), places(ratings["item"].to_numpy(), at_item)
+    both = np.flatnonzero((u >= 0) & (v >= 0))
+    both = both[np.argsort(u[both], kind="stable")]
+    u, v, r = u[both], v[both], ratings["r"].to_numpy(zero_copy_only=False)[both]
+    total, size = np.zeros((n_users, matrix.shape[1])), np.zeros(n_users)
+    for i in range(0, len(u), SLICE_RATINGS):
+        s = slice(i, i + SLICE_RATINGS)
+        items = matrix[at_item[v[s]]].astype(np.float64)
+        told = np.einsum("ij,ij->i", items, matrix[at_user[u[s]]].astype(np.float64))
+        first = np.flatnonzero(np.diff(u[s], prepend=-1))
+        lengths = np.sqrt(np.einsum("ij,ij->i", items, items)) * (np.abs(told) + np.abs(r[s]))
+        total[u[s][first]] += np.add.reduceat(items * (told - r[s])[:, None], first)
+        size[u[s][first]] += np.add.reduceat(lengths, first)
+    found = np.bincount(u, minlength=n_users)
+    use = np.flatnonzero(found)
+    starts = np.arange(len(use) + 1, dtype=np.int32) * total.shape[1]
+    return pa.table(
+        {
+            "user": pa.array(ids[at_user[use]], type=pa.int32()),
+            "found": pa.array(found[use], type=pa.int64()),
+            "size": pa.array(size[use], type=pa.float64()),
+            "sum": pa.ListArray.from_arrays(starts, pa.array(total[use].ravel(), type=pa.float64())),
+        }
+    )
+
+
+def _normal_sums(user_factors: DataFrame, item_factors: DataFrame, ratings: DataFrame) -> DataFrame:
+    """``_SUMS`` rows for the ``(user, item, r)`` of ``ratings`` with factors on both sides; a heavy user has several."""
+    known = ratings.where("user IS NOT NULL AND item IS NOT NULL")
+    rank = item_factors.select(F.size("features").alias("n")).first()
+    block = max(1, BLOCK_BYTES // (4 * (rank["n"] if rank else 1)))
+    per_user = known.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    blocks = max(1, -(-known.count() // block))
+    # Fewer than ``blocks`` users hold more than a block's ratings each.
+    heavy = per_user.where(F.col("n") > block).select("user", F.ceil(F.col("n") / block).alias("parts"))
+    salt = F.pmod(F.xxhash64("item"), F.coalesce("parts", F.lit(1)))
+    a = F.pmod(F.xxhash64("user", salt), F.lit(blocks)).cast("int").alias("a")
+    dealt = known.join(F.broadcast(heavy), "user", "left").select("user", "item", "r", a)
+
+    def wanted(factors: DataFrame, col: str, side: int) -> DataFrame:
+        ids = dealt.select(F.col(col).alias("id"), "a").distinct()
+        held = ids.join(factors.where("features IS NOT NULL"), "id").select("a", F.lit(side), "id", "features")
+        return held.toDF("to", "side", "id", "features")
+
+    factors = wanted(user_factors, "user", 0).unionAll(wanted(item_factors, "item", 1))
+    return dealt.groupBy("a").cogroup(factors.groupBy("to")).applyInArrow(_sums_of_block, _SUMS)
+
+
 #: How far the user factors may be from solving their equations, relative to the size of the terms: they are floats.
 CERTIFICATE_TOLERANCE = 1e-5
 
@@ -159,23 +232,19 @@ def als_certificate(
     ``solved`` tells whether it is at most ``tolerance``.  A user without
     factors, or with an item without, is not solved (its residual is NULL).
 
-    Joins and one aggregation of vectors with map-side combine; a user's
-    equations are never built.
+    The ratings are dealt to blocks of users.  Factors travel once to every
+    block that rates with them, so what is shuffled grows with the ratings
+    and never exceeds one vector for each; a task holds the factors of
+    ``BLOCK_BYTES / (4 rank)`` ratings.  Users with more ratings than that
+    are dealt to several blocks, whose sums are added.
     """
     ratings = als_input(train, user_col, item_col, rating_col).select(
         user_col, item_col, F.col(rating_col).cast("float").cast("double").alias("_r")
     )
     users = user_factors.select(F.col("id").alias(user_col), F.col("features").alias("_uf"))
-    told = predict_factors(user_factors, item_factors, ratings, user_col, item_col)
-    items = item_factors.select(F.col("id").alias(item_col), F.col("features").alias("_if"))
-    error = F.col("prediction") - F.col("_r")
-    terms = told.join(items, item_col).select(
-        user_col,
-        array_to_vector(F.transform("_if", lambda x: x.cast("double") * error)).alias("_term"),
-        (_norm("_if") * (F.abs("prediction") + F.abs("_r"))).alias("_size"),
-    )
-    sums = terms.groupBy(user_col).agg(
-        Summarizer.sum(F.col("_term")).alias("_sum"), F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_found")
+    partial = _normal_sums(user_factors, item_factors, ratings.toDF("user", "item", "r"))
+    sums = partial.groupBy(F.col("user").alias(user_col)).agg(
+        Summarizer.sum(array_to_vector("sum")).alias("_sum"), F.sum("size").alias("_size"), F.sum("found").alias("_found")
     )
     counts = ratings.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_ratings"))
     weight = F.lit(float(reg_param)) * F.col("n_ratings")

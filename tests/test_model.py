@@ -251,3 +251,34 @@ def test_grid_goes_on_after_a_lost_driver(spark, sets, tmp_path, monkeypatch):
     fits.clear()
     grid_search(sets[0].where("user_id <> 1"), sets[1], store=str(tmp_path / "store"), **{**args, "ranks": (2,)})
     assert len(fits) == 2  # other data, other models
+
+
+def test_certificate_in_blocks_equals_the_equations(spark, monkeypatch):
+    """Small blocks, a user heavier than a block, repeated ratings and missing factors."""
+    import numpy as np
+
+    from playlens.operators import model as M
+
+    rng = np.random.default_rng(2)
+    items, users = (rng.normal(size=(n, 3)).astype(np.float32) for n in (40, 12))
+    rated = [(u, int(i), float(rng.random())) for u in range(12) for i in rng.integers(0, 40, size=200 if u == 4 else 9)] + [(1, 2, 0.5)] * 3
+    reg, want = 0.5, {}
+    for u in range(12):
+        mine = [(i, np.float32(r)) for v, i, r in rated if v == u]
+        v, r = items[[i for i, _ in mine]].astype(float), np.array([r for _, r in mine], dtype=float)
+        if u == 7:  # solved to the last bits of its floats
+            users[u] = np.linalg.solve(v.T @ v + reg * len(r) * np.eye(3), v.T @ r)
+        told = v @ users[u].astype(float)
+        size = (np.linalg.norm(v, axis=1) * (abs(told) + abs(r))).sum() + reg * len(r) * np.linalg.norm(users[u].astype(float))
+        want[u] = (len(r), np.linalg.norm(v.T @ (told - r) + reg * len(r) * users[u].astype(float)) / size)
+    frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<float>")
+    train = spark.createDataFrame(rated + [(50, 1, 1.0), (7, 99, 1.0)], "user_id int, track_new_id int, normalized_ranking double")
+    for size in (M.BLOCK_BYTES, 12 * 25):  # 25 ratings to a block
+        monkeypatch.setattr(M, "BLOCK_BYTES", size)
+        told = lambda t: {r.user_id: (r.n_ratings, r.residual, r.solved) for r in M.als_certificate(frame(users), frame(items), t, reg).collect()}
+        got = told(train.where("track_new_id <> 99"))
+        assert got.pop(50) == (1, None, False)
+        assert {u: v[0] for u, v in got.items()} == {u: v[0] for u, v in want.items()}
+        assert {u: v[1] for u, v in got.items()} == pytest.approx({u: v[1] for u, v in want.items()}, rel=1e-6, abs=1e-7)
+        assert [u for u, v in got.items() if v[2]] == [7]
+        assert told(train)[7] == (10, None, False)  # an item without factors
