@@ -85,6 +85,17 @@ def test_streams_are_cut_at_the_quota(spark):
         assert all(full[e] == n for e in range(max(full)))
 
 
+def test_query_repeats_rare_sources(spark):
+    """The sources of the table differ 3 times, so the limit must let the rarest be used nearly twice."""
+    rows = QUERIES["op4_temperature_mixing"](spark, SF).collect()
+    total, tokens = collections.Counter(), collections.Counter()
+    for r in real_docs(spark).collect():
+        total[r["source"]] += len(words(r["text"])) + 1
+    for r in rows:
+        tokens[r["source"]] += r["n_tokens"]
+    assert max(tokens[s] / total[s] for s in total) > 1.8
+
+
 def test_query(spark):
     texts = {r["doc_id"]: (r["text"], r["source"]) for r in real_docs(spark).collect()}
     rows = QUERIES["op4_temperature_mixing"](spark, SF).collect()
