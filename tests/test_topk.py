@@ -127,3 +127,9 @@ def test_blocks_of_lists_stay_few_and_bounded():
     assert strips <= 6 and PAIRS <= parts * strips <= 2 * PAIRS
     assert 900_000 * 400 / parts <= BLOCK_BYTES and 360_000 * 400 / strips <= BLOCK_BYTES
     assert pairs_of_blocks(0, 0, 400, 800) == (1, 1)
+
+
+def test_ties_of_a_block_go_by_name():
+    """Blocks come in the order of their need, so columns are no longer in the order of the names."""
+    rows, cols = best_of_block(np.array([[2.0, 2.0, 2.0, 1.0]]), np.array([-np.inf]), 2, np.array([9, 4, 7, 1]))
+    assert rows.tolist() == [0, 0] and cols.tolist() == [1, 2]
