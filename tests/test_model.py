@@ -282,3 +282,37 @@ def test_certificate_in_blocks_equals_the_equations(spark, monkeypatch):
         assert {u: v[1] for u, v in got.items()} == pytest.approx({u: v[1] for u, v in want.items()}, rel=1e-6, abs=1e-7)
         assert [u for u, v in got.items() if v[2]] == [7]
         assert told(train)[7] == (10, None, False)  # an item without factors
+
+
+def _close(found, expected):
+    assert [i for i, _ in found] == [i for i, _ in expected] and found
+    for (_, a), (_, b) in zip(found, expected):
+        assert a == pytest.approx(b, rel=1e-4, abs=1e-5)
+
+
+def test_factors_are_those_of_mllib(spark, monkeypatch):
+    """Users with few and many ratings, repeated pairs, and a heavy item and user whose ratings lie in several blocks."""
+    from playlens.operators import als, model as module
+
+    rows = [(u, i, float((u * 7 + i * 3) % 11)) for u in range(60) for i in range(25) if (u * i) % 3 == 0 or u == 7]
+    rows += [(u, 99, float(u % 5)) for u in range(900)] + [(7, 100 + i, 2.0) for i in range(700)] + rows[:40]
+    df = spark.createDataFrame(rows, "user_id int, track_new_id int, normalized_ranking double")
+    monkeypatch.setattr(module, "LARGE_FIT", 0)
+    monkeypatch.setattr(als, "SMALLEST_BLOCK", 700)
+    made = []
+
+    class Step(als.HalfStep):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append((self.n_heavy, self.n_light))
+
+    monkeypatch.setattr(module, "HalfStep", Step)
+    params = dict(rank=8, max_iter=2, reg_param=0.1, seed=3)
+    ours, theirs = fit_als(df, **params), make_als(**params).fit(df)
+    assert [heavy for heavy, _ in made] == [1, 1] and all(light > 1 for _, light in made)
+    assert (ours.rank, ours.getUserCol(), ours.getItemCol()) == (8, "user_id", "track_new_id")
+    for a, b in ((ours.userFactors, theirs.userFactors), (ours.itemFactors, theirs.itemFactors)):
+        a, b = (sorted((r.id, tuple(r.features)) for r in df.collect()) for df in (a, b))
+        assert [i for i, _ in a] == [i for i, _ in b]
+        for (_, x), (_, y) in zip(a, b):
+            assert x == pytest.approx(y, rel=1e-4, abs=1e-5)
