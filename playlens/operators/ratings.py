@@ -43,7 +43,8 @@ def user_totals(counts: DataFrame, user_col: str = "user_id") -> DataFrame:
     )
 
 
-def _with_totals(plays: DataFrame, user_col: str, item_col: str) -> DataFrame:
+def play_totals(plays: DataFrame, user_col: str = "user_id", item_col: str = "track_new_id") -> DataFrame:
+    """``(user, item, count_pop, count_total, min_pop, max_pop)``: what shares and all min-max scores follow from."""
     counts = play_counts(plays, user_col, item_col)
     totals = user_totals(counts, user_col).withColumnRenamed(user_col, "_user")
     # Null-safe: plays of a NULL user form their own group, as in SQL windows.
@@ -52,7 +53,12 @@ def _with_totals(plays: DataFrame, user_col: str, item_col: str) -> DataFrame:
 
 def play_share(plays: DataFrame, user_col: str = "user_id", item_col: str = "track_new_id") -> DataFrame:
     """``(user, item, count_pop, count_total, ranking)``, one row per pair."""
-    return _with_totals(plays, user_col, item_col).select(
+    return share_of_totals(play_totals(plays, user_col, item_col), user_col, item_col)
+
+
+def share_of_totals(totals: DataFrame, user_col: str = "user_id", item_col: str = "track_new_id") -> DataFrame:
+    """``play_share`` of a table that ``play_totals`` gave."""
+    return totals.select(
         user_col,
         item_col,
         "count_pop",
@@ -75,14 +81,27 @@ def minmax_score(
     played items); other modes keep them here and leave the decision to
     the split.  Min and max are taken before NULL rows are removed.
     """
-    if zeros not in ZERO_MODES:
-        raise ValueError(f"zeros must be one of {ZERO_MODES}")
     # NULL users only form their own group, so they can go before the
     # aggregation.  The other NULL conditions are folded into the score
     # (a CASE the optimizer does not push below the join), so both sides
     # of the pairs/totals join keep one identical subtree and the scan,
     # re-key join and pair aggregation run once (exchange reuse).
-    t = _with_totals(plays.where(F.col(user_col).isNotNull()), user_col, item_col)
+    totals = play_totals(plays.where(F.col(user_col).isNotNull()), user_col, item_col)
+    return minmax_of_totals(totals, scale, zeros, user_col, item_col, score_col)
+
+
+def minmax_of_totals(
+    totals: DataFrame,
+    scale: float = 100.0,
+    zeros: str = "keep",
+    user_col: str = "user_id",
+    item_col: str = "track_new_id",
+    score_col: str = "normalized_ranking",
+) -> DataFrame:
+    """``minmax_score`` of a table that ``play_totals`` gave: a projection and a filter, so variants share the table."""
+    if zeros not in ZERO_MODES:
+        raise ValueError(f"zeros must be one of {ZERO_MODES}")
+    t = totals.where(F.col(user_col).isNotNull())
     ranking = safe_ratio("count_pop", "count_total")
     lo = safe_ratio("min_pop", "count_total")
     hi = safe_ratio("max_pop", "count_total")

@@ -77,3 +77,19 @@ def test_fitted_scaler_on_unseen_rows(spark):
     with pytest.raises(ValueError):
         apply_scaler(rows, fitted, outside="wrap")
     assert apply_scaler(rows, fit_scaler(train.where("false"))).where("normalized_ranking IS NOT NULL").count() == 0
+
+
+def test_score_variants_share_one_aggregation_of_the_plays(spark, monkeypatch):
+    import __spark_entry__ as E
+    from playlens.operators.ratings import minmax_score, play_share
+
+    rows = [(1, "a", 1), (1, "a", 1), (1, "b", 2), (1, "c", None), (2, "a", 1), (2, "b", 2), (2, "b", 2), (3, "c", None), (None, "a", 1)]
+    plays = spark.createDataFrame(rows, "user_id int, recording_msid string, track_new_id int")
+    calls = []
+    monkeypatch.setattr(E, "_rekeyed", lambda *given: calls.append(given) or plays)
+    told = lambda df: sorted(map(str, df.collect()))
+    where = "made-up rows of test_ratings"
+    for scale, zeros in ((100.0, "keep"), (10.0, "keep"), (100.0, "drop_before")):
+        assert told(E._scored(spark, where, scale, zeros)) == told(minmax_score(plays, scale=scale, zeros=zeros))
+    assert told(E._shares(spark, where)) == told(play_share(plays).select("user_id", "track_new_id", "ranking"))
+    assert len(calls) == 1
