@@ -316,3 +316,25 @@ def test_factors_are_those_of_mllib(spark, monkeypatch):
         assert [i for i, _ in a] == [i for i, _ in b]
         for (_, x), (_, y) in zip(a, b):
             assert x == pytest.approx(y, rel=1e-4, abs=1e-5)
+
+
+def test_a_half_step_leaves_no_shuffle_files(spark, tmp_path):
+    from glob import glob
+
+    from playlens.operators.als import HalfStep
+    from playlens.session import CLEANUP
+
+    rows = [(t, s, float((t * 7 + s) % 5)) for t in range(60) for s in range(30) if (t * s) % 3 == 0]
+    step = HalfStep(spark.createDataFrame(rows, "target int, source int, r float"), 4, 0.1)
+    factors = spark.createDataFrame([(i, [float(i % k) for k in (2, 3, 5, 7)]) for i in range(30)], "id int, features array<float>")
+    jvm = spark._jvm
+    folder = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folder for f in glob(f"{d}/*/shuffle_*")}
+    before = spark.conf.get(CLEANUP)
+    first = step.solve(factors, f"{tmp_path}/first", f"{tmp_path}/sums")
+    kept = files()
+    again = step.solve(factors, f"{tmp_path}/again", f"{tmp_path}/sums")
+    assert files() <= kept
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect())) and first.count() == 60
+    assert spark.conf.get(CLEANUP) == before
+    step.release()
