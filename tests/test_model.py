@@ -325,16 +325,53 @@ def test_a_half_step_leaves_no_shuffle_files(spark, tmp_path):
     from playlens.session import CLEANUP
 
     rows = [(t, s, float((t * 7 + s) % 5)) for t in range(60) for s in range(30) if (t * s) % 3 == 0]
-    step = HalfStep(spark.createDataFrame(rows, "target int, source int, r float"), 4, 0.1)
+    step = HalfStep(spark.createDataFrame(rows, "target int, source int, r float"), 4)
     factors = spark.createDataFrame([(i, [float(i % k) for k in (2, 3, 5, 7)]) for i in range(30)], "id int, features array<float>")
     jvm = spark._jvm
     folder = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     files = lambda: {f for d in folder for f in glob(f"{d}/*/shuffle_*")}
     before = spark.conf.get(CLEANUP)
-    first = step.solve(factors, f"{tmp_path}/first", f"{tmp_path}/sums")
+    first = step.solve(factors, 0.1, f"{tmp_path}/first", f"{tmp_path}/sums")
     kept = files()
-    again = step.solve(factors, f"{tmp_path}/again", f"{tmp_path}/sums")
+    again = step.solve(factors, 0.1, f"{tmp_path}/again", f"{tmp_path}/sums")
     assert files() <= kept
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect())) and first.count() == 60
     assert spark.conf.get(CLEANUP) == before
     step.release()
+
+
+def test_a_search_deals_the_ratings_of_a_rank_once(spark, monkeypatch):
+    """Six fits, two ranks: starting factors twice, dealt ratings twice a side; models as of separate fits."""
+    from pyspark.ml.recommendation import ALS
+
+    from playlens.operators import model as module
+    from playlens.plans import search
+
+    rows = [(u, i, float((u * 7 + i * 3) % 11)) for u in range(40) for i in range(25) if (u * i) % 3 == 0]
+    train = spark.createDataFrame(rows, "user_id int, track_new_id int, normalized_ranking double")
+    validation = train.where("(user_id + track_new_id) % 4 = 0")
+    monkeypatch.setattr(module, "LARGE_FIT", 0)
+    dealt, begun, models = [], [], {}
+
+    class Step(module.HalfStep):
+        def __init__(self, *args):
+            super().__init__(*args)
+            dealt.append(self.rank)
+
+    def keeping(train, **params):
+        models[params["reg_param"], params["rank"]] = found = fit_als(train, **params)
+        return found
+
+    def counting(als, *args, **params):
+        begun.append(als.getRank())
+        return fit(als, *args, **params)
+
+    fit = ALS.fit
+    monkeypatch.setattr(module, "HalfStep", Step)
+    monkeypatch.setattr(ALS, "fit", counting)
+    monkeypatch.setattr(search, "fit_als", keeping)
+    args = dict(reg_params=(0.1, 1.0, 10.0), ranks=(2, 3), alphas=(1.0,), k=5, max_iter=2, seed=3, parallelism=3)
+    assert grid_search(train, validation, **args).count() == 6
+    assert sorted(dealt) == [2, 2, 3, 3] and sorted(begun) == [2, 3]
+    for (reg, rank), found in models.items():
+        assert _factors(found) == _factors(fit_als(train, reg_param=reg, rank=rank, max_iter=2, seed=3))
