@@ -223,6 +223,17 @@ def test_list_check_sees_swapped_missing_and_repeated_rows(spark, model, side_of
     assert not any(f[3] for f in flags(worst).values())
 
 
+def test_every_list_of_the_model_is_checked(spark, sf_small):
+    import __spark_entry__ as E
+
+    fitted = E._model(spark, sf_small)
+    sides = {"user_id": (E.q_als_lists_exact_items, fitted.userFactors), "track_new_id": (E.q_als_lists_exact_users, fitted.itemFactors)}
+    for owner, (query, factors) in sides.items():
+        told = query(spark, sf_small).collect()
+        assert sorted(r[owner] for r in told) == sorted(r.id for r in factors.collect())
+        assert all(r.own_ratings and r.best_ratings and r.no_repeats for r in told)
+
+
 def test_grid_goes_on_after_a_lost_driver(spark, sets, tmp_path, monkeypatch):
     """Two models are committed, the third fit fails; the second search fits the rest only."""
     from playlens.plans import search
