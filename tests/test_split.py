@@ -156,3 +156,24 @@ def test_laws_see_a_lost_a_doubled_and_a_shared_row(spark):
     assert tuple(split_laws(given.where("a > 9"), label([])).first()) == (0, 0, 0)
     left = multiset_difference(given, label(good[:3]).drop("dataset"))
     assert sorted(map(tuple, left.collect()), key=str) == [(2, None, 1), (3, 3, 1)]
+
+
+def test_the_laws_of_the_splits_leave_no_shuffle_files(spark, sf_small):
+    import time
+    from glob import glob
+
+    import __spark_entry__ as E
+
+    E._totals(spark, sf_small).count()
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folder for f in glob(f"{d}/*/shuffle_*")}
+    kept = files()
+    laws = E.q_split_laws(spark, sf_small).collect()
+    assert sorted(r.variant for r in laws) == sorted(
+        ["ordered_80", "by_score_80", "hash_70", "zero_after", "raw_share", "rows_80", "duplicates"]
+    )
+    assert all(r.n_rows > 0 and r.n_different == r.n_overlap == 0 for r in laws)
+    end = time.time() + 10
+    while files() - kept and time.time() < end:
+        time.sleep(0.2)
+    assert files() <= kept
