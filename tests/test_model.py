@@ -223,6 +223,37 @@ def test_list_check_sees_swapped_missing_and_repeated_rows(spark, model, side_of
     assert not any(f[3] for f in flags(worst).values())
 
 
+def test_list_check_in_waves_tells_the_same(spark, model, monkeypatch):
+    from playlens import session
+    from playlens.operators import listcheck
+
+    lists = recommend_items(model, 10).where("NOT (user_id % 5 = 0 AND pos = 3)")
+    told = lambda: sorted(map(tuple, check_lists(lists, model.userFactors, model.itemFactors, 10).collect()))
+    whole = told()
+    monkeypatch.setattr(session, "WAVE_BYTES", 1 << 14)
+    assert listcheck.waves_of_owners(model.userFactors.count(), model.itemFactors.count(), 10, 8) > 1
+    assert told() == whole and {r[1] for r in whole} == {9, 10}
+
+
+def test_a_half_step_in_waves_gives_the_same_factors(spark, tmp_path, monkeypatch):
+    from playlens import session
+    from playlens.operators import als
+
+    rows = [(t, s, float((t * 7 + s) % 5)) for t in range(400) for s in range(40) if (t * s) % 3 == 0 or t == 5]
+    ratings = spark.createDataFrame(rows, "target int, source int, r float")
+    factors = spark.createDataFrame([(i, [float((i * k) % 7) for k in (2, 3)]) for i in range(40)], "id int, features array<float>")
+    monkeypatch.setattr(als, "SMALLEST_BLOCK", 700)
+    for given in (ratings, ratings.selectExpr("source AS target", "target AS source", "r")):  # without heavy targets, and with them
+        sources = factors if given is ratings else spark.range(400).selectExpr("CAST(id AS INT) AS id", "array(CAST(id % 7 AS FLOAT), CAST(id % 5 AS FLOAT)) AS features")
+        found = []
+        for size in (4 << 30, 600):
+            monkeypatch.setattr(session, "WAVE_BYTES", size)
+            step = als.HalfStep(given, 2)
+            found.append((step.waves, step.n_heavy, sorted(map(tuple, step.solve(sources, 0.1, f"{tmp_path}/f", f"{tmp_path}/s").collect()))))
+            step.release()
+        assert found[0][0] == 1 < found[1][0] and found[0][1:] == found[1][1:] and len(found[0][2]) == given.select("target").distinct().count()
+
+
 def test_every_list_of_the_model_is_checked(spark, sf_small):
     import __spark_entry__ as E
 

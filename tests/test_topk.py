@@ -119,6 +119,43 @@ def test_lists_of_a_model_meet_few_large_blocks(spark, monkeypatch):
     assert L.best_lists(frame(owners, bad), frame(others[:0], []), 12, 7, "a", "b").count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [2800, 700])
+def test_lists_in_waves_are_those_of_one_job(spark, monkeypatch, block_bytes):
+    from playlens import session
+    from playlens.operators import lists as L
+
+    rng = np.random.default_rng(7)
+    owners, others = (table(spark, rng.integers(-3, 4, size=(n, 7)), 0).selectExpr("CAST(id AS INT) AS id", "CAST(features AS ARRAY<FLOAT>) AS features") for n in (150, 400))
+    listed = lambda df: {r.user_id: [tuple(e) for e in r.recommendations] for r in df.collect()}
+    monkeypatch.setattr(L, "BLOCK_BYTES", block_bytes)
+    whole = listed(L.best_lists(owners, others, 12, 7, "user_id", "track_new_id"))
+    parts, strips = L.pairs_of_blocks(150, 400, 28, 96)
+    monkeypatch.setattr(session, "WAVE_BYTES", 40_000)
+    waves = L.waves_of_blocks(150, 400, parts, strips, 28, 96)
+    assert 1 < waves <= parts
+    made, real = [], session.written_in_waves
+
+    def counting(spark, name, each):
+        return real(spark, name, (made.append(w) or w for w in each))
+
+    monkeypatch.setattr(session, "written_in_waves", counting)
+    assert listed(L.best_lists(owners, others, 12, 7, "user_id", "track_new_id")) == whole
+    assert len(whole) == 150 and len(made) == waves
+
+
+def test_a_wave_of_lists_is_bounded():
+    """Rank 250, 870,000 users and 360,000 items would send 27 GB at once, six times the users and items of rank 100 220 GB."""
+    from playlens.operators import lists as L
+    from playlens.session import WAVE_BYTES
+
+    for n_owners, n_others, rank in ((870_000, 360_000, 250), (5_300_000, 2_200_000, 100)):
+        parts, strips = L.pairs_of_blocks(n_owners, n_others, 4 * rank, 800)
+        waves = L.waves_of_blocks(n_owners, n_others, parts, strips, 4 * rank, 800)
+        at_once = -(-parts // waves)
+        sent = at_once * (n_owners / parts * strips * (4 * rank + 800) + n_others * 4 * rank)
+        assert 1 < waves <= parts and sent < 1.5 * WAVE_BYTES
+
+
 def test_blocks_of_lists_stay_few_and_bounded():
     """900,000 users and 360,000 items of rank 100: MLlib's blocks send each owner's list 88 times."""
     from playlens.operators.lists import BLOCK_BYTES, PAIRS, pairs_of_blocks
